@@ -48,9 +48,9 @@ def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
 def check_reference(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child key values without a parent, with their row count. NULL refers to nothing and passes.
 
-    Counting per key comes first: a hot key arrives at the join as one row, and the count's
-    partitioning is the one the join needs.
+    Both sides come to the join with one row per key, so no key can be hot there, and the
+    partitioning of the two aggregates is the one the join needs.
     """
     used = child.where(F.col(child_key).isNotNull()).groupBy(child_key).agg(F.count("*").alias("count"))
-    known = parent.select(F.col(parent_key).alias(child_key))
+    known = parent.select(F.col(parent_key).alias(child_key)).distinct()
     return used.join(known, child_key, "left_anti")

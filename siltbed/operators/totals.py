@@ -7,12 +7,22 @@ input is then one row per group before anything is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def _per_key(df: DataFrame, key: str, by: list[str], *totals: Column) -> DataFrame:
+    """Totals per join key and group.
+
+    The hash beside the key groups nothing further. It keeps the aggregate's partitioning from being taken over
+    by the join: only a join whose two inputs were each shuffled for it can have a skewed partition split by
+    adaptive execution, and a key with very many groups still is one.
+    """
+    keyed = df.where(F.col(key).isNotNull()).withColumns({"__key": F.col(key), "__hash": F.xxhash64(key)})
+    return keyed.groupBy("__key", "__hash", *by).agg(*totals).drop("__hash")
 
 
 def _copies(df: DataFrame, key: str, by: list[str], count: str, dedup: bool) -> DataFrame:
-    grouped = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__key"), *by)
-    return grouped.agg((F.lit(1).cast("bigint") if dedup else F.count("*")).alias(count))
+    return _per_key(df, key, by, (F.lit(1).cast("bigint") if dedup else F.count("*")).alias(count))
 
 
 def joined_counts(
@@ -49,9 +59,5 @@ def joined_sums(
     if dedup:
         facts = facts.dropDuplicates()
     left = _copies(entities, entity_key, by, "__left", dedup)
-    right = (
-        facts.where(F.col(fact_key).isNotNull())
-        .groupBy(F.col(fact_key).alias("__key"))
-        .agg(F.sum(value).alias("__sum"))
-    )
+    right = _per_key(facts, fact_key, [], F.sum(value).alias("__sum"))
     return left.join(right, "__key").groupBy(*by).agg(F.sum(F.col("__left") * F.col("__sum")).alias(total))
