@@ -17,6 +17,5 @@ def flatten_array(df: DataFrame, array: Column | str, element: str, keep: list)
 
 def pick_localised(df: DataFrame, names: Column | str, language: str, label: str, keep: list) -> DataFrame:
     """One row per name in ``language``; several names in it give several rows."""
-    names = F.col(names) if isinstance(names, str) else names
-    wanted = F.filter(names, lambda n: n["language"]["name"] == F.lit(language))
-    return flatten_array(df, wanted, label, keep).withColumn(label, F.col(label)["name"])
+    named = flatten_array(df, names, "__named", keep).where(F.col("__named.language.name") == language)
+    return named.withColumn(label, F.col("__named.name")).drop("__named")

@@ -43,6 +43,7 @@ def _literal_parser():
 
         def record(piece):
             # A separator took the braces around it; a first piece kept its opening brace, a last one its closing.
+            piece = piece.strip()
             opened = piece if piece.startswith("{") else "{" + piece
             for text in (opened, opened + "}", opened.rstrip(", ")):
                 try:
@@ -65,7 +66,7 @@ def _literal_parser():
                         raise unfinished(where)
                     where = (path, start)
                 # The separator may also occur inside a string: then the record goes on in the next piece.
-                piece = text.strip() if held is None else held + "},{" + text.rstrip()
+                piece = text if held is None else held + "},{" + text
                 parsed = record(piece)
                 held = piece if parsed is None else None
                 if parsed is not None:
