@@ -33,4 +33,6 @@ def id_from_url(url: Column | str, strict: bool = True) -> Column:
     """
     if strict:
         return F.element_at(F.split(url, "/"), -2).cast("bigint")
-    return endpoint_from_url(url).try_cast("bigint")
+    segment = endpoint_from_url(url)
+    # The check keeps text that is no number away from try_cast, which catches an exception for each.
+    return F.when(segment.rlike(r"^\s*[+-]?\d+\s*$"), segment.try_cast("bigint"))

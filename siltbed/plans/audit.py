@@ -76,4 +76,4 @@ def count_audit(
 
 def count_from_log_line(line: Column | str) -> Column:
     """The count a line of a text log ends with; NULL when it does not end with one."""
-    return F.regexp_extract(line, r"(\d+)\s*$", 1).try_cast("bigint")
+    return F.nullif(F.regexp_extract(line, r"(\d+)\s*$", 1), F.lit("")).try_cast("bigint")

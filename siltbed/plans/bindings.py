@@ -143,6 +143,22 @@ def cohort_category_cube(spark, sf_dir):
     return marts.cohort_category_cube(customers, "c_custkey", "cohort", orders, "o_custkey", "category")
 
 
+@binding(
+    """
+select case when grouping(r_name) = 1 then 'All cohorts' else r_name end as cohort,
+       case when grouping(o_orderpriority) = 1 then 'All categories' else o_orderpriority end as category,
+       count(c_custkey) as quantity, count(distinct c_custkey) as n_distinct
+from customer join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey
+join orders on o_custkey = c_custkey
+group by cube (r_name, o_orderpriority)
+"""
+)
+def cohort_category_cube_distinct(spark, sf_dir):
+    customers = _customer_regions(spark, sf_dir)
+    orders = _table(spark, sf_dir, "orders").withColumnRenamed("o_orderpriority", "category")
+    return marts.cohort_category_cube(customers, "c_custkey", "cohort", orders, "o_custkey", "category", distinct=True)
+
+
 def _part_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = _table(spark, sf_dir, "nation").selectExpr("n_nationkey as p_size", "n_name", "n_regionkey as regionkey")
     region = _table(spark, sf_dir, "region").selectExpr("r_regionkey as regionkey", "r_name")
@@ -302,10 +318,8 @@ def _measured(name: Column, id_: Column, value: Column, child: str = "stat") ->
     )
 
 
-def _as_record(*columns: Column) -> Column:
-    """A record with one key too many, reduced to the keys that are kept."""
-    whole = F.to_variant_object(F.struct(*columns, F.lit(1).alias("not_kept")))
-    return records.project_keys(whole).alias(RECORD)
+def _as_variant(df: DataFrame) -> DataFrame:
+    return df.select(F.to_variant_object(F.struct("*")).alias(RECORD))
 
 
 def _line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,7 +329,7 @@ def _line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     types = F.when(F.col("l_quantity") > 10, both).otherwise(F.slice(both, 1, 0))
     return _table(spark, sf_dir, "lineitem").select(
-        _as_record(F.col("l_orderkey").alias("id"), F.lit("line").alias("name"), types.alias("types"))
+        F.col("l_orderkey").alias("id"), F.lit("line").alias("name"), types.alias("types")
     )
 
 
@@ -329,7 +343,9 @@ select l_orderkey, cast(ascii(l_linestatus) as bigint), l_linestatus from lineit
 
 @binding(LINE_MEMBERSHIP)
 def flatten_membership(spark, sf_dir):
-    return loads.membership_rows(_line_records(spark, sf_dir), *schemas.CATEGORY_B)
+    staging = scratch_folder(spark, "staging")
+    _as_variant(_line_records(spark, sf_dir)).write.parquet(staging)
+    return loads.membership_rows(spark.read.schema(schemas.STAGING).parquet(staging), *schemas.CATEGORY_B)
 
 
 @binding(
@@ -420,17 +436,17 @@ def read_json_records_(spark, sf_dir):
     )
 
 
-@binding("select c_custkey as id, c_name as name from customer")
+@binding("select c_custkey as id, c_name as name, cast(null as varchar) as not_kept from customer")
 def land_records_(spark, sf_dir):
     root = scratch_folder(spark, "landing")
-    kept = _table(spark, sf_dir, "customer").select(
-        _as_record(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
-    )
-    records.land_records(kept, root, "entity", "1")
+    whole = _as_variant(_table(spark, sf_dir, "customer").withColumnsRenamed({"c_custkey": "id", "c_name": "name"}))
+    records.land_records(whole.select(records.project_keys(RECORD).alias(RECORD)), root, "entity", "1")
     records.land_records(_table(spark, sf_dir, "nation"), root, "cohort", "1")
     landed = records.read_json_records(spark, f"{root}/*/*", pattern=".*/entity/.*")
     return landed.select(
-        json_path(RECORD, "$.id", "bigint").alias("id"), json_path(RECORD, "$.name", "string").alias("name")
+        json_path(RECORD, "$.id", "bigint").alias("id"),
+        json_path(RECORD, "$.name", "string").alias("name"),
+        json_path(RECORD, "$.c_mktsegment", "string").alias("not_kept"),
     )
 
 
@@ -515,7 +531,7 @@ def count_from_log_line_(spark, sf_dir):
 
 
 def _order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A record per order: its customer as the cohort key, two categories, three or four measures."""
+    """A record per order: its customer as the cohort key, two categories, three measures."""
     priority = F.substring("o_orderpriority", 1, 1)
     measures = [
         _measured(F.lit("year"), F.lit(1), F.year("o_orderdate")),
@@ -523,17 +539,15 @@ def _order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         _measured(F.concat(F.lit("status-"), "o_orderstatus"), F.ascii("o_orderstatus"), F.dayofmonth("o_orderdate")),
     ]
     return _table(spark, sf_dir, "orders").select(
-        _as_record(
-            F.col("o_orderkey").alias("id"),
-            F.concat(F.lit("customer "), F.col("o_custkey").cast("string")).alias("name"),
-            F.struct(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("name")).alias("species"),
-            F.array(
-                _named(F.col("o_orderstatus"), F.ascii("o_orderstatus"), "type"),
-                _named(F.col("o_orderpriority"), priority, "type"),
-            ).alias("types"),
-            F.array(_named(F.date_format("o_orderdate", "yyyy-MM"), F.date_format("o_orderdate", "yyyyMM"), "move")).alias("moves"),
-            F.array(*measures).alias("stats"),
-        )
+        F.col("o_orderkey").alias("id"),
+        F.concat(F.lit("customer "), F.col("o_custkey").cast("string")).alias("name"),
+        F.struct(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("name")).alias("species"),
+        F.array(
+            _named(F.col("o_orderstatus"), F.ascii("o_orderstatus"), "type"),
+            _named(F.col("o_orderpriority"), priority, "type"),
+        ).alias("types"),
+        F.array(_named(F.date_format("o_orderdate", "yyyy-MM"), F.date_format("o_orderdate", "yyyyMM"), "move")).alias("moves"),
+        F.array(*measures).alias("stats"),
     )
 
 
@@ -547,7 +561,7 @@ def _cohort_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.when(F.col("c_acctbal") < 0, F.array(french)).otherwise(F.array(french, name(F.col("c_mktsegment"), "en")))
     members = F.array(F.struct(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("name")))
     return _table(spark, sf_dir, "customer").select(
-        _as_record(F.col("c_custkey").alias("id"), names.alias("names"), members.alias("pokemon_species"))
+        F.col("c_custkey").alias("id"), names.alias("names"), members.alias("pokemon_species")
     )
 
 
@@ -557,7 +571,8 @@ def _ingested(spark: SparkSession, runs: list[dict[str, DataFrame]]) -> Warehous
     for number, endpoints in enumerate(runs):
         for endpoint, rows in endpoints.items():
             records.land_records(rows, warehouse.landing(), endpoint, str(number))
-            ingest_endpoint(spark, warehouse, endpoint).awaitTermination()
+        for query in [ingest_endpoint(spark, warehouse, endpoint) for endpoint in endpoints]:
+            query.awaitTermination()
     return warehouse
 
 
@@ -619,7 +634,7 @@ def _line_measures(spark: SparkSession, sf_dir: str, flag: str | None) -> DataFr
         _measured(F.concat(F.lit(f"{c}-"), F.col(c)), F.ascii(c) + offset, F.col("l_quantity"))
         for c, offset in (("l_returnflag", 0), ("l_linestatus", 1000))
     ]
-    return lineitem.select(_as_record(F.col("l_orderkey").alias("id"), F.array(*stats).alias("stats")))
+    return lineitem.select(F.col("l_orderkey").alias("id"), F.array(*stats).alias("stats"))
 
 
 LINE_MEASURES = """

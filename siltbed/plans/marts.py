@@ -106,30 +106,33 @@ def strength_rating(
 
 def labelled_cube(
     counts: DataFrame,
-    a: str,
-    b: str,
+    keys: list[str],
+    labels: list[str],
     n: str = "n",
-    labels: tuple[str, str] = ("All cohorts", "All categories"),
     quantity: str = "quantity",
     flags: bool = False,
+    distinct: str | None = None,
 ) -> DataFrame:
-    """Totals over (a, b), a, b and all rows of counts that are already grouped by (a, b).
+    """Totals over all subsets of the keys, of counts that are already grouped by them.
 
-    A subtotal row has a label in place of its key. ``flags`` adds the grouping flags, which
-    keep a key that reads like a label, and a NULL key, apart from the subtotal. Only the grouped counts
-    are expanded into the four grouping sets, not the rows behind them.
+    A subtotal row has a label in place of its key. ``flags`` adds the grouping flags, which keep a key that
+    reads like a label, and a NULL key, apart from the subtotal. Only the grouped counts are expanded into
+    the grouping sets, not the rows behind them. With ``distinct``, a column the counts are grouped by as
+    well, ``n_distinct`` tells how many of its values are behind each total.
     """
-    out = counts.cube(a, b).agg(
-        F.sum(n).alias("__n"), F.grouping(a).cast("int").alias("__a"), F.grouping(b).cast("int").alias("__b")
-    )
+    flag = {key: f"__all_{key}" for key in keys}
+    totals = [F.sum(n).alias("__n")] + [F.grouping(key).cast("int").alias(flag[key]) for key in keys]
+    if distinct:
+        totals.append(F.countDistinct(distinct).alias("n_distinct"))
     columns = [
-        F.when(F.col("__a") == 1, F.lit(labels[0])).otherwise(F.col(a)).alias(a),
-        F.when(F.col("__b") == 1, F.lit(labels[1])).otherwise(F.col(b)).alias(b),
-        F.col("__n").alias(quantity),
+        F.when(F.col(flag[key]) == 1, F.lit(label)).otherwise(F.col(key)).alias(key) for key, label in zip(keys, labels)
     ]
+    columns.append(F.col("__n").alias(quantity))
+    if distinct:
+        columns.append(F.col("n_distinct"))
     if flags:
-        columns += [F.col("__a").alias(f"is_all_{a}"), F.col("__b").alias(f"is_all_{b}")]
-    return out.select(*columns)
+        columns += [F.col(flag[key]).alias(f"is_all_{key}") for key in keys]
+    return counts.cube(*keys).agg(*totals).select(*columns)
 
 
 def cohort_category_cube(
@@ -141,14 +144,19 @@ def cohort_category_cube(
     category: str,
     labels: tuple[str, str] = ("All cohorts", "All categories"),
     flags: bool = False,
+    distinct: bool = False,
     dedup: bool = False,
 ) -> DataFrame:
     """Memberships per cohort and category, with labelled totals.
 
-    A total over categories counts memberships: an entity in two categories counts twice.
+    A total over categories counts memberships: an entity in two categories counts twice. ``distinct``
+    adds the number of entities.
     """
-    counts = joined_counts(entities, entity_key, members, member_key, [cohort, category], dedup=dedup)
-    return labelled_cube(counts, cohort, category, labels=labels, flags=flags)
+    by = [cohort, category] + ([entity_key] if distinct else [])
+    counts = joined_counts(entities, entity_key, members, member_key, by, dedup=dedup)
+    return labelled_cube(
+        counts, [cohort, category], list(labels), flags=flags, distinct=entity_key if distinct else None
+    )
 
 
 def cube_fanout(df: DataFrame, key: str, id_: str, label: str = "All") -> DataFrame:
@@ -157,11 +165,7 @@ def cube_fanout(df: DataFrame, key: str, id_: str, label: str = "All") -> DataFr
     Rows are counted per (key, id) first, so the distinct count shuffles each pair once.
     """
     pairs = df.groupBy(key, id_).agg(F.count(id_).alias("n"))
-    out = pairs.cube(key).agg(
-        F.sum("n").alias("quantity"), F.countDistinct(id_).alias("n_distinct"), F.grouping(key).alias("__all")
-    )
-    shown = F.when(F.col("__all") == 1, F.lit(label)).otherwise(F.col(key)).alias(key)
-    return out.select(shown, "quantity", "n_distinct")
+    return labelled_cube(pairs, [key], [label], distinct=id_)
 
 
 def marts(

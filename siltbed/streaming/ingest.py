@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
 from siltbed.sources.records import RECORD, matching_path, strip_outer_array
 
@@ -17,6 +17,18 @@ def trigger(mode: str, interval: str) -> dict:
     raise ValueError("mode is 'once' or 'interval'")
 
 
+def bounded(source: DataStreamReader, max_files: int | None = None, max_bytes: str | None = None) -> DataStreamReader:
+    """Bound the micro-batches of a file stream by file count or by size (``"2t"``).
+
+    A large backfill then commits in steps, and a failure repeats one step only. Files are never left out.
+    """
+    if max_files is not None:
+        source = source.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        source = source.option("maxBytesPerTrigger", max_bytes)
+    return source
+
+
 def ingest_stream(
     spark: SparkSession,
     landing: str,
@@ -26,19 +38,18 @@ def ingest_stream(
     mode: str = "once",
     interval: str = "5 minutes",
     multi_line: bool = False,
-    max_files: int | None = None,
+    limits: dict | None = None,
 ) -> StreamingQuery:
     """Copy new JSON files below ``landing`` whose path matches ``pattern`` into a one-column staging table.
 
-    A fresh checkpoint takes the files that are already there first. ``max_files`` bounds a micro-batch.
+    A fresh checkpoint takes the files that are already there first; see ``bounded`` for ``limits``.
     """
     source = (
-        spark.readStream.option("singleVariantColumn", RECORD)
+        bounded(spark.readStream, **(limits or {}))
+        .option("singleVariantColumn", RECORD)
         .option("multiLine", multi_line)
         .option("recursiveFileLookup", True)
     )
-    if max_files is not None:
-        source = source.option("maxFilesPerTrigger", max_files)
     records = strip_outer_array(matching_path(source.json(landing), pattern))
     return (
         records.writeStream.format("parquet")

@@ -22,18 +22,15 @@ from siltbed.operators.keys import number_rows
 from siltbed.operators.lookups import fact_to_dimension, lookup_chain
 from siltbed.session import scratch_root
 from siltbed.sources.records import RECORD
-from siltbed.streaming.ingest import trigger
+from siltbed.streaming.ingest import bounded, trigger
 from siltbed.streaming.warehouse import Warehouse, last_id_before, read_batches, write_batch
 
 Finish = Callable[[str, int], None]
 
 
-def changes(spark: SparkSession, staging: str, max_files: int | None = None) -> DataFrame:
+def changes(spark: SparkSession, staging: str, limits: dict | None = None) -> DataFrame:
     """Rows added to a staging table since the reading query last committed."""
-    source = spark.readStream.schema(schemas.STAGING)
-    if max_files is not None:
-        source = source.option("maxFilesPerTrigger", max_files)
-    return source.parquet(staging)
+    return bounded(spark.readStream.schema(schemas.STAGING), **(limits or {})).parquet(staging)
 
 
 def run_load(
@@ -118,7 +115,7 @@ def measure_rows(staging: DataFrame, array: str, child: str) -> DataFrame:
     )
 
 
-def load_entities(spark: SparkSession, warehouse: Warehouse, language: str = "en", max_files=None, **how) -> StreamingQuery:
+def load_entities(spark: SparkSession, warehouse: Warehouse, language: str = "en", limits=None, **how) -> StreamingQuery:
     """New entities with the name of their cohort; an entity without one is kept with NULL.
 
     Cohort staging has no cursor: each batch reads all of it anew.
@@ -131,19 +128,19 @@ def load_entities(spark: SparkSession, warehouse: Warehouse, language: str = "en
         found = lookup_chain(spark.read.parquet(work), "lookup_key", members, labels, "cohort_id")
         write_batch(found.select(*schemas.STORAGE["entity"].names), warehouse.table("entity"), batch_id)
 
-    rows = entity_rows(changes(spark, warehouse.staging("entity"), max_files))
+    rows = entity_rows(changes(spark, warehouse.staging("entity"), limits))
     return run_load(spark, warehouse, "entity", rows, finish, **how)
 
 
 def load_membership(
-    spark: SparkSession, warehouse: Warehouse, table: str, array: str, child: str, max_files=None, **how
+    spark: SparkSession, warehouse: Warehouse, table: str, array: str, child: str, limits=None, **how
 ) -> StreamingQuery:
     """New (entity, category) rows of one membership array."""
 
     def finish(work: str, batch_id: int) -> None:
         _write_numbered(spark, warehouse, table, work, batch_id)
 
-    rows = membership_rows(changes(spark, warehouse.staging("entity"), max_files), array, child)
+    rows = membership_rows(changes(spark, warehouse.staging("entity"), limits), array, child)
     return run_load(spark, warehouse, table, rows, finish, **how)
 
 
@@ -159,7 +156,7 @@ def load_measure_dim(spark: SparkSession, warehouse: Warehouse, rows: DataFrame,
 
 
 def load_measures(
-    spark: SparkSession, warehouse: Warehouse, array: str = "stats", child: str = "stat", max_files=None, **how
+    spark: SparkSession, warehouse: Warehouse, array: str = "stats", child: str = "stat", limits=None, **how
 ) -> StreamingQuery:
     """Insert new measures, then the facts of the same batch.
 
@@ -176,7 +173,7 @@ def load_measures(
         facts.select("entity_id", "measure_id", "value").write.mode("overwrite").parquet(joined)
         _write_numbered(spark, warehouse, "entity_measure", joined, batch_id)
 
-    rows = measure_rows(changes(spark, warehouse.staging("entity"), max_files), array, child)
+    rows = measure_rows(changes(spark, warehouse.staging("entity"), limits), array, child)
     return run_load(spark, warehouse, "entity_measure", rows, finish, **how)
 
 

@@ -16,6 +16,9 @@ def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "timestamp": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 def _rows(columns, rows) -> Counter:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return Counter(tuple(row[i] for i in order) for row in rows)
@@ -27,6 +30,10 @@ def difference(df: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -
     names = [d[0] for d in result.description]
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(names)}"
+    types = {d[0]: str(d[1]) for d in result.description}
+    wrong = {c: (k, types[c]) for c, k in df.dtypes if TYPES.get(k) != types[c]}
+    if wrong:
+        return f"types {wrong}"
     want = _rows(names, result.fetchall())
     have = _rows(df.columns, df.collect())
     if have == want:

@@ -94,7 +94,9 @@ def test_cube(tables):
     assert found[("All cohorts", "All categories", 0, 1)] == 1
     cells = sum(n for key, n in found.items() if key[2:] == (0, 0))
     assert cells == 5 and len(found) == 10
-    assert sorted(marts.cohort_category_cube(*args).columns) == ["category_name", "cohort", "quantity"]
+    assert marts.cohort_category_cube(*args).columns == ["cohort", "category_name", "quantity"]
+    with_distinct = marts.cohort_category_cube(*args, distinct=True).where("cohort = 'G1' and category_name = 'All categories'")
+    assert rows(with_distinct) == [("G1", "All categories", 3, 2)]
 
 
 def test_cube_fanout(spark):

@@ -193,15 +193,33 @@ def test_batch_that_fails_after_its_write_leaves_one_copy(house, monkeypatch, lo
         assert sorted(r[0] for r in house.rows("entity_measure")) == [1, 2, 3]
 
 
-def test_bounded_batches(house):
+@pytest.mark.parametrize("limits", [{"max_files": 1}, {"max_bytes": "1"}])
+def test_bounded_batches(house, limits):
     for run in range(1, 4):
         house.land("entity", [entity(run, types=[run])], run)
-    query = loads.load_membership(house.spark, house.warehouse, "category_b", *schemas.CATEGORY_B, max_files=1)
+    query = loads.load_membership(house.spark, house.warehouse, "category_b", *schemas.CATEGORY_B, limits=limits)
     query.awaitTermination()
     assert [r[1:] for r in house.rows("category_b")] == [(i, i, f"t{i}") for i in (1, 2, 3)]
     assert sorted(r[0] for r in house.rows("category_b")) == [1, 2, 3]
 
 
+def test_batches_run_with_adaptive_execution(house, monkeypatch):
+    """The stream's own session has it off, and with it the splitting of skewed joins."""
+    plans = []
+    write = loads.write_batch
+
+    def record(df, path, batch_id):
+        plans.append((path, df._jdf.queryExecution().executedPlan().toString()))
+        write(df, path, batch_id)
+
+    monkeypatch.setattr(loads, "write_batch", record)
+    house.land("cohort", [cohort(1, [("First", "en")], ["s1"])], 1)
+    house.land("entity", [entity(1, stats=[(1, "hp", 1)])], 1)
+    house.entities()
+    house.measures()
+    assert len(plans) == 4 and all("AdaptiveSparkPlan" in plan for _, plan in plans)
+
+
 def test_interval_mode(house):
     house.land("entity", [entity(1, types=[7])], 1)
     query = loads.load_membership(
