@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from siltbed.schemas import AUDIT
+from siltbed.session import make_folder
 
 RUN_KINDS = ("manual", "scheduled")
 
@@ -46,18 +47,13 @@ def audit_history(counts: DataFrame) -> DataFrame:
     return _judge(counts.withColumn("previous", F.lag("current").over(order)))
 
 
-def create_audit(spark: SparkSession, path: str) -> None:
-    """An empty audit table, unless there is one."""
-    spark.createDataFrame([], AUDIT).write.mode("ignore").parquet(path)
-
-
 def count_audit(
     spark: SparkSession, path: str, dataset: str, catalog: DataFrame, run_kind: str = "manual", run_ts: Column | None = None
 ) -> DataFrame:
     """Count ``catalog``, compare with the last count of the dataset, append the audit row, return it."""
     if run_kind not in RUN_KINDS:
         raise ValueError(f"run_kind is one of {RUN_KINDS}")
-    create_audit(spark, path)
+    make_folder(spark, path)  # without files it reads as an empty log
     log = spark.read.schema(AUDIT).parquet(path).where(F.col("dataset") == dataset)
     previous = log.agg(F.max_by("current", "run_ts")).scalar()
     run = catalog.agg(F.count("*").alias("current")).select(

@@ -561,7 +561,7 @@ def _cohort_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.when(F.col("c_acctbal") < 0, F.array(french)).otherwise(F.array(french, name(F.col("c_mktsegment"), "en")))
     members = F.array(F.struct(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("name")))
     return _table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("id"), names.alias("names"), members.alias("pokemon_species")
+        F.col("c_custkey").alias("id"), names.alias("names"), members.alias(schemas.COHORT_MEMBERS)
     )
 
 

@@ -10,10 +10,12 @@ from pyspark.sql import types as T
 # The top-level keys of a record that are kept when it is landed.
 RECORD_KEYS = ["id", "name", "names", "species", "pokemon_species", "types", "moves", "stats"]
 
-# Where the record contract keeps its nested arrays, as (array key, child key).
+# Where the record contract keeps its nested arrays, as (array key, child key) or as a key.
 CATEGORY_A = ("moves", "move")
 CATEGORY_B = ("types", "type")
 MEASURES = ("stats", "stat")
+COHORT_NAMES = "names"
+COHORT_MEMBERS = "pokemon_species"
 
 LISTING = "results array<struct<url: string>>"
 

@@ -45,3 +45,9 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other call gets."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder in whatever file system the path belongs to, unless it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)

@@ -84,10 +84,10 @@ def entity_rows(staging: DataFrame) -> DataFrame:
 def cohort_lookup(staging: DataFrame, language: str = "en") -> tuple[DataFrame, DataFrame]:
     """(members, labels) of the cohort records: member name to cohort id, and cohort id to its name."""
     cohort_id = json_path(RECORD, "$.id", "bigint").alias("cohort_id")
-    labels = pick_localised(
-        staging, json_path(RECORD, "$.names", schemas.LOCALISED_NAMES), language, "cohort", [cohort_id]
-    )
-    members = flatten_array(staging, json_path(RECORD, "$.pokemon_species", schemas.MEMBER_NAMES), "m", [cohort_id])
+    names = json_path(RECORD, f"$.{schemas.COHORT_NAMES}", schemas.LOCALISED_NAMES)
+    labels = pick_localised(staging, names, language, "cohort", [cohort_id])
+    member_names = json_path(RECORD, f"$.{schemas.COHORT_MEMBERS}", schemas.MEMBER_NAMES)
+    members = flatten_array(staging, member_names, "m", [cohort_id])
     return members.select("cohort_id", F.col("m.name").alias("lookup_key")), labels
 
 

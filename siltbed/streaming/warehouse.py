@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from siltbed.schemas import LEDGER, STORAGE
+from siltbed.session import make_folder
 
 
 @dataclass(frozen=True)
@@ -32,13 +33,16 @@ class Warehouse:
         return f"{self.root}/checkpoints/{name}"
 
     def create(self, spark: SparkSession) -> "Warehouse":
-        """Empty landing, staging and storage, where there is none yet."""
-        # Folders only: an empty file in staging would hide the ingest stream's commit log from its readers.
+        """Empty landing, staging and storage, where there is none yet.
+
+        Folders only: a folder without files reads as an empty table, and an empty file in staging would hide
+        the ingest stream's commit log from its readers.
+        """
         for path in (self.landing(), self.staging("entity"), self.staging("cohort")):
             make_folder(spark, path)
-        for name, schema in STORAGE.items():
-            create_batched(spark, self.table(name), schema)
-            create_batched(spark, self.ledger(name), LEDGER)
+        for name in STORAGE:
+            make_folder(spark, self.table(name))
+            make_folder(spark, self.ledger(name))
         return self
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
@@ -46,16 +50,6 @@ class Warehouse:
         return read_batches(spark, self.table(name), STORAGE[name]).drop("batch_id")
 
 
-def make_folder(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
-
-
-def create_batched(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    # Batch -1 is always empty: with it the folder can be read before the first load.
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/batch_id=-1")
-
-
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All batches; a filter on ``batch_id`` prunes folders."""
     return spark.read.schema(T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])).parquet(path)

@@ -37,9 +37,9 @@ def test_empty_outer_array_has_no_records(spark, tmp_path):
 
 
 def test_path_pattern(spark, tmp_path):
-    for name, i in (("generation.json", 1), ("pokemon.json", 2), ("old_pokemon.json", 3)):
+    for name, i in (("cohort.json", 1), ("entity.json", 2), ("old_entity.json", 3)):
         (tmp_path / name).write_text(json.dumps({"id": i}))
-    found = read_json_records(spark, str(tmp_path), pattern=".*pokemon.json")
+    found = read_json_records(spark, str(tmp_path), pattern=".*entity.json")
     assert [r["id"] for r in parsed(found)] == [2, 3]
 
 
@@ -136,7 +136,7 @@ def test_strict_id(spark):
 
 
 def test_endpoint(spark):
-    assert urls(spark, "https://x/api/v2/generation/").select(endpoint_from_url("url")).first()[0] == "generation"
+    assert urls(spark, "https://x/api/v2/entity/").select(endpoint_from_url("url")).first()[0] == "entity"
     assert urls(spark, "x").select(endpoint_from_url("url")).first()[0] is None
 
 

@@ -27,7 +27,7 @@ def cohort(i, names, members):
     return {
         "id": i,
         "names": [{"name": n, "language": {"name": lang}} for n, lang in names],
-        "pokemon_species": [{"name": m} for m in members],
+        schemas.COHORT_MEMBERS: [{"name": m} for m in members],
     }
 
 
