@@ -125,7 +125,8 @@ def labelled_cube(
     if distinct:
         totals.append(F.countDistinct(distinct).alias("n_distinct"))
     columns = [
-        F.when(F.col(flag[key]) == 1, F.lit(label)).otherwise(F.col(key)).alias(key) for key, label in zip(keys, labels)
+        F.when(F.col(flag[key]) == 1, F.lit(label)).otherwise(F.col(key).cast("string")).alias(key)
+        for key, label in zip(keys, labels)
     ]
     columns.append(F.col("__n").alias(quantity))
     if distinct:

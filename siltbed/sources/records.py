@@ -26,9 +26,19 @@ def matching_path(df: DataFrame, pattern: str | None) -> DataFrame:
     return df if pattern is None else df.where(F.col("_metadata.file_path").rlike(pattern))
 
 
-def read_json_records(spark: SparkSession, path: str, pattern: str | None = None, multi_line: bool = False) -> DataFrame:
+def json_options(multi_line: bool, malformed: str) -> dict:
+    """Options of a JSON source that gives one variant per record.
+
+    A malformed record stops the read. Spark's own default would turn it into a NULL record.
+    """
+    return {"singleVariantColumn": RECORD, "multiLine": multi_line, "mode": malformed}
+
+
+def read_json_records(
+    spark: SparkSession, path: str, pattern: str | None = None, multi_line: bool = False, malformed: str = "FAILFAST"
+) -> DataFrame:
     """JSON records as one variant column: lines, arrays of records, or both mixed."""
-    raw = spark.read.option("singleVariantColumn", RECORD).option("multiLine", multi_line).json(path)
+    raw = spark.read.options(**json_options(multi_line, malformed)).json(path)
     return strip_outer_array(matching_path(raw, pattern))
 
 
@@ -45,7 +55,7 @@ def _literal_parser():
             # A separator took the braces around it; a first piece kept its opening brace, a last one its closing.
             piece = piece.strip()
             opened = piece if piece.startswith("{") else "{" + piece
-            for text in (opened, opened + "}", opened.rstrip(", ")):
+            for text in (opened + "}", opened, opened.rstrip(", ")):
                 try:
                     value = ast.literal_eval(text)
                 except (SyntaxError, ValueError):

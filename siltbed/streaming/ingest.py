@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
-from siltbed.sources.records import RECORD, matching_path, strip_outer_array
+from siltbed.sources.records import json_options, matching_path, strip_outer_array
 
 
 def trigger(mode: str, interval: str) -> dict:
@@ -38,6 +38,7 @@ def ingest_stream(
     mode: str = "once",
     interval: str = "5 minutes",
     multi_line: bool = False,
+    malformed: str = "FAILFAST",
     limits: dict | None = None,
 ) -> StreamingQuery:
     """Copy new JSON files below ``landing`` whose path matches ``pattern`` into a one-column staging table.
@@ -46,8 +47,7 @@ def ingest_stream(
     """
     source = (
         bounded(spark.readStream, **(limits or {}))
-        .option("singleVariantColumn", RECORD)
-        .option("multiLine", multi_line)
+        .options(**json_options(multi_line, malformed))
         .option("recursiveFileLookup", True)
     )
     records = strip_outer_array(matching_path(source.json(landing), pattern))

@@ -36,6 +36,13 @@ def test_empty_outer_array_has_no_records(spark, tmp_path):
     assert texts(read_json_records(spark, str(tmp_path))) == ['{"id":1}']
 
 
+def test_malformed_record_is_an_error(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id":1}\n{"id":2,\n{"id":3}')
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        read_json_records(spark, str(tmp_path)).collect()
+    assert [r["id"] for r in parsed(read_json_records(spark, str(tmp_path), malformed="DROPMALFORMED"))] == [1, 3]
+
+
 def test_path_pattern(spark, tmp_path):
     for name, i in (("cohort.json", 1), ("entity.json", 2), ("old_entity.json", 3)):
         (tmp_path / name).write_text(json.dumps({"id": i}))
