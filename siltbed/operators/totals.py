@@ -1,8 +1,7 @@
-"""Counts and sums over a join, aggregated before the join.
+"""Counts and sums over a join, aggregated before the join where that makes the input smaller.
 
-A join of two bags yields (left copies x right copies) rows per key, so counting each side per join key
-and multiplying gives the same totals. A key, or a group of copies, that holds a large part of the
-input is then one row per group before anything is shuffled.
+A join of two bags yields (left copies x right copies) rows per key, so counting a side per join key and multiplying
+gives the same totals. Copies of an entity are one row at the join, so two hot sides never multiply row by row.
 """
 
 from __future__ import annotations
@@ -37,12 +36,21 @@ def joined_counts(
     """``count(entity_key)`` of entities joined to members, per ``by`` (columns of either side).
 
     Repeated rows multiply, as they do in the join; with ``dedup`` each (key, group) counts once per side.
+
+    Members are counted per key before the join if no group is taken from them. Otherwise (key, group) is all
+    but unique in a membership table, and counting it would be one more shuffle of the large side for nothing. A hot key's
+    members are then spread over many tasks by adaptive execution.
     """
     of_entities = [c for c in by if c in entities.columns]
     of_members = [c for c in by if c not in of_entities]
     left = _copies(entities, entity_key, of_entities, "__left", dedup)
-    right = _copies(members, member_key, of_members, "__right", dedup)
-    return left.join(right, "__key").groupBy(*by).agg(F.sum(F.col("__left") * F.col("__right")).alias(count))
+    if of_members and not dedup:
+        right = members.select(F.col(member_key).alias("__key"), *of_members)
+        total = F.sum("__left")
+    else:
+        right = _copies(members, member_key, of_members, "__right", dedup)
+        total = F.sum(F.col("__left") * F.col("__right"))
+    return left.join(right, "__key").groupBy(*by).agg(total.alias(count))
 
 
 def joined_sums(
