@@ -70,6 +70,12 @@ def count_audit(
     return written
 
 
+def log_lines(rows: DataFrame) -> DataFrame:
+    """Audit rows as lines of a text log: time, level and message, with the count last."""
+    at = F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss")
+    return rows.select(F.concat_ws(" => ", at, "level", "message").alias("line"))
+
+
 def count_from_log_line(line: Column | str) -> Column:
     """The count a line of a text log ends with; NULL when it does not end with one."""
     return F.nullif(F.regexp_extract(line, r"(\d+)\s*$", 1), F.lit("")).try_cast("bigint")

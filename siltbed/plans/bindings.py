@@ -474,17 +474,23 @@ def read_literal_records_(spark, sf_dir):
 # ---------------------------------------------------------------- audit
 
 
-@binding(
-    """
+MONTHLY_AUDIT = """
 select run_ts, dataset, 'scheduled' as run_kind, previous, "current", "current" - previous as change,
-       case when previous = "current" then 'INFO' else 'WARNING' end as "level"
+       case when previous = "current" then 'INFO' else 'WARNING' end as "level",
+       'Scheduled run. ' || dataset || ': ' || case
+         when previous is null then 'first check, count is ' || "current"
+         when previous = "current" then 'unchanged, count is still ' || "current"
+         when previous > "current" then 'count dropped from ' || previous || ' to ' || "current"
+         else 'count increased from ' || previous || ' to ' || "current" end as message
 from (
   select *, lag("current") over (partition by dataset order by run_ts) as previous
   from (select date_trunc('month', o_orderdate)::timestamp as run_ts, o_orderpriority as dataset, count(*) as "current"
         from orders group by 1, 2) m
 ) r
 """
-)
+
+
+@binding(MONTHLY_AUDIT)
 def audit_history_(spark, sf_dir):
     monthly = (
         _table(spark, sf_dir, "orders")
@@ -492,7 +498,18 @@ def audit_history_(spark, sf_dir):
         .agg(F.count("*").alias("current"))
         .withColumn("run_kind", F.lit("scheduled"))
     )
-    return audit.audit_history(monthly).drop("message")
+    return audit.audit_history(monthly)
+
+
+@binding(
+    f"""
+select strftime(run_ts, '%Y-%m-%d %H:%M:%S') || ' => ' || "level" || ' => ' || message as line, "current" as n
+from ({MONTHLY_AUDIT}) a
+"""
+)
+def audit_log_lines(spark, sf_dir):
+    lines = audit.log_lines(QUERIES["audit_history"](spark, sf_dir))
+    return lines.select("line", audit.count_from_log_line("line").alias("n"))
 
 
 @binding(
