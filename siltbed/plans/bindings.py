@@ -550,6 +550,10 @@ def count_from_log_line_(spark, sf_dir):
 def _order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A record per order: its customer as the cohort key, two categories, three measures."""
     priority = F.substring("o_orderpriority", 1, 1)
+
+    def month(form: str) -> Column:
+        return F.date_format("o_orderdate", form)
+
     measures = [
         _measured(F.lit("year"), F.lit(1), F.year("o_orderdate")),
         _measured(F.lit("month"), F.lit(2), F.month("o_orderdate")),
@@ -563,21 +567,24 @@ def _order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             _named(F.col("o_orderstatus"), F.ascii("o_orderstatus"), "type"),
             _named(F.col("o_orderpriority"), priority, "type"),
         ).alias("types"),
-        F.array(_named(F.date_format("o_orderdate", "yyyy-MM"), F.date_format("o_orderdate", "yyyyMM"), "move")).alias("moves"),
+        F.array(_named(month("yyyy-MM"), month("yyyyMM"), "move")).alias("moves"),
         F.array(*measures).alias("stats"),
     )
 
 
-def _cohort_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A record per customer: the market segment is its English name; a debtor has a French one only."""
+DEBTOR = "c_acctbal < 0"
+
+
+def _cohort_records(customers: DataFrame, english: str = f"not {DEBTOR}") -> DataFrame:
+    """A record per customer: the market segment is its name, in English where the condition holds, always in French."""
 
     def name(text: Column, language: str) -> Column:
         return F.struct(text.alias("name"), F.struct(F.lit(language).alias("name")).alias("language"))
 
     french = name(F.concat(F.lit("fr-"), "c_mktsegment"), "fr")
-    names = F.when(F.col("c_acctbal") < 0, F.array(french)).otherwise(F.array(french, name(F.col("c_mktsegment"), "en")))
+    names = F.when(F.expr(english), F.array(french, name(F.col("c_mktsegment"), "en"))).otherwise(F.array(french))
     members = F.array(F.struct(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("name")))
-    return _table(spark, sf_dir, "customer").select(
+    return customers.select(
         F.col("c_custkey").alias("id"), names.alias("names"), members.alias(schemas.COHORT_MEMBERS)
     )
 
@@ -612,7 +619,7 @@ def ingest_stream_(spark, sf_dir):
     """Two runs into one staging table, with another endpoint's files beside them."""
     nation = _table(spark, sf_dir, "nation").selectExpr("n_nationkey as id", "n_name as name")
     warehouse = _ingested(
-        spark, [{"cohort": _cohort_records(spark, sf_dir), "entity": _order_records(spark, sf_dir)}, {"entity": nation}]
+        spark, [{"cohort": _cohort_records(_table(spark, sf_dir, "customer")), "entity": _order_records(spark, sf_dir)}, {"entity": nation}]
     )
     return loads.entity_rows(spark.read.schema(schemas.STAGING).parquet(warehouse.staging("entity"))).select("id", "name")
 
@@ -620,12 +627,25 @@ def ingest_stream_(spark, sf_dir):
 @binding(f"select o_orderkey as id, 'customer ' || o_custkey as name, c_mktsegment as cohort from {ORDER_COHORTS}")
 def load_entities_stream(spark, sf_dir):
     warehouse = _ingested(
-        spark, [{"cohort": _cohort_records(spark, sf_dir), "entity": _order_records(spark, sf_dir)}]
+        spark, [{"cohort": _cohort_records(_table(spark, sf_dir, "customer")), "entity": _order_records(spark, sf_dir)}]
     )
     loads.load_entities(spark, warehouse).awaitTermination()
     return warehouse.read(spark, "entity").drop("lookup_key")
 
 
+@binding("select o_orderkey as id, c_mktsegment as cohort from orders left join customer on c_custkey = o_custkey")
+def refreshed_entities_stream(spark, sf_dir):
+    """Entities that were loaded before the cohorts of some of them arrived."""
+    customers = _table(spark, sf_dir, "customer")
+    early = _cohort_records(customers.where(f"not {DEBTOR}"))
+    warehouse = _ingested(spark, [{"cohort": early, "entity": _order_records(spark, sf_dir)}])
+    loads.load_entities(spark, warehouse).awaitTermination()
+    late = _cohort_records(customers.where(DEBTOR), english="true")
+    records.land_records(late, warehouse.landing(), "cohort", "late")
+    ingest_endpoint(spark, warehouse, "cohort").awaitTermination()
+    return loads.refreshed_entities(spark, warehouse).select("id", "cohort")
+
+
 @binding(LINE_MEMBERSHIP)
 def load_membership_stream(spark, sf_dir):
     warehouse = _ingested(spark, [{"entity": _line_records(spark, sf_dir)}])
@@ -675,7 +695,7 @@ def load_measures_stream(spark, sf_dir):
 
 def _loaded_orders(spark: SparkSession, sf_dir: str) -> Warehouse:
     warehouse = _ingested(
-        spark, [{"cohort": _cohort_records(spark, sf_dir), "entity": _order_records(spark, sf_dir)}]
+        spark, [{"cohort": _cohort_records(_table(spark, sf_dir, "customer")), "entity": _order_records(spark, sf_dir)}]
     )
     loads.run_all(spark, warehouse)
     return warehouse

@@ -19,7 +19,7 @@ from siltbed.functions.paths import id_from_url, json_path
 from siltbed.operators.dimensions import new_dimension_rows
 from siltbed.operators.flatten import flatten_array, pick_localised
 from siltbed.operators.keys import number_rows
-from siltbed.operators.lookups import fact_to_dimension, lookup_chain
+from siltbed.operators.lookups import fact_to_dimension, lookup_chain, lookup_table, refresh_lookup
 from siltbed.session import scratch_root
 from siltbed.sources.records import RECORD
 from siltbed.streaming.ingest import bounded, trigger
@@ -132,6 +132,16 @@ def load_entities(spark: SparkSession, warehouse: Warehouse, language: str = "en
     return run_load(spark, warehouse, "entity", rows, finish, **how)
 
 
+def refreshed_entities(spark: SparkSession, warehouse: Warehouse, language: str = "en") -> DataFrame:
+    """The stored entities, those without a cohort resolved again with today's cohort records.
+
+    The entity table is append-only, so an entity that came before its cohort stays without one there.
+    """
+    members, labels = cohort_lookup(spark.read.schema(schemas.STAGING).parquet(warehouse.staging("cohort")), language)
+    lookup = lookup_table(members, labels, "cohort_id")
+    return refresh_lookup(warehouse.read(spark, "entity"), "lookup_key", "cohort", lookup)
+
+
 def load_membership(
     spark: SparkSession, warehouse: Warehouse, table: str, array: str, child: str, limits=None, **how
 ) -> StreamingQuery:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from siltbed.schemas import LEDGER, STORAGE
@@ -38,11 +38,9 @@ class Warehouse:
         Folders only: a folder without files reads as an empty table, and an empty file in staging would hide
         the ingest stream's commit log from its readers.
         """
-        for path in (self.landing(), self.staging("entity"), self.staging("cohort")):
+        tables = [self.table(name) for name in STORAGE]
+        for path in (self.landing(), self.staging("entity"), self.staging("cohort"), *tables):
             make_folder(spark, path)
-        for name in STORAGE:
-            make_folder(spark, self.table(name))
-            make_folder(spark, self.ledger(name))
         return self
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:

@@ -1,4 +1,6 @@
 import json
+import subprocess
+import sys
 
 import pytest
 from pyspark.errors import PythonException
@@ -160,3 +162,21 @@ def test_paths(spark):
     assert tuple(row) == (3, None, None, 5, None)
     with pytest.raises(Exception, match="INVALID_VARIANT_CAST"):
         df.select(json_path("v", "$.a", "bigint")).collect()
+
+
+def test_parsers_need_no_package_on_the_executors(tmp_path):
+    """They are pickled by value: a Python process without this package on its path can run them."""
+    from pyspark import cloudpickle
+
+    from siltbed.sources.records import _literal_parser, _whole_file_parser
+
+    (tmp_path / "parsers").write_bytes(cloudpickle.dumps((_literal_parser(), _whole_file_parser())))
+    code = (
+        "import pickle, sys, pandas as pd\n"
+        f"first, whole = pickle.load(open({str(tmp_path / 'parsers')!r}, 'rb'))\n"
+        "frame = pd.DataFrame({'path': ['p'], 'start': [0], 'value': [\"{'id': None}\"]})\n"
+        "print([list(f['text']) for parse in (first, whole) for f in parse([frame])])\n"
+        "assert 'siltbed' not in sys.modules\n"
+    )
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert run.stdout.strip() == """[['{"id": null}'], ['{"id": null}']]""", run.stderr

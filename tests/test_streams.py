@@ -111,6 +111,8 @@ def test_entities(house):
     house.land("cohort", [cohort(5, [("Fifth", "en")], ["s5"])], 2)
     house.land("entity", [entity(6, species="s5")], 2)
     assert house.entities()[-2:] == [(5, None), (6, "Fifth")]
+    fresh = {(r.id, r.cohort) for r in loads.refreshed_entities(house.spark, house.warehouse).collect()}
+    assert fresh == {(1, "First"), (2, "First"), (3, "Second"), (3, "Two"), (4, None), (5, "Fifth"), (6, "Fifth")}
 
 
 def test_memberships(house):
