@@ -324,9 +324,7 @@ def _as_variant(df: DataFrame) -> DataFrame:
 
 def _line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A record per line item: two categories, or none for small quantities."""
-    both = F.array(
-        *[_named(F.col(c), F.ascii(c), "type") for c in ("l_returnflag", "l_linestatus")]
-    )
+    both = F.array(*[_named(F.col(c), F.ascii(c), "type") for c in ("l_returnflag", "l_linestatus")])
     types = F.when(F.col("l_quantity") > 10, both).otherwise(F.slice(both, 1, 0))
     return _table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("id"), F.lit("line").alias("name"), types.alias("types")
@@ -355,17 +353,17 @@ from orders, (values (1), (2), (3)) v(n) where o_orderpriority <> '1-URGENT'
 """
 )
 def flatten_array_(spark, sf_dir):
-    element = [F.struct(F.lit(n).cast("bigint").alias("n"), F.concat("o_orderstatus", F.lit(str(n))).alias("label")) for n in (1, 2, 3)]
+    def element(n: int) -> Column:
+        return F.struct(F.lit(n).cast("bigint").alias("n"), F.concat("o_orderstatus", F.lit(str(n))).alias("label"))
+
     # A missing array (NULL) drops its parent just as an empty one does.
     orders = _table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.when(F.col("o_orderpriority") != "1-URGENT", F.array(*element)).alias("a")
+        "o_orderkey", F.when(F.col("o_orderpriority") != "1-URGENT", F.array(*map(element, (1, 2, 3)))).alias("a")
     )
     return flatten_array(orders, "a", "e", ["o_orderkey"]).select("o_orderkey", "e.n", "e.label")
 
 
-@binding(
-    "select doc_id, source as label from documents where lang = 'en'"
-)
+@binding("select doc_id, source as label from documents where lang = 'en'")
 def pick_localised_(spark, sf_dir):
     def name(text: Column, language: Column) -> Column:
         return F.struct(text.alias("name"), F.struct(language.alias("name")).alias("language"))

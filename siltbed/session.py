@@ -42,12 +42,28 @@ def scratch_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def scratch_home(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{scratch_root(spark)}/siltbed-{spark.sparkContext.applicationId}"
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no other call gets."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the application's scratch that no other call gets."""
+    return f"{scratch_home(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
 def make_folder(spark: SparkSession, path: str) -> None:
     """Create a folder in whatever file system the path belongs to, unless it is there."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    files, folder = _folder(spark, path)
+    files.mkdirs(folder)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the application's scratch. Results that were not written elsewhere cannot be read after it."""
+    files, folder = _folder(spark, scratch_home(spark))
+    files.delete(folder, True)

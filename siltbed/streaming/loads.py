@@ -20,7 +20,7 @@ from siltbed.operators.dimensions import new_dimension_rows
 from siltbed.operators.flatten import flatten_array, pick_localised
 from siltbed.operators.keys import number_rows
 from siltbed.operators.lookups import fact_to_dimension, lookup_chain, lookup_table, refresh_lookup
-from siltbed.session import scratch_root
+from siltbed.session import scratch_home
 from siltbed.sources.records import RECORD
 from siltbed.streaming.ingest import bounded, trigger
 from siltbed.streaming.warehouse import Warehouse, last_id_before, read_batches, write_batch
@@ -61,7 +61,7 @@ def run_load(
 def _work_folder(spark: SparkSession, warehouse: Warehouse, name: str) -> str:
     """The load's own folder, the same for each of its batches, so it holds one batch at most."""
     owner = hashlib.sha256(warehouse.root.encode()).hexdigest()[:16]
-    return f"{scratch_root(spark)}/work-{owner}/{name}"
+    return f"{scratch_home(spark)}/work-{owner}/{name}"
 
 
 def _write_numbered(spark: SparkSession, warehouse: Warehouse, name: str, path: str, batch_id: int) -> None:
@@ -91,13 +91,16 @@ def cohort_lookup(staging: DataFrame, language: str = "en") -> tuple[DataFrame,
     return members.select("cohort_id", F.col("m.name").alias("lookup_key")), labels
 
 
-def membership_rows(staging: DataFrame, array: str, child: str) -> DataFrame:
-    """(category_id, entity_id, category_name) of each element of a membership array."""
+def membership_rows(staging: DataFrame, array: str, child: str, strict: bool = True) -> DataFrame:
+    """(category_id, entity_id, category_name) of each element of a membership array.
+
+    A URL without an id stops the load, or gives a NULL category id when ``strict`` is off.
+    """
     entity_id = json_path(RECORD, "$.id", "bigint").alias("entity_id")
     elements = json_path(RECORD, f"$.{array}", schemas.membership_array(child))
     flat = flatten_array(staging, elements, "e", [entity_id])
     return flat.select(
-        id_from_url(F.col(f"e.{child}.url")).alias("category_id"),
+        id_from_url(F.col(f"e.{child}.url"), strict).alias("category_id"),
         "entity_id",
         F.col(f"e.{child}.name").alias("category_name"),
     )
@@ -143,14 +146,14 @@ def refreshed_entities(spark: SparkSession, warehouse: Warehouse, language: str
 
 
 def load_membership(
-    spark: SparkSession, warehouse: Warehouse, table: str, array: str, child: str, limits=None, **how
+    spark: SparkSession, warehouse: Warehouse, table: str, array: str, child: str, strict=True, limits=None, **how
 ) -> StreamingQuery:
     """New (entity, category) rows of one membership array."""
 
     def finish(work: str, batch_id: int) -> None:
         _write_numbered(spark, warehouse, table, work, batch_id)
 
-    rows = membership_rows(changes(spark, warehouse.staging("entity"), limits), array, child)
+    rows = membership_rows(changes(spark, warehouse.staging("entity"), limits), array, child, strict)
     return run_load(spark, warehouse, table, rows, finish, **how)
 
 

@@ -1,8 +1,9 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 
-from siltbed.session import scratch_folder, scratch_root
+from siltbed.session import drop_scratch, make_folder, scratch_folder, scratch_home, scratch_root
 
 
 def session(shared=None, master="local[2]", checkpoint=None):
@@ -31,3 +32,12 @@ def test_a_local_session_keeps_its_own():
 
 def test_folders_differ(spark):
     assert scratch_folder(spark, "a") != scratch_folder(spark, "a")
+
+
+def test_drop_scratch_leaves_the_shared_folder(spark):
+    shared = Path(scratch_root(spark))
+    make_folder(spark, scratch_folder(spark, "a"))
+    make_folder(spark, str(shared / "other"))
+    assert Path(scratch_home(spark)).exists()
+    drop_scratch(spark)
+    assert not Path(scratch_home(spark)).exists() and (shared / "other").exists()

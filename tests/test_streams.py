@@ -128,6 +128,17 @@ def test_memberships(house):
     assert max(r[0] for r in rows if r[2] != 4) <= 4
 
 
+def test_url_without_an_id(house):
+    bad = entity(1)
+    bad["types"] = [{"type": {"name": "t", "url": "https://api.example.org/type/7"}}]
+    house.land("entity", [bad], 1)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        house.types()
+    load = loads.load_membership(house.spark, house.warehouse, "category_b", *schemas.CATEGORY_B, strict=False)
+    load.awaitTermination()
+    assert house.rows("category_b") == [(1, None, 1, "t")]
+
+
 def test_dedup(house):
     house.land("entity", [entity(1, types=[7])] * 3, 1)
     loads.load_membership(house.spark, house.warehouse, "category_b", *schemas.CATEGORY_B, dedup=True).awaitTermination()
