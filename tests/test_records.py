@@ -3,6 +3,8 @@ import subprocess
 import sys
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
@@ -80,6 +82,23 @@ def test_separator_inside_a_string(spark, tmp_path, whole_files):
     assert parsed(read_literal_records(spark, str(tmp_path), whole_files)) == rows
 
 
+TEXT = st.text(st.sampled_from(list("ab{}[],:'\"\\ \n\t\xa0é\u2028")) | st.characters(codec="utf-8", exclude_categories=["Cs"]), max_size=12)
+VALUE = st.recursive(
+    st.none() | st.booleans() | st.integers(-(2**63), 2**63 - 1) | TEXT | st.just("},{"),
+    lambda inner: st.lists(inner, max_size=3) | st.dictionaries(TEXT, inner, max_size=3),
+    max_leaves=6,
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(values=st.lists(VALUE, max_size=20), whole_files=st.booleans())
+def test_any_literal(spark, tmp_path_factory, values, whole_files):
+    folder = tmp_path_factory.mktemp("literals")
+    rows = [{"id": i, "value": value} for i, value in enumerate(values)]
+    literal_file(folder / "a.json", rows)
+    assert parsed(read_literal_records(spark, str(folder), whole_files)) == rows
+
+
 @pytest.mark.parametrize("size", [17, 64, 100, 333])
 def test_literal_file_in_many_splits(spark, tmp_path, size):
     rows = [{"id": i, "name": "x" * (i % 23), "list": [{"n": i}, {"n": i + 1}]} for i in range(200)]

@@ -128,6 +128,14 @@ def test_memberships(house):
     assert max(r[0] for r in rows if r[2] != 4) <= 4
 
 
+def test_batch_without_rows(house):
+    house.land("entity", [entity(1)], 1)
+    assert house.types() == [] and house.measures() == ([], [])
+    house.land("entity", [entity(2, types=[7], stats=[(1, "hp", 3)])], 2)
+    assert house.types() == [(1, 7, 2, "t7")]
+    assert house.measures() == ([(1, "hp")], [(2, 1, 3)])
+
+
 def test_url_without_an_id(house):
     bad = entity(1)
     bad["types"] = [{"type": {"name": "t", "url": "https://api.example.org/type/7"}}]
