@@ -63,6 +63,11 @@ def make_folder(spark: SparkSession, path: str) -> None:
     files.mkdirs(folder)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _folder(spark, path)
+    return files.exists(folder)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete the application's scratch. Results that were not written elsewhere cannot be read after it."""
     files, folder = _folder(spark, scratch_home(spark))

@@ -20,7 +20,7 @@ from siltbed.operators.dimensions import new_dimension_rows
 from siltbed.operators.flatten import flatten_array, pick_localised
 from siltbed.operators.keys import number_rows
 from siltbed.operators.lookups import fact_to_dimension, lookup_chain, lookup_table, refresh_lookup
-from siltbed.session import scratch_home
+from siltbed.session import folder_exists, scratch_home
 from siltbed.sources.records import RECORD
 from siltbed.streaming.ingest import bounded, trigger
 from siltbed.streaming.warehouse import Warehouse, last_id_before, read_batches, write_batch
@@ -43,10 +43,16 @@ def run_load(
     interval: str = "5 minutes",
     dedup: bool = False,
 ) -> StreamingQuery:
-    """Start one load. ``finish`` gets the work table's path and the batch id; without new files it is not called."""
+    """Start one load. ``finish`` gets the work table's path and the batch id; without new files it is not called.
+
+    A load belongs to its checkpoint. With a new one it starts over, which a table that is further on refuses: its
+    first folder would be replaced and the others would stay.
+    """
     work = _work_folder(spark, warehouse, name)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch_id == 0 and folder_exists(spark, f"{warehouse.table(name)}/batch_id=1"):
+            raise ValueError(f"{warehouse.table(name)} was loaded with another checkpoint; empty it to start over")
         (batch.dropDuplicates() if dedup else batch).write.mode("overwrite").parquet(work)
         finish(work, batch_id)
 

@@ -1,4 +1,6 @@
 import json
+import os
+import shutil
 
 import pytest
 
@@ -40,8 +42,6 @@ class House:
 
     def land(self, endpoint, records, run, as_array=False):
         folder = f"{self.warehouse.root}/landing/run={run}/{endpoint}"
-        import os
-
         os.makedirs(folder, exist_ok=True)
         text = json.dumps(records) if as_array else "\n".join(json.dumps(r) for r in records)
         with open(f"{folder}/part.json", "w") as f:
@@ -181,6 +181,19 @@ def test_idle_and_restarted_loads_add_nothing(house):
     assert query.lastProgress is None or query.lastProgress["numInputRows"] == 0
 
 
+def test_new_checkpoint_needs_an_empty_table(house):
+    for run in (1, 2):
+        house.land("entity", [entity(run, types=[run])], run)
+        house.types()
+    shutil.rmtree(house.warehouse.checkpoint("category_b"))
+    with pytest.raises(Exception, match="another checkpoint"):
+        house.types()
+    shutil.rmtree(house.warehouse.checkpoint("category_b"))
+    shutil.rmtree(house.warehouse.table("category_b"))
+    house.warehouse.create(house.spark)
+    assert sorted(r[1:] for r in house.types()) == [(1, 1, "t1"), (2, 2, "t2")]
+
+
 def test_loads_are_independent(house):
     house.land("entity", [entity(1, types=[7], stats=[(1, "hp", 1)])], 1)
     house.types()
