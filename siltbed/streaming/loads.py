@@ -1,8 +1,8 @@
 """Incremental loads from staging into storage, one independent stream per load.
 
-Each load flattens in the stream, where typed paths reach the scan, and writes the narrow rows once to a work
-table. The rest of the batch runs from that table in the caller's session, so adaptive execution applies to its
-joins (a stream's own session has it off), lineage ends there, and a lost executor costs no second flattening.
+Each load flattens in the stream itself, where typed paths reach the scan; inside a batch function they no longer would.
+A load that needs its rows twice, or their positions, writes the flattened rows once to a work table: flattening is
+not repeated, and the rest of the batch does not depend on executors that are gone.
 A batch is delivered at least once, therefore it writes a folder named after itself.
 """
 
@@ -25,7 +25,7 @@ from siltbed.sources.records import RECORD
 from siltbed.streaming.ingest import bounded, trigger
 from siltbed.streaming.warehouse import Warehouse, last_id_before, read_batches, write_batch
 
-Finish = Callable[[str, int], None]
+Finish = Callable[[DataFrame, int], None]
 
 
 def changes(spark: SparkSession, staging: str, limits: dict | None = None) -> DataFrame:
@@ -43,18 +43,16 @@ def run_load(
     interval: str = "5 minutes",
     dedup: bool = False,
 ) -> StreamingQuery:
-    """Start one load. ``finish`` gets the work table's path and the batch id; without new files it is not called.
+    """Start one load. ``finish`` gets the new rows and the batch id; without new files it is not called.
 
     A load belongs to its checkpoint. With a new one it starts over, which a table that is further on refuses: its
     first folder would be replaced and the others would stay.
     """
-    work = _work_folder(spark, warehouse, name)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch_id == 0 and folder_exists(spark, f"{warehouse.table(name)}/batch_id=1"):
             raise ValueError(f"{warehouse.table(name)} was loaded with another checkpoint; empty it to start over")
-        (batch.dropDuplicates() if dedup else batch).write.mode("overwrite").parquet(work)
-        finish(work, batch_id)
+        finish(batch.dropDuplicates() if dedup else batch, batch_id)
 
     return (
         rows.writeStream.foreachBatch(on_batch)
@@ -64,10 +62,12 @@ def run_load(
     )
 
 
-def _work_folder(spark: SparkSession, warehouse: Warehouse, name: str) -> str:
-    """The load's own folder, the same for each of its batches, so it holds one batch at most."""
+def _settle(spark: SparkSession, warehouse: Warehouse, name: str, rows: DataFrame) -> str:
+    """Write rows to the load's work table. Each batch replaces it, so it holds one batch at most."""
     owner = hashlib.sha256(warehouse.root.encode()).hexdigest()[:16]
-    return f"{scratch_home(spark)}/work-{owner}/{name}"
+    path = f"{scratch_home(spark)}/work-{owner}/{name}"
+    rows.write.mode("overwrite").parquet(path)
+    return path
 
 
 def _write_numbered(spark: SparkSession, warehouse: Warehouse, name: str, path: str, batch_id: int) -> None:
@@ -130,11 +130,10 @@ def load_entities(spark: SparkSession, warehouse: Warehouse, language: str = "en
     Cohort staging has no cursor: each batch reads all of it anew.
     """
 
-    def finish(work: str, batch_id: int) -> None:
-        members, labels = cohort_lookup(
-            spark.read.schema(schemas.STAGING).parquet(warehouse.staging("cohort")), language
-        )
-        found = lookup_chain(spark.read.parquet(work), "lookup_key", members, labels, "cohort_id")
+    def finish(batch: DataFrame, batch_id: int) -> None:
+        cohorts = batch.sparkSession.read.schema(schemas.STAGING).parquet(warehouse.staging("cohort"))
+        members, labels = cohort_lookup(cohorts, language)
+        found = lookup_chain(batch, "lookup_key", members, labels, "cohort_id")
         write_batch(found.select(*schemas.STORAGE["entity"].names), warehouse.table("entity"), batch_id)
 
     rows = entity_rows(changes(spark, warehouse.staging("entity"), limits))
@@ -156,8 +155,8 @@ def load_membership(
 ) -> StreamingQuery:
     """New (entity, category) rows of one membership array."""
 
-    def finish(work: str, batch_id: int) -> None:
-        _write_numbered(spark, warehouse, table, work, batch_id)
+    def finish(batch: DataFrame, batch_id: int) -> None:
+        _write_numbered(spark, warehouse, table, _settle(spark, warehouse, table, batch), batch_id)
 
     rows = membership_rows(changes(spark, warehouse.staging("entity"), limits), array, child, strict)
     return run_load(spark, warehouse, table, rows, finish, **how)
@@ -181,15 +180,15 @@ def load_measures(
 
     Both in one stream: a fact that arrives with its measure would otherwise be dropped by the join.
     """
-    joined = _work_folder(spark, warehouse, "entity_measure_joined")
 
-    def finish(work: str, batch_id: int) -> None:
-        rows = spark.read.parquet(work)
+    def finish(batch: DataFrame, batch_id: int) -> None:
+        rows = spark.read.parquet(_settle(spark, warehouse, "entity_measure", batch))
         load_measure_dim(spark, warehouse, rows, batch_id)
         known = read_batches(spark, warehouse.table("measure"), schemas.STORAGE["measure"])
         known = known.where(F.col("batch_id") <= batch_id).select(F.col("id").alias("measure_id"), "measure_name")
         facts = fact_to_dimension(rows.drop("measure_id"), known, "measure_name")
-        facts.select("entity_id", "measure_id", "value").write.mode("overwrite").parquet(joined)
+        facts = facts.select("entity_id", "measure_id", "value")
+        joined = _settle(spark, warehouse, "entity_measure_joined", facts)
         _write_numbered(spark, warehouse, "entity_measure", joined, batch_id)
 
     rows = measure_rows(changes(spark, warehouse.staging("entity"), limits), array, child)

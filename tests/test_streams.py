@@ -238,7 +238,7 @@ def test_bounded_batches(house, limits):
 
 
 def test_batches_run_with_adaptive_execution(house, monkeypatch):
-    """The stream's own session has it off, and with it the splitting of skewed joins."""
+    """Without it, skewed joins would not be split."""
     plans = []
     write = loads.write_batch
 
