@@ -16,6 +16,7 @@ import hashlib
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ from siltbed.llm.common import documents, map_batches, raw, written
 from siltbed.llm.components import components
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
+#: Members up to which a list is compared pair by pair, and shingles in a block of a group of longer lists.
+SHORT_LIST, BLOCK_VALUES = 16, 400_000
 #: How far below the threshold a sketch's estimate may lie: over six standard deviations of 64 values at 0.8.
 ESTIMATE_SLACK = 0.35
 
@@ -94,10 +97,23 @@ def postings(nodes: DataFrame, threshold: float) -> DataFrame:
         f"concat(if(size(sketch) >= {long}, {runs(long)}, array()), "
         f"if(n_shingles <= {risky} and size(sketch) >= {short}, {runs(short)}, array()))"
     )
-    return nodes.select(F.explode(F.array_distinct(keys)).alias("key"), "node", F.col("n_shingles").alias("n"))
+    return nodes.select(F.explode(F.array_distinct(keys)).alias("key"), "node")
 
 
-def _similar(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, k: int, threshold: float) -> DataFrame:
+def _full_sets(spark: SparkSession, docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """``node``, ``values``: the full sets of ``nodes``, whose digests tell which text is meant."""
+    texts = docs.join(nodes, docs.doc_id == nodes.node).select("node", "hi", "lo", "text")
+
+    def work(batch):
+        sets = [shingle_set(x or b"", width) for x in raw(batch)]
+        digests = zip(batch.column("hi").to_pylist(), batch.column("lo").to_pylist(), strict=True)
+        own = [_digest(s) == d for s, d in zip(sets, digests, strict=True)]
+        return {"node": batch.column("node"), "values": [s.tobytes() if ok else None for s, ok in zip(sets, own, strict=True)]}
+
+    return written(spark, map_batches(texts, work, "node long, values binary").where("values is not null"), "sets")
+
+
+def _similar(spark: SparkSession, nodes: DataFrame, sets: DataFrame, pairs: DataFrame, k: int, threshold: float) -> DataFrame:
     """The pairs (a, b) that are links: estimated from the union of two sketches, confirmed on full sets."""
     part, whole = _fraction(threshold)
 
@@ -109,17 +125,6 @@ def _similar(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: Data
     common = F.size(F.array_intersect(F.array_intersect("s_a", "s_b"), "union"))
     near = pairs.join(side("b"), "b").join(side("a"), "a").where(fit).withColumn("union", union)
     near = near.where(common >= (threshold - ESTIMATE_SLACK) * F.size("union")).select("a", "b")
-    near = written(spark, near, "candidates")
-
-    named = near.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "hi", "lo"), "node")
-    texts = docs.join(named, docs.doc_id == named.node).select("node", "hi", "lo", "text")
-
-    def full_sets(batch):
-        sets = [shingle_set(x or b"", width) for x in raw(batch)]
-        own = [_digest(s) == d for s, d in zip(sets, zip(*(batch.column(c).to_pylist() for c in ("hi", "lo")), strict=True), strict=True)]
-        return {"node": batch.column("node"), "values": [s.tobytes() if ok else None for s, ok in zip(sets, own, strict=True)]}
-
-    sets = written(spark, map_batches(texts, full_sets, "node long, values binary").where("values is not null"), "sets")
     both = near.join(sets.select(F.col("node").alias("b"), F.col("values").alias("v_b")), "b")
     both = both.join(sets.select(F.col("node").alias("a"), F.col("values").alias("v_a")), "a")
 
@@ -134,6 +139,45 @@ def _similar(spark: SparkSession, docs: DataFrame, nodes: DataFrame, pairs: Data
     return written(spark, map_batches(both, confirm, "a long, b long, linked boolean", "v_b").where("linked").select("a", "b"), "links")
 
 
+def _links_in_groups(spark: SparkSession, members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links between nodes of one ``group`` that lie in different components.
+
+    A group is cut by set size and into blocks, and each two of its blocks meet in one task, which counts the common
+    values of all their nodes from a local inverted index. Only links leave the task.
+    """
+    part, whole = _fraction(threshold)
+    # sizes of linked sets differ by the threshold at most: a document meets those of its size class and the two beside it
+    size = F.floor(F.log("n_shingles") / math.log(1 / threshold)).cast("long")
+    classed = members.select("node", "component", "n_shingles", "group", F.explode(F.array(size, size - 1)).alias("size"))
+    blocks = classed.groupBy("group", "size").agg(F.ceil(F.sum("n_shingles") / BLOCK_VALUES).alias("blocks"))
+    placed = classed.join(blocks, ["group", "size"]).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    placed = placed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    placed = placed.select("group", "size", "node", "component", "own", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
+
+    def meet(table: pa.Table) -> pa.Table:
+        node, component, own, p, q = (table.column(c).to_numpy() for c in ("node", "component", "own", "p", "q"))
+        values = [np.frombuffer(v, np.int64) for v in table.column("values").to_pylist()]
+        left, right = np.flatnonzero(own == p), np.flatnonzero(own == q)
+        size = np.array([len(v) for v in values])
+        flat, owner = np.concatenate([values[i] for i in right]), np.repeat(np.arange(len(right)), size[right])
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        found: list[tuple[int, int]] = []
+        for i in left:
+            first, last = np.searchsorted(flat, values[i], "left"), np.searchsorted(flat, values[i], "right")
+            n = last - first
+            at = np.repeat(last - np.cumsum(n), n) + np.arange(n.sum())
+            shared = np.bincount(owner[at], minlength=len(right))
+            linked = whole * shared >= part * (size[i] + size[right] - shared)
+            linked &= component[right] != component[i]
+            found += [(min(node[i], node[j]), max(node[i], node[j])) for j in right[linked]]
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    whole_rows = placed.join(sets, "node")
+    return written(spark, whole_rows.groupBy("group", "size", "p", "q").applyInArrow(meet, "a long, b long").distinct(), "links")
+
+
 def _fraction(threshold: float) -> tuple[int, int]:
     """The threshold as a fraction of whole numbers, so that the comparison is exact."""
     from fractions import Fraction
@@ -155,8 +199,8 @@ def near_duplicates(
 
     Documents are linked where the Jaccard similarity of their sets of ``width``-word shingles is at least ``threshold``.
     Equal sets count as one node, so copies cost nothing beyond their own row. Lists are first resolved against their smallest
-    member; what then lies in different components is compared pair by pair, so that no link is lost and large
-    groups of copies do not multiply.
+    member; documents of lists that then still hold several components are compared in blocks, out of which only links come, so
+    that no link is lost and large groups do not multiply.
 
     Null, empty and wordless texts have no shingles and are linked with nothing. Rows with one id count as one document,
     linked by any of its texts. Rows without an id take part through their text: their component is the smallest id there, null if there is none,
@@ -171,36 +215,33 @@ def near_duplicates(
     heads = lists.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last").select("key", "head")
     lists = written(spark, lists.join(heads, "key"), "lists")
 
+    sets = _full_sets(spark, docs, lists.select("node").distinct().join(classes.select("node", "hi", "lo"), "node"), width)
     pairs = lists.where("node <> head").groupBy(F.col("head").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("times"))
     pairs = written(spark, pairs, "pairs")
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a")).select("a", "b")
-    links = _similar(spark, docs, classes, best, width, k, threshold)
+    links = _similar(spark, classes, sets, best, k, threshold)
     found = components(spark, links.toDF("u", "v"))
 
-    def across(pairs: DataFrame) -> DataFrame:
-        """The pairs whose ends lie in different components so far."""
-        for end in ("a", "b"):
-            of = found.select(F.col("node").alias(end), F.col("component").alias(f"c_{end}"))
-            pairs = pairs.join(of, end, "left").withColumn(f"c_{end}", F.coalesce(f"c_{end}", end))
-        return pairs.where("c_a <> c_b").select("a", "b")
-
-    more = across(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"))
-    links = links.union(_similar(spark, docs, classes, more, width, k, threshold))
+    ends = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
+    for end in ("a", "b"):
+        of = found.select(F.col("node").alias(end), F.col("component").alias(f"c_{end}"))
+        ends = ends.join(of, end, "left").withColumn(f"c_{end}", F.coalesce(f"c_{end}", end))
+    links = links.union(_similar(spark, classes, sets, ends.where("c_a <> c_b").select("a", "b"), k, threshold))
     found = components(spark, links.toDF("u", "v"))
 
-    placed = lists.join(found, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-    placed = placed.join(mixed, "key")
-    left = placed.select("key", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "component")))
-    right = placed.select("key", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "component")))
-    part, whole = _fraction(threshold)
-    rest = left.join(right, "key").where(
-        (F.col("node_a") < F.col("node_b"))
-        & (F.col("component_a") != F.col("component_b"))
-        & (whole * F.least("n_a", "n_b") >= part * F.greatest("n_a", "n_b"))
-    )
-    rest = rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    links = links.union(_similar(spark, docs, classes, rest, width, k, threshold))
+    # lists that still hold several components: short ones pair by pair; long ones, joined where they share members, in blocks
+    placed = lists.join(found, "node", "left").select("key", "head", "node", F.coalesce("component", "node").alias("component"))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members"))
+    placed = written(spark, placed.join(mixed.where("x < y").select("key", "members"), "key"), "placed")
+    short = placed.where(F.col("members") <= SHORT_LIST).select("key", "node", "component")
+    ends = short.toDF("key", "a", "c_a").join(short.toDF("key", "b", "c_b"), "key").where("a < b and c_a <> c_b")
+    ends = ends.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    links = links.union(_similar(spark, classes, sets, ends, k, threshold))
+    long = placed.where(F.col("members") > SHORT_LIST).select("head", "node", "component").distinct()
+    groups = components(spark, long.select(F.col("head").alias("u"), F.col("node").alias("v")))
+    members = long.select("node", "component").distinct().join(groups.withColumnRenamed("component", "group"), "node")
+    members = members.join(classes.select("node", "n_shingles"), "node")
+    links = links.union(_links_in_groups(spark, members, sets, threshold))
     found = components(spark, links.toDF("u", "v"))
 
     named = classes.select("hi", "lo", "node").join(found, "node", "left")
