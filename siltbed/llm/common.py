@@ -20,13 +20,32 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+#: Setting that removes an execution's shuffle files when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared scratch folder: later reads depend on files, not on executors."""
+    """``df`` as a table in the shared scratch folder: later reads depend on files, not on executors.
+
+    Shuffle files of the write are of no use after it and are removed with its end.
+    """
     path = scratch_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, table: DataFrame) -> None:
+    """Deletes a table that ``written`` made and that nothing reads any more."""
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Cuts a batch so that each part holds at most ``BATCH_BYTES`` of ``column``, or one row."""
     sizes = [0 if n is None else n for n in pc.binary_length(batch.column(column)).to_pylist()]

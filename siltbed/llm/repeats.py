@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import documents, map_batches, raw, slices, written
+from siltbed.llm.common import documents, dropped, map_batches, raw, written
 from siltbed.llm.suffixes import sort_suffixes
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -58,6 +58,30 @@ def anchors(data: bytes, length: int, size: int) -> tuple[np.ndarray, np.ndarray
     return places, h[places].view(np.int64)
 
 
+def owned_starts(data: bytes, length: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors by the strings they are first in: place, hash, and the first and last start of their strings.
+
+    Each string of ``length`` bytes belongs to the leftmost of its anchors, so all its occurrences have it in the same place.
+    """
+    places, hashes = anchors(data, length, size)
+    if not len(places):
+        return places, hashes, places, places
+    width = length - size + 1
+    smallest = _rolling(_gram_hashes(data, size), width, np.minimum).view(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], smallest[1:] != smallest[:-1]]))
+    last = np.concatenate([first[1:], [len(smallest)]]) - 1
+    found = []
+    while len(first):
+        at = np.searchsorted(places, first)
+        while (other := hashes[at] != smallest[first]).any():
+            at[other] += 1
+        found.append((at, first, np.minimum(last, places[at])))
+        on = places[at] < last  # the same hash occurs again behind: the rest belongs to its next place
+        first, last = places[at][on] + 1, last[on]
+    at, first, last = (np.concatenate(x) for x in zip(*found, strict=True))
+    return places[at], hashes[at], first, last
+
+
 def _anchor_rows(docs: DataFrame, length: int, size: int) -> DataFrame:
     """``h``, ``salt``, ``doc_id``, ``known``: the distinct anchors of each document.
 
@@ -86,39 +110,35 @@ def _anchor_rows(docs: DataFrame, length: int, size: int) -> DataFrame:
 
 
 def _windows(texts: DataFrame, length: int, size: int) -> DataFrame:
-    """``h``, ``doc_id``, ``place``, ``near``, ``ahead``: the bytes around each shared anchor, ``ahead`` of them before it.
+    """``h``, ``doc_id``, ``first``, ``ahead``, ``near``, ``last``: the bytes of all strings of each shared anchor.
 
-    Documents of a batch that have the same window: the smallest id keeps it; for the others every string in it is
-    known to occur in a smaller document, which a null ``h`` says.
+    ``near`` starts at ``first``, ``ahead`` bytes before the anchor. Documents of a batch that have the same window: the smallest id keeps
+    it; for the others every string in it is known to occur in a smaller document, and only its starts, ``first`` to ``last``, go on.
     """
-    before = length - size
 
     def work(batch):
-        out = {}
+        lowest, found = {}, []
         rows = zip(batch.column("doc_id").to_pylist(), raw(batch), batch.column("shared").to_pylist(), strict=True)
-        found = []
         for doc_id, data, shared in rows:
-            places, hashes = anchors(data or b"", length, size)
-            own = np.isin(hashes, np.array(shared, np.int64))
-            for p, h in zip(places[own].tolist(), hashes[own].tolist(), strict=True):
-                start = max(0, p - before)
-                near = data[start : p + length]
-                smallest = out.get((near, p - start))
-                if smallest is None or doc_id < smallest:
-                    out[near, p - start] = doc_id
-                found.append((h, doc_id, p, near, p - start))
-        kept = [(None, d, p, None, len(n) - length - a, a) if out[n, a] < d else (h, d, p, n, None, a) for h, d, p, n, a in found]
+            columns = owned_starts(data or b"", length, size)
+            own = np.isin(columns[1], np.array(shared, np.int64))
+            for p, h, first, last in zip(*(c[own].tolist() for c in columns), strict=True):
+                near = data[first : last + length]
+                if doc_id < lowest.get((near, p - first), doc_id + 1):
+                    lowest[near, p - first] = doc_id
+                found.append((h, doc_id, first, p - first, near, last))
+        kept = [(None, d, f, None, None, e) if lowest[n, a] < d else (h, d, f, a, n, None) for h, d, f, a, n, e in found]
         columns = list(zip(*kept, strict=True)) or [()] * 6
-        return dict(zip(("h", "doc_id", "place", "near", "until", "ahead"), columns, strict=True))
+        return dict(zip(("h", "doc_id", "first", "ahead", "near", "last"), columns, strict=True))
 
-    return map_batches(texts, work, "h long, doc_id long, place long, near binary, until int, ahead int")
+    return map_batches(texts, work, "h long, doc_id long, first long, ahead int, near binary, last long")
 
 
 def _sorted_repeats(length: int, size: int):
     """For tasks that hold whole anchors: runs of starting places of strings that also start in a smaller document."""
     before, width = length - size, 2 * length - size
 
-    def sort(h, ids, places, near, ahead) -> pa.RecordBatch:
+    def sort(ids, firsts, ahead, near) -> pa.RecordBatch:
         table = np.zeros((len(near), width), np.uint8)
         valid = np.zeros((len(near), before + 1), bool)
         for i, (data, a) in enumerate(zip(near, ahead, strict=True)):
@@ -138,17 +158,17 @@ def _sorted_repeats(length: int, size: int):
         first = np.full((len(unique), before + 1), np.iinfo(np.int64).max)
         first[row[usable], at[usable]] = lowest[group[usable]]
         i, j = np.nonzero(first[which] < ids[:, None])
-        starts = places[i] - before + j
-        return _runs(ids[i], starts)
+        return _runs(ids[i], firsts[i] + ahead[i] - before + j)
 
     def run(batches):
-        held = {"h": [], "doc_id": [], "place": [], "near": [], "ahead": []}
+        held = {"h": [], "doc_id": [], "first": [], "ahead": [], "near": []}
 
         def flush(upto: int) -> pa.RecordBatch:
             taken = {k: v[:upto] for k, v in held.items()}
             for k in held:
                 held[k] = held[k][upto:]
-            return sort(taken["h"], np.array(taken["doc_id"], np.int64), np.array(taken["place"], np.int64), taken["near"], taken["ahead"])
+            whole = (np.array(taken[k], np.int64) for k in ("doc_id", "first", "ahead"))
+            return sort(*whole, taken["near"])
 
         for batch in batches:
             for k in held:
@@ -198,7 +218,8 @@ def repeated_runs(spark: SparkSession, docs: DataFrame, length: int = 50, size:
     rows = _anchor_rows(docs.where("doc_id is not null"), length, size)
     lows = "min(doc_id) over (partition by h, salt) < max(doc_id) over (partition by h, salt)"
     shared = rows.selectExpr("h", "doc_id", f"known or ({lows}) as shared").where("shared").select("h", "doc_id")
-    by_doc = shared.groupBy("doc_id").agg(F.collect_list("h").alias("shared"))  # as many as the document has anchors
+    # as many as the document has anchors
+    by_doc = written(spark, shared.groupBy("doc_id").agg(F.collect_list("h").alias("shared")), "shared")
     alone = by_doc.join(named.where("doc_id = twin").select("doc_id", "digest"), "doc_id")
     texts = docs.join(alone, "doc_id").where(F.unhex(F.sha2(F.col("text").cast("binary"), 256)) == F.col("digest"))
     texts = written(spark, texts.select("doc_id", "text", "shared"), "texts")
@@ -210,18 +231,17 @@ def repeated_runs(spark: SparkSession, docs: DataFrame, length: int = 50, size:
     parts = max(spark.sparkContext.defaultParallelism, total // WINDOWS_A_TASK + 1)
     dealt = windows.where("h is not null").join(frequent, "h", "left_anti").repartition(parts, "h").sortWithinPartitions("h")
     schema = "doc_id long, first long, last long"
-    found = dealt.select("h", "doc_id", "place", "near", "ahead").mapInArrow(_sorted_repeats(length, size), schema)
-
-    known = windows.where("h is null").selectExpr("doc_id", "place - ahead as first", "place + until as last")
+    found = dealt.select("h", "doc_id", "first", "ahead", "near").mapInArrow(_sorted_repeats(length, size), schema)
 
     # strings around a frequent anchor, one row for each: equal ones are aggregated before they meet
-    many = windows.join(frequent, "h", "left_semi").selectExpr(
-        "doc_id", "place - ahead as start", "near", f"explode(sequence(0, length(near) - {length})) as i"
-    )
-    many = many.selectExpr("doc_id", "start + i as first", f"substring(near, i + 1, {length}) as string")
+    many = windows.join(frequent, "h", "left_semi").selectExpr("doc_id", "first", "near", f"explode(sequence(0, length(near) - {length})) as i")
+    many = many.selectExpr("doc_id", "first + i as first", f"substring(near, i + 1, {length}) as string")
     lowest = many.groupBy("string").agg(F.min("doc_id").alias("lowest"))
     single = many.join(lowest, "string").where("lowest < doc_id").selectExpr("doc_id", "first", "first as last")
-    return narrow, texts, found.union(known).union(single)
+    known = windows.where("h is null").select("doc_id", "first", "last")
+    runs = written(spark, found.union(known).union(single), "runs")
+    dropped(spark, windows)
+    return narrow, texts, runs
 
 
 def _merged(first: np.ndarray, last: np.ndarray, length: int) -> list[tuple[int, int]]:
