@@ -139,24 +139,25 @@ def _sorted_repeats(length: int, size: int):
     before, width = length - size, 2 * length - size
 
     def sort(ids, firsts, ahead, near) -> pa.RecordBatch:
-        table = np.zeros((len(near), width), np.uint8)
-        valid = np.zeros((len(near), before + 1), bool)
-        for i, (data, a) in enumerate(zip(near, ahead, strict=True)):
-            table[i, before - a : before - a + len(data)] = np.frombuffer(data, np.uint8)
-            valid[i, before - a : before - a + len(data) - length + 1] = True
         # equal windows are sorted once and stand for their smallest document
-        unique, which = np.unique(np.concatenate([table, valid.astype(np.uint8)], axis=1), axis=0, return_inverse=True)
-        which = which.ravel()
-        smallest = np.full(len(unique), np.iinfo(np.int64).max)
+        index: dict[tuple[bytes, int], int] = {}
+        which = np.array([index.setdefault(x, len(index)) for x in zip(near, ahead.tolist(), strict=True)], np.int64)
+        sizes = np.array([len(data) for data, _ in index], np.int64)
+        shift = before - np.array([a for _, a in index], np.int64)
+        table = np.zeros((len(index), width), np.uint8)
+        place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - shift, sizes)
+        table[np.repeat(np.arange(len(index)), sizes), place] = np.frombuffer(b"".join(data for data, _ in index), np.uint8)
+        start = np.arange(before + 1)
+        valid = (start >= shift[:, None]) & (start <= (shift + sizes - length)[:, None])
+        smallest = np.full(len(index), np.iinfo(np.int64).max)
         np.minimum.at(smallest, which, ids)
-        row, at, common = sort_suffixes(unique[:, :width], before + 1, length)
-        usable = unique[row, width + at] > 0
+        row, at, common = sort_suffixes(table, valid, length)
         # a class goes on while neighbours share ``length`` bytes
         group = np.cumsum(common < length) - 1 if len(row) else np.empty(0, np.int64)
         lowest = np.full(int(group[-1]) + 1 if len(group) else 0, np.iinfo(np.int64).max)
-        np.minimum.at(lowest, group[usable], smallest[row[usable]])
-        first = np.full((len(unique), before + 1), np.iinfo(np.int64).max)
-        first[row[usable], at[usable]] = lowest[group[usable]]
+        np.minimum.at(lowest, group, smallest[row])
+        first = np.full((len(index), before + 1), np.iinfo(np.int64).max)
+        first[row, at] = lowest[group]
         i, j = np.nonzero(first[which] < ids[:, None])
         return _runs(ids[i], firsts[i] + ahead[i] - before + j)
 

@@ -17,8 +17,8 @@ def _words_at(flat: np.ndarray) -> np.ndarray:
     return np.ndarray((len(flat),), ">u8", padded, strides=(1,)).astype(np.uint64)
 
 
-def sort_suffixes(strings: np.ndarray, starts: int, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order of the suffixes that begin in the first ``starts`` bytes of each row of ``strings`` (uint8, zero at the ends).
+def sort_suffixes(strings: np.ndarray, wanted: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the ``wanted`` suffixes (by row, and place among a row's first bytes) of ``strings`` (uint8, zero at the ends).
 
     Returns, in sorted order, row and place of each suffix, and the length of its common prefix with the one before,
     counted up to ``depth``. Suffixes that agree in ``depth`` bytes stand together in any order.
@@ -28,15 +28,18 @@ def sort_suffixes(strings: np.ndarray, starts: int, depth: int) -> tuple[np.ndar
     text = np.zeros((rows, pitch), np.uint8)
     text[:, :width] = strings
     # direct[i]: suffix i is smaller than suffix i + 1; equal bytes take what comes after them
-    direct = np.zeros((rows, pitch), bool)
-    direct[:, -1] = True
+    by_place = np.ascontiguousarray(text.T)
+    smaller = np.ones((pitch, rows), bool)
     for i in range(width - 1, -1, -1):
-        direct[:, i] = np.where(text[:, i] == text[:, i + 1], direct[:, i + 1], text[:, i] < text[:, i + 1])
+        smaller[i] = np.where(by_place[i] == by_place[i + 1], smaller[i + 1], by_place[i] < by_place[i + 1])
+    direct = np.ascontiguousarray(smaller.T)
     # induction needs each induced suffix's successors up to the next direct one
-    needed = np.zeros((rows, pitch), bool)
-    needed[:, :starts] = True
-    for i in range(starts, pitch):
-        needed[:, i] = needed[:, i - 1] & ~direct[:, i - 1] if i > starts - 1 else needed[:, i]
+    asked = np.zeros((rows, pitch), bool)
+    asked[:, : wanted.shape[1]] = wanted
+    needed = np.ascontiguousarray(asked.T)
+    for i in range(1, pitch):
+        needed[i] |= needed[i - 1] & ~smaller[i - 1]
+    needed = needed.T
     flat, is_direct = text.ravel(), direct.ravel()
     places = np.flatnonzero(needed.ravel())
     own_direct = is_direct[places]
@@ -78,7 +81,7 @@ def sort_suffixes(strings: np.ndarray, starts: int, depth: int) -> tuple[np.ndar
         ordered.append(own)
         done += len(own)
     order = np.concatenate(ordered) if ordered else np.empty(0, np.int64)
-    order = order[order % pitch < starts]
+    order = order[asked.ravel()[order]]
     return order // pitch, order % pitch, _common(words, order, pitch, depth)
 
 
@@ -89,13 +92,15 @@ def _common(words: np.ndarray, order: np.ndarray, pitch: int, depth: int) -> np.
         return out
     a, b = order[:-1], order[1:]
     most = np.minimum(depth, pitch - np.maximum(a % pitch, b % pitch))
-    common, same = np.zeros(len(a), np.int64), np.ones(len(a), bool)
+    common, open_ = np.full(len(a), depth), np.arange(len(a))
     for k in range(0, depth, _EIGHT):
-        apart = words[np.minimum(a + k, len(words) - 1)] ^ words[np.minimum(b + k, len(words) - 1)]
-        equal = np.zeros(len(a), np.int64)
+        apart = words[np.minimum(a[open_] + k, len(words) - 1)] ^ words[np.minimum(b[open_] + k, len(words) - 1)]
+        differ = apart != 0
+        first = apart[differ]
+        equal = np.zeros(len(first), np.int64)
         for byte in range(_EIGHT):
-            equal += (apart >> np.uint64(56 - 8 * byte)) == 0
-        common += np.where(same, equal, 0)
-        same &= apart == 0
+            equal += (first >> np.uint64(56 - 8 * byte)) == 0
+        common[open_[differ]] = k + equal
+        open_ = open_[~differ]
     out[1:] = np.minimum(common, most)
     return out
