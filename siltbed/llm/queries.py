@@ -119,4 +119,112 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE: dict[str, str] = {
+    "op3_topk": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as x from embeddings
+            where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ),
+        s as (
+            select q.vec_id as query_id, v.vec_id, list_dot_product(q.x, v.x)::bigint as score
+            from v as q join v on q.vec_id % 100 = 0 and v.vec_id <> q.vec_id
+        ),
+        r as (select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score from s)
+        select * from r where rank <= 10
+    """,
+    "op4_url_filters": """
+        with rules(rule, verdict, host, path) as (
+            values ('com/', 'allow', 'com', '/'), ('example.com/en/', 'block', 'example.com', '/en/'),
+                ('www.example.com/en/', 'allow', 'www.example.com', '/en/'),
+                ('net/es/', 'block', 'net', '/es/'), ('net/fr/', 'block', 'net', '/fr/')
+        ),
+        rest as (
+            select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest from pages
+        ),
+        split as (select page_id, regexp_extract(rest, '^[^/?#]*') as given, rest from rest),
+        p as (
+            select page_id, translate(given, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                regexp_extract(substr(rest, length(given) + 1), '^[^?#]*') as path
+            from split
+        ),
+        best as (
+            select page_id, p.host, p.path, r.rule, r.verdict,
+                row_number() over (partition by page_id order by length(r.rule) desc nulls last) as n
+            from p left join rules as r
+                on (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path)
+        )
+        select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from best where n = 1
+    """,
+    "op5_chat_format": """
+        with c as (
+            select conv_id, list({'role': role, 'text': text} order by turn nulls first, role nulls first, text nulls first) as turns
+            from conversations where conv_id is not null group by conv_id
+        ),
+        one as (select turns, min(conv_id) as conv_id, count(*) as n_copies from c group by turns)
+        select conv_id, len(turns)::bigint as n_turns, n_copies,
+            list_aggregate(list_transform(turns, lambda t: '<|im_start|>' || coalesce(t.role, 'user') || chr(10)
+                || coalesce(t.text, '') || '<|im_end|>' || chr(10)), 'string_agg', '') as rendered
+        from one as a
+        where not exists (
+            select 1 from c as b where len(b.turns) > len(a.turns) and list_slice(b.turns, 1, len(a.turns)) = a.turns
+        )
+    """,
+    "op8_near_dedup": f"""
+        with recursive w as (
+            select doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') as w from documents
+        ),
+        s as (
+            select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) = 1 then [w[1]]
+                else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end) as shingle
+            from w
+        ),
+        n as (select doc_id, count(*) as n from s group by doc_id),
+        common as (
+            select a.doc_id as a, b.doc_id as b, count(*) as c from s as a join s as b using (shingle)
+            where a.doc_id <> b.doc_id group by all
+        ),
+        links as (
+            select a, b from common join n as x on x.doc_id = a join n as y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)
+        ),
+        reach(doc_id, other) as (
+            select doc_id, doc_id from documents union select reach.doc_id, links.b from reach join links on links.a = reach.other
+        ),
+        found as (select doc_id, min(other) as component_id from reach group by doc_id)
+        select doc_id, coalesce(n.n, 0) as n_shingles, component_id, doc_id = component_id as kept
+        from found left join n using (doc_id)
+    """,
+    "op10_suffix_dedup": """
+        with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+        -- 500 starts at a time: a place far into a string is slow to reach
+        parts as (select doc_id, c, substr(h, (1000 * c + 1)::bigint, 1098) as part
+            from (select doc_id, h, unnest(range(0, len(h) // 1000 + 1)) as c from d)),
+        g as (
+            select doc_id, 500 * c + j as i, substr(part, (2 * j + 1)::bigint, 100) as gram
+            from (select doc_id, c, part, unnest(range(0, least(500, len(part) // 2 - 49))) as j from parts)
+        ),
+        f as (select gram, min(doc_id) as first from g group by gram),
+        starts as (select doc_id, i from g join f using (gram) where first < doc_id),
+        spans as (
+            select doc_id, min(i) as a, max(i) + 50 as b
+            from (
+                select doc_id, i, sum(case when i <= before + 50 then 0 else 1 end) over (partition by doc_id order by i) as span
+                from (select doc_id, i, lag(i) over (partition by doc_id order by i) as before from starts)
+            ) group by doc_id, span
+        ),
+        cut as (
+            select doc_id, list(a order by a) as a, list(b order by b) as b, sum(b - a)::bigint as n_removed, count(*) as n_spans
+            from spans group by doc_id
+        ),
+        kept as (
+            select d.doc_id, (len(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+                case when cut.doc_id is null then h else list_aggregate(list_transform(range(0, len(a) + 1), lambda k:
+                    substr(h, (2 * (case when k = 0 then 0 else b[k] end) + 1)::bigint,
+                        (2 * ((case when k = len(a) then len(h) // 2 else a[k + 1] end) - (case when k = 0 then 0 else b[k] end)))::bigint)
+                ), 'string_agg', '') end as rest
+            from d left join cut using (doc_id)
+        )
+        select doc_id, n_bytes, n_removed, n_spans, sha256(unhex(rest)) as kept_sha256 from kept
+    """,
+}

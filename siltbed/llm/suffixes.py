@@ -36,7 +36,7 @@ def sort_suffixes(strings: np.ndarray, wanted: np.ndarray, depth: int) -> tuple[
     # induction needs each induced suffix's successors up to the next direct one
     asked = np.zeros((rows, pitch), bool)
     asked[:, : wanted.shape[1]] = wanted
-    needed = np.ascontiguousarray(asked.T)
+    needed = asked.T.copy()
     for i in range(1, pitch):
         needed[i] |= needed[i - 1] & ~smaller[i - 1]
     needed = needed.T
