@@ -19,3 +19,14 @@ def new_dimension_rows(candidates: DataFrame, existing: DataFrame, key: str) ->
     ).scalar()
     passes = (state == "empty") | ((state == "plain") & F.col(key).isNotNull())
     return candidates.distinct().where(passes).join(keys, key, "left_anti")
+
+
+def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
+    """The row with the largest ``order`` of each ``key``: one row per key, whatever was landed again.
+
+    Rows are reduced before they are shuffled, so a key landed very often is no hot key. Of equally late rows the largest
+    by all columns stays. A NULL order comes first.
+    """
+    whole = F.struct(F.col(order).alias("__order"), *df.columns)
+    latest = df.groupBy(F.col(key).alias("__key")).agg(F.max(whole).alias("__row"))
+    return latest.select(*(F.col(f"__row.{c}").alias(c) for c in df.columns))

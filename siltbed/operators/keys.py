@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from siltbed.session import scratch_folder
 
-# Rows of the offset table (one per file) that may be broadcast: about 200 bytes each.
-OFFSETS_TO_BROADCAST = 1_000_000
-
 
 def number_rows(spark: SparkSession, path: str, columns: list[str], start: int = 0, id_: str = "id") -> DataFrame:
     """Rows of a Parquet folder with dense ids from ``start + 1``.
@@ -26,8 +23,6 @@ def number_rows(spark: SparkSession, path: str, columns: list[str], start: int =
         .agg(F.count("*").alias("n"))
         .select("__file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset"))
     )
-    if len(rows.inputFiles()) <= OFFSETS_TO_BROADCAST:
-        offsets = F.broadcast(offsets)
     id_value = F.lit(start + 1).cast("bigint") + F.col("__offset") + F.col("__row")
     return rows.join(offsets, "__file").select(id_value.alias(id_), *columns)
 

@@ -7,6 +7,7 @@ gives the same totals. Copies of an entity are one row at the join, so two hot s
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType, DecimalType
 
 
 def _per_key(df: DataFrame, key: str, by: list[str], *totals: Column) -> DataFrame:
@@ -24,6 +25,29 @@ def _copies(df: DataFrame, key: str, by: list[str], count: str, dedup: bool) ->
     return _per_key(df, key, by, (F.lit(1).cast("bigint") if dedup else F.count("*")).alias(count))
 
 
+def _owners(entities: DataFrame, members: DataFrame, by: list[str]) -> tuple[list[str], list[str]]:
+    """The group columns of either side, by the session's rules for names. A column both sides have is ambiguous."""
+    exact = entities.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+
+    def among(name: str, columns: list[str]) -> bool:
+        return name in columns if exact else name.lower() in {c.lower() for c in columns}
+
+    both = [c for c in by if among(c, entities.columns) and among(c, members.columns)]
+    if both:
+        raise ValueError(f"both sides have {both}: rename or drop one")
+    return [c for c in by if among(c, entities.columns)], [c for c in by if not among(c, entities.columns)]
+
+
+def _times(copies: Column, subtotal: Column, kind: DataType) -> Column:
+    """``copies * subtotal``, exact for decimals: Spark would cut the scale of a product this wide.
+
+    For a decimal up to 999,999,999 copies and subtotals of 28 digits fit; more raise an error.
+    """
+    if not isinstance(kind, DecimalType):
+        return copies * subtotal
+    return copies.cast(DecimalType(9, 0)) * subtotal.cast(DecimalType(28, kind.scale))
+
+
 def joined_counts(
     entities: DataFrame,
     entity_key: str,
@@ -41,8 +65,7 @@ def joined_counts(
     but unique in a membership table, and counting it would be one more shuffle of the large side for nothing. A hot key's
     members are then spread over many tasks by adaptive execution.
     """
-    of_entities = [c for c in by if c in entities.columns]
-    of_members = [c for c in by if c not in of_entities]
+    of_entities, of_members = _owners(entities, members, by)
     left = _copies(entities, entity_key, of_entities, "__left", dedup)
     if of_members and not dedup:
         right = members.select(F.col(member_key).alias("__key"), *of_members)
@@ -68,4 +91,8 @@ def joined_sums(
         facts = facts.dropDuplicates()
     left = _copies(entities, entity_key, by, "__left", dedup)
     right = _per_key(facts, fact_key, [], F.sum(value).alias("__sum"))
-    return left.join(right, "__key").groupBy(*by).agg(F.sum(F.col("__left") * F.col("__sum")).alias(total))
+    kind = right.schema["__sum"].dataType
+    out = F.sum(_times(F.col("__left"), F.col("__sum"), kind))
+    if isinstance(kind, DecimalType):
+        out = out.cast(kind)
+    return left.join(right, "__key").groupBy(*by).agg(out.alias(total))

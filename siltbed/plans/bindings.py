@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from siltbed import schemas
 from siltbed.functions.paths import endpoint_from_url, id_from_url, json_path, json_text_path
-from siltbed.operators.dimensions import new_dimension_rows
+from siltbed.operators.dimensions import latest_per_key, new_dimension_rows
 from siltbed.operators.flatten import flatten_array, pick_localised
 from siltbed.operators.keys import assign_surrogate_ids, check_reference, check_unique
 from siltbed.operators.lookups import fact_to_dimension, lookup_chain, refresh_lookup
@@ -99,7 +99,7 @@ def rank_gap_levels(spark, sf_dir):
 @binding(_rank_gap_sql("select event_type, count(event_id) as n from events group by 1", "event_type"))
 def rank_gap_window(spark, sf_dir):
     counts = _table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("event_id").alias("n"))
-    return marts.rank_gap_window(counts, "event_type")
+    return marts.rank_gap(counts, "event_type")
 
 
 @binding(
@@ -121,6 +121,29 @@ def strength_rating_by_id(spark, sf_dir):
     return marts.strength_rating(part, "p_partkey", facts, "l_partkey", "value", "p_name", key="id")
 
 
+_CENTS = "cast(cast(l_quantity as bigint) * 1000000007 + l_orderkey as decimal(18, 0))"
+
+
+@binding(
+    f"select p_name, cast(sum(cast({_CENTS} / 10000000000.0 as decimal(18, 10))) as decimal(28, 10)) as strength "
+    "from (select p_name, l_quantity, l_orderkey from lineitem join part on p_partkey = l_partkey) j group by 1"
+)
+def strength_rating_decimal(spark, sf_dir):
+    """Ten decimals in use: they must survive the totals."""
+    value = F.expr(f"cast({_CENTS} / cast(10000000000 as decimal(11, 0)) as decimal(18, 10))")
+    facts = _table(spark, sf_dir, "lineitem").select("l_partkey", value.alias("value"))
+    return marts.strength_rating(_table(spark, sf_dir, "part"), "p_partkey", facts, "l_partkey", "value", "p_name")
+
+
+@binding(
+    "select o_custkey, o_orderkey, o_orderstatus from orders "
+    "qualify row_number() over (partition by o_custkey order by o_orderkey desc) = 1"
+)
+def latest_per_key_(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+    return latest_per_key(orders.union(orders), "o_custkey", "o_orderkey")
+
+
 def _customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = _table(spark, sf_dir, "nation").selectExpr("n_nationkey as c_nationkey", "n_regionkey as regionkey")
     region = _table(spark, sf_dir, "region").selectExpr("r_regionkey as regionkey", "r_name as cohort")

@@ -56,18 +56,6 @@ def rank_gap(counts: DataFrame, key: str, n: str = "n", ordered: bool = True) ->
     return _ordered(out, key, n) if ordered else out
 
 
-def rank_gap_window(counts: DataFrame, key: str, n: str = "n", ordered: bool = True) -> DataFrame:
-    """The same as one window over all rows. It needs every row in one partition: for small outputs only."""
-    order = Window.orderBy(F.desc_nulls_first(n), F.asc_nulls_last(key))
-    out = counts.select(
-        key,
-        n,
-        _gap(F.lag(n).over(order) - F.col(n)).alias(HIGHER),
-        _gap(F.col(n) - F.lead(n).over(order)).alias(LOWER),
-    )
-    return _ordered(out, key, n) if ordered else out
-
-
 def category_rank_gap(
     entities: DataFrame,
     entity_key: str,
@@ -175,22 +163,37 @@ def marts(
     category_b: DataFrame,
     facts: DataFrame,
     labels: tuple[str, str] = ("All cohorts", "All categories"),
+    dedup: bool = False,
+    distinct: bool = False,
+    key: str = "name",
+    flags: bool = False,
+    ordered: bool = True,
 ) -> dict[str, DataFrame]:
-    """The four marts over the storage tables, by view name."""
+    """The four marts over the storage tables, by view name.
+
+    ``dedup`` counts repeated memberships and facts once, ``distinct`` counts each entity once per group of the totals, ``key="id"``
+    rates entities that share a name apart, ``flags`` adds the grouping flags of the totals, ``ordered`` sorts.
+    """
     members = {"category_a_rank_gap": category_a, "category_b_rank_gap": category_b}
     out = {
-        name: category_rank_gap(entities, "id", table.drop("id"), "entity_id", "category_name")
+        name: category_rank_gap(entities, "id", table.drop("id"), "entity_id", "category_name", ordered=ordered, dedup=dedup)
         for name, table in members.items()
     }
-    out["strength_rating"] = strength_rating(entities, "id", facts.drop("id"), "entity_id", "value")
+    out["strength_rating"] = strength_rating(
+        entities, "id", facts.drop("id"), "entity_id", "value", key=key, ordered=ordered, dedup=dedup
+    )
     out["cohort_category_totals"] = cohort_category_cube(
-        entities, "id", "cohort", category_b.drop("id"), "entity_id", "category_name", labels
+        entities, "id", "cohort", category_b.drop("id"), "entity_id", "category_name", labels, flags, distinct, dedup
     ).withColumnsRenamed({"category_name": "category"})
     return out
 
 
 def register_marts(spark: SparkSession, tables: dict[str, DataFrame], **options) -> list[str]:
-    """Create or replace the four marts as temporary views; they stay lazy."""
+    """Create or replace the four marts as temporary views; they stay lazy. ``options`` are those of ``marts``.
+
+    For cohorts that came after their entities pass ``loads.refreshed_entities`` as ``tables["entity"]``; for records landed in several
+    runs, ``latest_per_key`` of a table.
+    """
     views = marts(tables["entity"], tables["category_a"], tables["category_b"], tables["entity_measure"], **options)
     for name, view in views.items():
         view.createOrReplaceTempView(name)

@@ -19,11 +19,11 @@ def strip_outer_array(df: DataFrame, record: str = RECORD) -> DataFrame:
 
 
 def matching_path(df: DataFrame, pattern: str | None) -> DataFrame:
-    """Rows of files whose path matches a regular expression.
+    """Rows of files whose whole path matches a regular expression.
 
     A filter on file metadata is applied to the file list, so other files are not opened.
     """
-    return df if pattern is None else df.where(F.col("_metadata.file_path").rlike(pattern))
+    return df if pattern is None else df.where(F.col("_metadata.file_path").rlike(f"^(?:{pattern})$"))
 
 
 def json_options(multi_line: bool, malformed: str) -> dict:
@@ -130,12 +130,22 @@ def project_keys(record: Column | str, keys: list[str] = RECORD_KEYS) -> Column:
 
 
 def resource_catalog(listing: DataFrame, payload: str = "payload") -> DataFrame:
-    """The records a listing payload (JSON text) names: one (url, endpoint) row each."""
-    results = F.from_json(payload, LISTING)["results"]
+    """The records a listing payload (JSON text) names: one (url, endpoint) row each.
+
+    A malformed payload stops the read, as its records would be missed without a word; ``unreadable_payloads`` finds such
+    payloads, and a listing without them can be read.
+    """
+    results = F.from_json(payload, LISTING, {"mode": "FAILFAST"})["results"]
     urls = listing.select(F.explode(results).alias("r")).select(F.col("r.url").alias("url"))
     return urls.select("url", endpoint_from_url("url").alias("endpoint"))
 
 
+def unreadable_payloads(listing: DataFrame, payload: str = "payload") -> DataFrame:
+    """The rows whose listing payload is not JSON of the expected shape. A NULL payload names nothing and is readable."""
+    corrupt = F.from_json(payload, f"{LISTING}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+    return listing.withColumn("__read", corrupt).where("__read._corrupt is not null").drop("__read")
+
+
 def landing_path(root: str, endpoint: str, run: str) -> str:
     return f"{root}/run={run}/{endpoint}"
 

@@ -31,7 +31,7 @@ def difference(df: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(names)}"
     types = {d[0]: str(d[1]) for d in result.description}
-    wrong = {c: (k, types[c]) for c, k in df.dtypes if TYPES.get(k) != types[c]}
+    wrong = {c: (k, types[c]) for c, k in df.dtypes if TYPES.get(k, k.upper() if k.startswith("decimal") else None) != types[c]}
     if wrong:
         return f"types {wrong}"
     want = _rows(names, result.fetchall())
