@@ -19,11 +19,12 @@ from siltbed.llm.common import documents, dropped, map_batches, raw, written
 from siltbed.llm.suffixes import sort_suffixes
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-#: Windows of one anchor beyond which its strings are grouped one by one, as a share of all windows and at least.
-#: So at most a million anchors, 8 bytes each, are ever broadcast as frequent.
-FREQUENT_SHARE, FREQUENT_LEAST = 1_000_000, 2_000
-#: Windows a task sorts at a time.
+#: Windows a task sorts at a time. The strings of an anchor with more windows than that are grouped one by one instead.
+WINDOWS_A_SORT = 20_000
+#: Windows dealt to a task, on average.
 WINDOWS_A_TASK = 40_000
+#: Frequent anchors, 8 bytes each, up to which they are broadcast.
+ANCHORS_TO_BROADCAST = 1_000_000
 
 
 def _gram_hashes(data: bytes, size: int) -> np.ndarray:
@@ -47,15 +48,18 @@ def _rolling(values: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(values[: -(width - span)], values[width - span :]) if span < width else values
 
 
-def anchors(data: bytes, length: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors of all strings of ``length`` bytes of a text. Equal smallest hashes are all anchors."""
+def anchors(data: bytes, length: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and hashes of the anchors of all strings of ``length`` bytes of a text, and the smallest hash of each string.
+
+    Equal smallest hashes are all anchors.
+    """
     if len(data) < length:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     h, width = _gram_hashes(data, size), length - size + 1
     smallest = _rolling(h, width, np.minimum)
     none = np.zeros(width - 1, np.uint64)
     places = np.flatnonzero(_rolling(np.concatenate([none, smallest, none]), width, np.maximum) == h)
-    return places, h[places].view(np.int64)
+    return places, h[places].view(np.int64), smallest.view(np.int64)
 
 
 def owned_starts(data: bytes, length: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -63,11 +67,9 @@ def owned_starts(data: bytes, length: int, size: int) -> tuple[np.ndarray, np.nd
 
     Each string of ``length`` bytes belongs to the leftmost of its anchors, so all its occurrences have it in the same place.
     """
-    places, hashes = anchors(data, length, size)
+    places, hashes, smallest = anchors(data, length, size)
     if not len(places):
         return places, hashes, places, places
-    width = length - size + 1
-    smallest = _rolling(_gram_hashes(data, size), width, np.minimum).view(np.int64)
     first = np.flatnonzero(np.concatenate([[True], smallest[1:] != smallest[:-1]]))
     last = np.concatenate([first[1:], [len(smallest)]]) - 1
     found = []
@@ -109,27 +111,43 @@ def _anchor_rows(docs: DataFrame, length: int, size: int) -> DataFrame:
     return map_batches(docs, work, "h long, salt long, doc_id long, known boolean")
 
 
+def _alike(near: list[bytes], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[bytes, int]]:
+    """The number of each window's bytes, the smallest document of each number, and the numbers."""
+    index: dict[bytes, int] = {}
+    which = np.fromiter((index.setdefault(x, len(index)) for x in near), np.int64, len(near))
+    smallest = np.full(len(index), np.iinfo(np.int64).max)
+    np.minimum.at(smallest, which, ids)
+    return which, smallest, index
+
+
 def _windows(texts: DataFrame, length: int, size: int) -> DataFrame:
     """``h``, ``doc_id``, ``first``, ``ahead``, ``near``, ``last``: the bytes of all strings of each shared anchor.
 
-    ``near`` starts at ``first``, ``ahead`` bytes before the anchor. Documents of a batch that have the same window: the smallest id keeps
+    ``near`` starts at ``first``, ``ahead`` bytes before the anchor; equal bytes have it in the same place, as it is the leftmost anchor of
+    their first string. Documents of a batch that have the same window: the smallest id keeps
     it; for the others every string in it is known to occur in a smaller document, and only its starts, ``first`` to ``last``, go on.
     """
 
     def work(batch):
-        lowest, found = {}, []
+        near, found = [], []
         rows = zip(batch.column("doc_id").to_pylist(), raw(batch), batch.column("shared").to_pylist(), strict=True)
         for doc_id, data, shared in rows:
-            columns = owned_starts(data or b"", length, size)
-            own = np.isin(columns[1], np.array(shared, np.int64))
-            for p, h, first, last in zip(*(c[own].tolist() for c in columns), strict=True):
-                near = data[first : last + length]
-                if doc_id < lowest.get((near, p - first), doc_id + 1):
-                    lowest[near, p - first] = doc_id
-                found.append((h, doc_id, first, p - first, near, last))
-        kept = [(None, d, f, None, None, e) if lowest[n, a] < d else (h, d, f, a, n, None) for h, d, f, a, n, e in found]
-        columns = list(zip(*kept, strict=True)) or [()] * 6
-        return dict(zip(("h", "doc_id", "first", "ahead", "near", "last"), columns, strict=True))
+            place, h, first, last = owned_starts(data or b"", length, size)
+            own = np.isin(h, np.array(shared, np.int64))
+            place, h, first, last = place[own], h[own], first[own], last[own]
+            near += [data[i:j] for i, j in zip(first.tolist(), (last + length).tolist(), strict=True)]
+            found.append((h, np.full(len(h), doc_id, np.int64), first, place - first, last))
+        h, ids, first, ahead, last = (np.concatenate(x) for x in zip(*found, strict=True))
+        which, smallest, _ = _alike(near, ids)
+        known = smallest[which] < ids
+        return {
+            "h": pa.array(h, pa.int64(), mask=known),
+            "doc_id": pa.array(ids, pa.int64()),
+            "first": pa.array(first, pa.int64()),
+            "ahead": pa.array(ahead.astype(np.int32), pa.int32(), mask=known),
+            "near": [None if k else x for x, k in zip(near, known.tolist(), strict=True)],
+            "last": pa.array(last, pa.int64(), mask=~known),
+        }
 
     return map_batches(texts, work, "h long, doc_id long, first long, ahead int, near binary, last long")
 
@@ -140,17 +158,15 @@ def _sorted_repeats(length: int, size: int):
 
     def sort(ids, firsts, ahead, near) -> pa.RecordBatch:
         # equal windows are sorted once and stand for their smallest document
-        index: dict[tuple[bytes, int], int] = {}
-        which = np.array([index.setdefault(x, len(index)) for x in zip(near, ahead.tolist(), strict=True)], np.int64)
-        sizes = np.array([len(data) for data, _ in index], np.int64)
-        shift = before - np.array([a for _, a in index], np.int64)
+        which, smallest, index = _alike(near, ids)
+        sizes = np.fromiter(map(len, index), np.int64, len(index))
+        shift = np.empty(len(index), np.int64)
+        shift[which] = before - ahead
         table = np.zeros((len(index), width), np.uint8)
         place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - shift, sizes)
-        table[np.repeat(np.arange(len(index)), sizes), place] = np.frombuffer(b"".join(data for data, _ in index), np.uint8)
+        table[np.repeat(np.arange(len(index)), sizes), place] = np.frombuffer(b"".join(index), np.uint8)
         start = np.arange(before + 1)
         valid = (start >= shift[:, None]) & (start <= (shift + sizes - length)[:, None])
-        smallest = np.full(len(index), np.iinfo(np.int64).max)
-        np.minimum.at(smallest, which, ids)
         row, at, common = sort_suffixes(table, valid, length)
         # a class goes on while neighbours share ``length`` bytes
         group = np.cumsum(common < length) - 1 if len(row) else np.empty(0, np.int64)
@@ -161,27 +177,24 @@ def _sorted_repeats(length: int, size: int):
         i, j = np.nonzero(first[which] < ids[:, None])
         return _runs(ids[i], firsts[i] + ahead[i] - before + j)
 
-    def run(batches):
-        held = {"h": [], "doc_id": [], "first": [], "ahead": [], "near": []}
-
-        def flush(upto: int) -> pa.RecordBatch:
-            taken = {k: v[:upto] for k, v in held.items()}
-            for k in held:
-                held[k] = held[k][upto:]
-            whole = (np.array(taken[k], np.int64) for k in ("doc_id", "first", "ahead"))
-            return sort(*whole, taken["near"])
+    def flush(table: pa.Table) -> pa.RecordBatch:
+        ids, firsts, ahead = (table.column(c).to_numpy() for c in ("doc_id", "first", "ahead"))
+        return sort(ids, firsts, ahead.astype(np.int64), table.column("near").to_pylist())
 
+    def run(batches):
+        held, count = [], 0
         for batch in batches:
-            for k in held:
-                held[k] += batch.column(k).to_pylist()
-            if len(held["h"]) > WINDOWS_A_TASK:
-                cut = len(held["h"]) - 1  # rows are sorted by anchor: all but the last anchor are whole
-                while cut and held["h"][cut - 1] == held["h"][-1]:
-                    cut -= 1
+            held.append(batch)
+            count += len(batch)
+            if count > WINDOWS_A_SORT:
+                table = pa.Table.from_batches(held)
+                h = table.column("h").to_numpy()
+                cut = int(np.searchsorted(h, h[-1]))  # rows are sorted by anchor: all but the last anchor are whole
                 if cut:
-                    yield flush(cut)
-        if held["h"]:
-            yield flush(len(held["h"]))
+                    yield flush(table.slice(0, cut))
+                    held, count = table.slice(cut).to_batches(), len(table) - cut
+        if count:
+            yield flush(pa.Table.from_batches(held))
 
     return run
 
@@ -227,8 +240,10 @@ def repeated_runs(spark: SparkSession, docs: DataFrame, length: int = 50, size:
 
     windows = written(spark, _windows(texts, length, size), "windows")
     total = windows.where("h is not null").count()
-    limit = max(FREQUENT_LEAST, total // FREQUENT_SHARE)
-    frequent = F.broadcast(windows.where("h is not null").groupBy("h").count().where(F.col("count") > limit).select("h"))
+    frequent = windows.where("h is not null").groupBy("h").count().where(F.col("count") > WINDOWS_A_SORT).select("h")
+    frequent = written(spark, frequent, "frequent")
+    if frequent.count() <= ANCHORS_TO_BROADCAST:
+        frequent = F.broadcast(frequent)
     parts = max(spark.sparkContext.defaultParallelism, total // WINDOWS_A_TASK + 1)
     dealt = windows.where("h is not null").join(frequent, "h", "left_anti").repartition(parts, "h").sortWithinPartitions("h")
     schema = "doc_id long, first long, last long"

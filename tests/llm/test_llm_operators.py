@@ -291,7 +291,7 @@ def test_repeats_against_all_strings(spark):
 
 
 def test_repeats_around_frequent_anchors(spark, monkeypatch):
-    monkeypatch.setattr("siltbed.llm.repeats.FREQUENT_LEAST", 2)
+    monkeypatch.setattr("siltbed.llm.repeats.WINDOWS_A_SORT", 2)
     rows = [(i, f"{i} start {LONG[:300]} end {i}") for i in range(12)]
     got = remove_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
     assert {r.doc_id: r.kept_sha256 for r in got} == {d: x[0] for d, x in cut(rows, 50).items()}
