@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm.bpe import Kept
+from siltbed.llm.bpe import Kept, count_batch
 from siltbed.llm.common import documents, map_batches, raw, written
 
 #: Counts of hashed words that the classifier looks at.
@@ -50,12 +50,19 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def memberships(spark: SparkSession, docs: DataFrame, labels: DataFrame, domains: list[str], sample: int = 3000) -> DataFrame:
-    """Per document row: ``doc_id``, ``n_tokens`` (words) and ``p``, the probability of each of ``domains``.
+def memberships(
+    spark: SparkSession, docs: DataFrame, labels: DataFrame, domains: list[str], sample: int = 3000, tokenizer: str | None = None
+) -> DataFrame:
+    """Per document row: ``doc_id``, ``n_tokens`` (exact, of the whole text) and ``p``, the probability of each of ``domains``.
+
+    Without a ``tokenizer`` file, tokens are those of the token queries.
 
     ``labels`` has ``doc_id`` and ``domain``; at most ``sample`` rows, those of the smallest id hash, are learnt from. Domains without a
     label get no share; without labels, and for wordless texts, all are as likely as among the labels.
     """
+    from siltbed.llm import queries
+
+    vocabulary_file = tokenizer or queries.tokenizer()
     marks = labels.where(F.col("domain").isin(domains) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("domain").alias("domain"))
     chosen = F.broadcast(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     schema = "doc_id long, domain string, x array<float>"
@@ -74,7 +81,8 @@ def memberships(spark: SparkSession, docs: DataFrame, labels: DataFrame, domains
         p = np.tile(share, (len(rows), 1))
         if weights is not None:
             p = np.where((n > 0)[:, None], _softmax(rows @ weights[:-1] + weights[-1]), p)
-        return {"doc_id": batch.column("doc_id"), "n_tokens": n, "p": pa.array(list(p), pa.list_(pa.float64()))}
+        tokens = count_batch(vocabulary_file, batch.column("text"))
+        return {"doc_id": batch.column("doc_id"), "n_tokens": tokens, "p": pa.array(list(p), pa.list_(pa.float64()))}
 
     return map_batches(docs, work, "doc_id long, n_tokens long, p array<double>")
 
@@ -105,18 +113,19 @@ def mix(
     sample: int = 3000,
     id_col: str = "doc_id",
     text_col: str = "text",
+    tokenizer: str | None = None,
 ) -> DataFrame:
     """Per row: ``n_tokens``, ``p_<domain>``, ``rate`` and ``copies``, how often the document is taken.
 
     The expected tokens of domain d under the rates come to ``targets[d]`` (made to sum to 1) of ``total`` times all tokens. With ``floor``
     above 0 no document is left out, and ``total`` grows to what the floor makes necessary. ``copies`` rounds the rate by
-    a hash of the id, so that a copy is as likely as the rate says. Wordless texts weigh nothing; their rate follows their memberships. Rows
+    a hash of the id, so that a copy is as likely as the rate says. Empty texts weigh nothing; their rate follows their memberships. Rows
     without an id are rated alike but rounded as id 0. A domain that no text belongs to cannot reach its target; the others still do, in
     proportion.
     """
     names = sorted(targets)
     want = np.array([targets[n] for n in names], float) / sum(targets.values())
-    rows = written(spark, memberships(spark, documents(docs, id_col, text_col), labels, names, sample), "memberships")
+    rows = written(spark, memberships(spark, documents(docs, id_col, text_col), labels, names, sample, tokenizer), "memberships")
     n, d = F.col("n_tokens"), len(names)
 
     def sums(columns: list[Column], of: DataFrame = rows) -> np.ndarray:

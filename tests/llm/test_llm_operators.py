@@ -215,6 +215,18 @@ def test_mixing_meets_its_targets(spark):
     assert mix(spark, df, labels.limit(0), {"en": 0.6, "de": 0.4}).count() == len(rows)
 
 
+def test_mixing_weighs_by_tokens(spark, library):
+    words = {"en": "the of and to in", "de": "Geschwindigkeitsbegrenzung Straßenverkehrsordnung"}
+    texts = [f"{words[d]} {i} " * (1 + i % 7) for i, d in enumerate(["en"] * 200 + ["de"] * 60)] + ["日本語 x", " \n ", "a<|endoftext|> b", None]
+    df = spark.createDataFrame([(i, t, "en" if i < 200 else "de") for i, t in enumerate(texts)], "doc_id long, text string, domain string")
+    labels = df.where("doc_id % 3 = 0 and doc_id < 260").select("doc_id", "domain")
+    got = mix(spark, df, labels, {"en": 0.6, "de": 0.4}).toPandas().sort_values("doc_id")
+    tokens = np.array([len(ids(library, t)) for t in texts])
+    assert list(got.n_tokens) == list(tokens)
+    given = tokens * got.rate.to_numpy()
+    assert abs((given * got.p_en.to_numpy()).sum() / given.sum() - 0.6) < 0.001
+
+
 def shingles(text, width):
     words = (text or "").encode().lower().split()
     return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
