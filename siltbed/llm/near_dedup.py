@@ -154,10 +154,14 @@ def _links_in_groups(spark: SparkSession, members: DataFrame, sets: DataFrame, t
     placed = placed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     placed = placed.select("group", "size", "node", "component", "own", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
 
+    none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+
     def meet(table: pa.Table) -> pa.Table:
         node, component, own, p, q = (table.column(c).to_numpy() for c in ("node", "component", "own", "p", "q"))
         values = [np.frombuffer(v, np.int64) for v in table.column("values").to_pylist()]
         left, right = np.flatnonzero(own == p), np.flatnonzero(own == q)
+        if not len(left) or not len(right):  # documents go to blocks by hash, so a block can be without any
+            return none
         size = np.array([len(v) for v in values])
         flat, owner = np.concatenate([values[i] for i in right]), np.repeat(np.arange(len(right)), size[right])
         order = np.argsort(flat, kind="stable")

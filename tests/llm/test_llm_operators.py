@@ -266,6 +266,21 @@ def test_near_duplicates_against_all_pairs(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_near_duplicates_with_empty_blocks(spark, monkeypatch):
+    from siltbed.llm import near_dedup
+
+    monkeypatch.setattr(near_dedup, "BLOCK_VALUES", 50)
+    texts = [[f"x{j}" for j in range(200)] for _ in range(4)]
+    for i, own in enumerate(texts):
+        own[: 12 * i] = [f"n{i}y{j}" for j in range(12 * i)]
+    sets = [near_dedup.shingle_set(" ".join(t).encode(), 2) for t in texts]
+    members = spark.createDataFrame([(i, i, len(s), 0) for i, s in enumerate(sets)], "node long, component long, n_shingles long, group long")
+    full = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "node long, values binary")
+    got = {(r.a, r.b) for r in near_dedup._links_in_groups(spark, members, full, 0.8).collect()}
+    want = {(i, j) for j in range(4) for i in range(j) if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))}
+    assert want and got == want
+
+
 def test_near_duplicates_edges(spark, docs):
     got = near_duplicates(spark, docs, width=2).collect()
     assert len(got) == docs.count()
