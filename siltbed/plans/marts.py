@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from siltbed.operators.dimensions import latest_rows
 from siltbed.operators.totals import joined_counts, joined_sums
 
 HIGHER = "change_from_next_higher"
@@ -168,12 +169,18 @@ def marts(
     key: str = "name",
     flags: bool = False,
     ordered: bool = True,
+    latest: str | None = None,
 ) -> dict[str, DataFrame]:
     """The four marts over the storage tables, by view name.
 
     ``dedup`` counts repeated memberships and facts once, ``distinct`` counts each entity once per group of the totals, ``key="id"``
     rates entities that share a name apart, ``flags`` adds the grouping flags of the totals, ``ordered`` sorts.
+    ``latest``, the column that orders the runs, reads each entity, its memberships and its facts as its latest run has them.
     """
+    if latest:
+        records = entities
+        entities = latest_rows(entities, "id", latest)
+        category_a, category_b, facts = (latest_rows(t, "entity_id", latest, records, "id") for t in (category_a, category_b, facts))
     members = {"category_a_rank_gap": category_a, "category_b_rank_gap": category_b}
     out = {
         name: category_rank_gap(entities, "id", table.drop("id"), "entity_id", "category_name", ordered=ordered, dedup=dedup)
@@ -191,8 +198,8 @@ def marts(
 def register_marts(spark: SparkSession, tables: dict[str, DataFrame], **options) -> list[str]:
     """Create or replace the four marts as temporary views; they stay lazy. ``options`` are those of ``marts``.
 
-    For cohorts that came after their entities pass ``loads.refreshed_entities`` as ``tables["entity"]``; for records landed in several
-    runs, ``latest_per_key`` of a table.
+    For cohorts that came after their entities pass ``loads.refreshed_entities`` as ``tables["entity"]``; for records landed in
+    several runs, tables of ``Warehouse.read(..., landed=True)`` and ``latest="landed"``, with ``latest=True`` on the loads.
     """
     views = marts(tables["entity"], tables["category_a"], tables["category_b"], tables["entity_measure"], **options)
     for name, view in views.items():

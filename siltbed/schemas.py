@@ -34,6 +34,15 @@ def measure_array(child: str) -> str:
     return f"array<struct<base_stat: bigint, {child}: {NAMED}>>"
 
 
+#: Column beside those of staging and storage: when the file of a record was landed, hence which of its runs is the latest.
+LANDED = "landed"
+
+
+def with_landed(schema: T.StructType) -> T.StructType:
+    """A schema with the landing time of its records; null where files were written without it."""
+    return T.StructType([*schema.fields, T.StructField(LANDED, T.TimestampType())])
+
+
 def _table(**columns: str) -> T.StructType:
     kinds = {"long": T.LongType(), "text": T.StringType(), "time": T.TimestampType()}
     return T.StructType([T.StructField(name, kinds[kind]) for name, kind in columns.items()])

@@ -12,10 +12,10 @@ from siltbed.schemas import LISTING, RECORD_KEYS
 RECORD = "json_data"
 
 
-def strip_outer_array(df: DataFrame, record: str = RECORD) -> DataFrame:
-    """One row per element where a record is an array, one row otherwise. Works on streams."""
+def strip_outer_array(df: DataFrame, record: str = RECORD, *kept: Column) -> DataFrame:
+    """One row per element where a record is an array, one row otherwise, with the columns ``kept``. Works on streams."""
     elements = F.try_variant_get(record, "$", "array<variant>")
-    return df.select(F.explode(F.coalesce(elements, F.array(record))).alias(record))
+    return df.select(F.explode(F.coalesce(elements, F.array(record))).alias(record), *kept)
 
 
 def matching_path(df: DataFrame, pattern: str | None) -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
-from siltbed.sources.records import json_options, matching_path, strip_outer_array
+from siltbed import schemas
+from siltbed.sources.records import RECORD, json_options, matching_path, strip_outer_array
 
 
 def trigger(mode: str, interval: str) -> dict:
@@ -58,6 +60,8 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Copy new JSON files below ``landing`` whose path matches ``pattern`` into a one-column staging table.
 
+    Beside the record it keeps the time its file was landed, which tells the runs of a record apart.
+
     A fresh checkpoint takes the files that are already there first; see ``bounded`` for ``limits``.
     """
     source = (
@@ -65,7 +69,8 @@ def ingest_stream(
         .options(**json_options(multi_line, malformed))
         .option("recursiveFileLookup", True)
     )
-    records = strip_outer_array(matching_path(source.json(landing), pattern))
+    landed = F.col("_metadata.file_modification_time").alias(schemas.LANDED)
+    records = strip_outer_array(matching_path(source.json(landing), pattern), RECORD, landed)
     return (
         records.writeStream.format("parquet")
         .option("path", staging)

@@ -11,12 +11,12 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from siltbed import schemas
 from siltbed.functions.paths import id_from_url, json_path
-from siltbed.operators.dimensions import new_dimension_rows
+from siltbed.operators.dimensions import latest_rows, new_dimension_rows
 from siltbed.operators.flatten import flatten_array, pick_localised
 from siltbed.operators.keys import number_rows
 from siltbed.operators.lookups import fact_to_dimension, lookup_chain, lookup_table, refresh_lookup
@@ -30,7 +30,20 @@ Finish = Callable[[DataFrame, int], None]
 
 def changes(spark: SparkSession, staging: str, limits: dict | None = None) -> DataFrame:
     """Rows added to a staging table since the reading query last committed."""
-    return bounded(spark.readStream.schema(schemas.STAGING), **(limits or {})).parquet(staging)
+    return bounded(spark.readStream.schema(schemas.with_landed(schemas.STAGING)), **(limits or {})).parquet(staging)
+
+
+def _landed(staging: DataFrame) -> list:
+    """The landing time, where a table has it."""
+    return [F.col(schemas.LANDED)] if schemas.LANDED in staging.columns else []
+
+
+def _distinct(batch: DataFrame) -> DataFrame:
+    """Rows that are equal but for the landing time, once, as landed last."""
+    if schemas.LANDED not in batch.columns:
+        return batch.dropDuplicates()
+    rest = [c for c in batch.columns if c != schemas.LANDED]
+    return batch.groupBy(*rest).agg(F.max(schemas.LANDED).alias(schemas.LANDED))
 
 
 def run_load(
@@ -52,7 +65,7 @@ def run_load(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch_id == 0 and folder_exists(spark, f"{warehouse.table(name)}/batch_id=1"):
             raise ValueError(f"{warehouse.table(name)} was loaded with another checkpoint; empty it to start over")
-        finish(batch.dropDuplicates() if dedup else batch, batch_id)
+        finish(_distinct(batch) if dedup else batch, batch_id)
 
     return (
         rows.writeStream.foreachBatch(on_batch)
@@ -72,7 +85,7 @@ def _settle(spark: SparkSession, warehouse: Warehouse, name: str, rows: DataFram
 
 def _write_numbered(spark: SparkSession, warehouse: Warehouse, name: str, path: str, batch_id: int) -> None:
     """Append a work table's rows with surrogate ids that go on after the earlier batches."""
-    columns = [f.name for f in schemas.STORAGE[name].fields if f.name != "id"]
+    columns = [f.name for f in schemas.with_landed(schemas.STORAGE[name]).fields if f.name != "id"]
     start = last_id_before(spark, warehouse.ledger(name), batch_id)
     write_batch(number_rows(spark, path, columns, start), warehouse.table(name), batch_id)
     given = spark.read.parquet(path).agg((F.count("*") + F.lit(start)).alias("last_id"))
@@ -84,17 +97,35 @@ def entity_rows(staging: DataFrame) -> DataFrame:
         json_path(RECORD, "$.id", "bigint").alias("id"),
         json_path(RECORD, "$.name", "string").alias("name"),
         json_path(RECORD, "$.species.name", "string").alias("lookup_key"),
+        *_landed(staging),
     )
 
 
-def cohort_lookup(staging: DataFrame, language: str = "en") -> tuple[DataFrame, DataFrame]:
-    """(members, labels) of the cohort records: member name to cohort id, and cohort id to its name."""
+def cohort_lookup(staging: DataFrame, language: str = "en", latest: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(members, labels) of the cohort records: member name to cohort id, and cohort id to its name.
+
+    ``latest`` takes each cohort as its last run landed it, once; without it a cohort landed twice is two.
+    """
     cohort_id = json_path(RECORD, "$.id", "bigint").alias("cohort_id")
     names = json_path(RECORD, f"$.{schemas.COHORT_NAMES}", schemas.LOCALISED_NAMES)
-    labels = pick_localised(staging, names, language, "cohort", [cohort_id])
+    if latest:
+        labels = _latest(pick_localised(staging, names, language, "cohort", [cohort_id, *_landed(staging)]), staging, cohort_id)
+    else:
+        labels = pick_localised(staging, names, language, "cohort", [cohort_id])
     member_names = json_path(RECORD, f"$.{schemas.COHORT_MEMBERS}", schemas.MEMBER_NAMES)
-    members = flatten_array(staging, member_names, "m", [cohort_id])
-    return members.select("cohort_id", F.col("m.name").alias("lookup_key")), labels
+    members = flatten_array(staging, member_names, "m", [cohort_id, *(_landed(staging) if latest else [])])
+    members = members.select("cohort_id", F.col("m.name").alias("lookup_key"), *_landed(members))
+    return _latest(members, staging, cohort_id) if latest else members, labels
+
+
+def _latest(rows: DataFrame, staging: DataFrame, record_id: Column) -> DataFrame:
+    """Rows of the latest run of each record, each once."""
+    return latest_rows(rows, "cohort_id", schemas.LANDED, staging.select(record_id, schemas.LANDED)).distinct()
+
+
+def _cohorts(spark: SparkSession, warehouse: Warehouse, language: str, latest: bool) -> tuple[DataFrame, DataFrame]:
+    staging = spark.read.schema(schemas.with_landed(schemas.STAGING)).parquet(warehouse.staging("cohort"))
+    return cohort_lookup(staging, language, latest)
 
 
 def membership_rows(staging: DataFrame, array: str, child: str, strict: bool = True) -> DataFrame:
@@ -104,50 +135,56 @@ def membership_rows(staging: DataFrame, array: str, child: str, strict: bool = T
     """
     entity_id = json_path(RECORD, "$.id", "bigint").alias("entity_id")
     elements = json_path(RECORD, f"$.{array}", schemas.membership_array(child))
-    flat = flatten_array(staging, elements, "e", [entity_id])
+    flat = flatten_array(staging, elements, "e", [entity_id, *_landed(staging)])
     return flat.select(
         id_from_url(F.col(f"e.{child}.url"), strict).alias("category_id"),
         "entity_id",
         F.col(f"e.{child}.name").alias("category_name"),
+        *_landed(staging),
     )
 
 
 def measure_rows(staging: DataFrame, array: str, child: str) -> DataFrame:
     """(entity_id, measure_id, measure_name, value) of each element of a measure array."""
     entity_id = json_path(RECORD, "$.id", "bigint").alias("entity_id")
-    flat = flatten_array(staging, json_path(RECORD, f"$.{array}", schemas.measure_array(child)), "e", [entity_id])
+    flat = flatten_array(staging, json_path(RECORD, f"$.{array}", schemas.measure_array(child)), "e", [entity_id, *_landed(staging)])
     return flat.select(
         "entity_id",
         id_from_url(F.col(f"e.{child}.url")).alias("measure_id"),
         F.col(f"e.{child}.name").alias("measure_name"),
         F.col("e.base_stat").alias("value"),
+        *_landed(staging),
     )
 
 
-def load_entities(spark: SparkSession, warehouse: Warehouse, language: str = "en", limits=None, **how) -> StreamingQuery:
+def load_entities(
+    spark: SparkSession, warehouse: Warehouse, language: str = "en", limits=None, latest: bool = False, **how
+) -> StreamingQuery:
     """New entities with the name of their cohort; an entity without one is kept with NULL.
 
-    Cohort staging has no cursor: each batch reads all of it anew.
+    Cohort staging has no cursor: each batch reads all of it anew; ``latest`` takes each cohort once, as its last run has it.
     """
 
     def finish(batch: DataFrame, batch_id: int) -> None:
-        cohorts = batch.sparkSession.read.schema(schemas.STAGING).parquet(warehouse.staging("cohort"))
-        members, labels = cohort_lookup(cohorts, language)
+        members, labels = _cohorts(batch.sparkSession, warehouse, language, latest)
         found = lookup_chain(batch, "lookup_key", members, labels, "cohort_id")
-        write_batch(found.select(*schemas.STORAGE["entity"].names), warehouse.table("entity"), batch_id)
+        write_batch(found.select(*schemas.with_landed(schemas.STORAGE["entity"]).names), warehouse.table("entity"), batch_id)
 
     rows = entity_rows(changes(spark, warehouse.staging("entity"), limits))
     return run_load(spark, warehouse, "entity", rows, finish, **how)
 
 
-def refreshed_entities(spark: SparkSession, warehouse: Warehouse, language: str = "en") -> DataFrame:
+def refreshed_entities(
+    spark: SparkSession, warehouse: Warehouse, language: str = "en", latest: bool = False, landed: bool = False
+) -> DataFrame:
     """The stored entities, those without a cohort resolved again with today's cohort records.
 
-    The entity table is append-only, so an entity that came before its cohort stays without one there.
+    The entity table is append-only, so an entity that came before its cohort stays without one there. ``latest`` is that of
+    ``load_entities``, ``landed`` that of ``Warehouse.read``.
     """
-    members, labels = cohort_lookup(spark.read.schema(schemas.STAGING).parquet(warehouse.staging("cohort")), language)
+    members, labels = _cohorts(spark, warehouse, language, latest)
     lookup = lookup_table(members, labels, "cohort_id")
-    return refresh_lookup(warehouse.read(spark, "entity"), "lookup_key", "cohort", lookup)
+    return refresh_lookup(warehouse.read(spark, "entity", landed), "lookup_key", "cohort", lookup)
 
 
 def load_membership(
@@ -187,7 +224,7 @@ def load_measures(
         known = read_batches(spark, warehouse.table("measure"), schemas.STORAGE["measure"])
         known = known.where(F.col("batch_id") <= batch_id).select(F.col("id").alias("measure_id"), "measure_name")
         facts = fact_to_dimension(rows.drop("measure_id"), known, "measure_name")
-        facts = facts.select("entity_id", "measure_id", "value")
+        facts = facts.select("entity_id", "measure_id", "value", schemas.LANDED)
         joined = _settle(spark, warehouse, "entity_measure_joined", facts)
         _write_numbered(spark, warehouse, "entity_measure", joined, batch_id)
 
@@ -195,10 +232,13 @@ def load_measures(
     return run_load(spark, warehouse, "entity_measure", rows, finish, **how)
 
 
-def run_all(spark: SparkSession, warehouse: Warehouse, mode: str = "once", **how) -> list[StreamingQuery]:
-    """Start every load. The streams are independent; with ``once`` this waits until each has drained."""
+def run_all(spark: SparkSession, warehouse: Warehouse, mode: str = "once", latest: bool = False, **how) -> list[StreamingQuery]:
+    """Start every load. The streams are independent; with ``once`` this waits until each has drained.
+
+    ``latest`` is that of ``load_entities``.
+    """
     queries = [
-        load_entities(spark, warehouse, mode=mode, **how),
+        load_entities(spark, warehouse, mode=mode, latest=latest, **how),
         load_membership(spark, warehouse, "category_a", *schemas.CATEGORY_A, mode=mode, **how),
         load_membership(spark, warehouse, "category_b", *schemas.CATEGORY_B, mode=mode, **how),
         load_measures(spark, warehouse, *schemas.MEASURES, mode=mode, **how),

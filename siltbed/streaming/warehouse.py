@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from siltbed.schemas import LEDGER, STORAGE
+from siltbed.schemas import LEDGER, STORAGE, with_landed
 from siltbed.session import make_folder
 
 
@@ -43,9 +43,10 @@ class Warehouse:
             make_folder(spark, path)
         return self
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame:
-        """A storage table with its declared columns."""
-        return read_batches(spark, self.table(name), STORAGE[name]).drop("batch_id")
+    def read(self, spark: SparkSession, name: str, landed: bool = False) -> DataFrame:
+        """A storage table with its declared columns; ``landed`` adds the landing time of the record behind a row."""
+        schema = with_landed(STORAGE[name]) if landed and name != "measure" else STORAGE[name]
+        return read_batches(spark, self.table(name), schema).drop("batch_id")
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from siltbed.operators.dimensions import latest_per_key
+from siltbed.operators.dimensions import latest_per_key, latest_rows
 from siltbed.operators.totals import joined_counts, joined_sums
 from siltbed.plans.marts import register_marts
 from siltbed.sources.records import matching_path, read_json_records, resource_catalog, unreadable_payloads
@@ -80,6 +80,15 @@ def test_latest_record_of_each_key(spark):
     assert latest_per_key(df, "id", "run").columns == df.columns
 
 
+def test_latest_rows_of_several_runs(spark):
+    records = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (3, 1), (3, 2)], "id long, run long")
+    rows = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (1, "b", 2), (1, "c", 2), (2, "a", 1), (3, "a", 1)], "entity_id long, name string, run long")
+    got = latest_rows(rows, "entity_id", "run", records, "id")
+    assert sorted(map(tuple, got.collect())) == [(1, "b"), (1, "b"), (1, "c"), (2, "a")]
+    pairs = latest_per_key(rows, ["entity_id", "name"], "run")
+    assert sorted(map(tuple, pairs.collect())) == [(1, "a", 1), (1, "b", 2), (1, "c", 2), (2, "a", 1), (3, "a", 1)]
+
+
 def test_mart_options(spark):
     tables = {
         "entity": spark.createDataFrame([(1, "n", "x"), (2, "n", "x")], "id long, name string, cohort string"),
