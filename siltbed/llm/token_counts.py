@@ -67,9 +67,13 @@ class PrefixCounts:
 
     def total(self, text: str) -> int:
         """The count of a text without special strings."""
-        if not bpe._PLAIN.fullmatch(text):
-            return len(self.words.ids(text))
-        return sum(map(self._pieces.__getitem__, _PIECES.findall(text)))
+        return sum(map(self._pieces.__getitem__, self._cut(text)))
+
+    def _cut(self, text: str) -> list[str]:
+        """The pieces of a text. Beyond plain Latin text the library itself decides what a letter is."""
+        if bpe._PLAIN.fullmatch(text):
+            return _PIECES.findall(text)
+        return [text[a:b] for _, (a, b) in self.words.library.pre_tokenizer.pre_tokenize_str(text)]
 
     def table(self, text: str) -> list[int]:
         """The count of each code point prefix of a text, the empty one first.
@@ -90,12 +94,9 @@ class PrefixCounts:
 
     def _part_table(self, part: str, out: list[int]) -> None:
         base, run, run_base = out[-1], "", out[-1]
-        for p in _PIECES.findall(part):
-            if not bpe._PLAIN.fullmatch(p):
-                counts = [len(self.words.ids(p[:i])) for i in range(len(p) + 1)]
-            else:
-                data = p.encode()
-                counts = [c for i, c in enumerate(self.piece(data)) if i == len(data) or data[i] & 0xC0 != 0x80]
+        for p in self._cut(part):
+            data = p.encode()
+            counts = [c for i, c in enumerate(self.piece(data)) if i == len(data) or data[i] & 0xC0 != 0x80]
             if p in ("'re", "'ve", "'ll"):
                 counts[2] = 2
             if p[0].isspace():

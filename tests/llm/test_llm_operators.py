@@ -78,6 +78,17 @@ def test_prefix_table_counts_every_prefix(spark, library):
         assert r.counts == [len(ids(library, texts[r.doc_id][:i])) for i in range(len(texts[r.doc_id]) + 1)]
 
 
+def test_prefix_counts_beyond_latin_encode_no_prefix(library, monkeypatch):
+    from siltbed.llm.token_counts import PrefixCounts
+
+    text = " Всё — “ясно”\tλόγος 日本語テキスト、です。 e\u0301\u200b😀😀x ٣٤\u00a0\u3000 " + "я" * 3000
+    counts = PrefixCounts(queries.tokenizer())
+    monkeypatch.setattr(counts.words, "ids", None)
+    got = counts.table(text)
+    assert len(got) == len(text) + 1 and counts.total(text) == got[-1]
+    assert all(got[i] == len(ids(library, text[:i])) for i in [*range(80), 1500, len(text)])
+
+
 def test_packing_holds_each_id_once(docs, library):
     pieces = [r.asDict() for r in pack(docs.where("doc_id is not null").dropDuplicates(["doc_id"]), queries.tokenizer(), capacity=64).collect()]
     by_doc, by_sequence = {}, {}
