@@ -83,7 +83,12 @@ def raw(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
 def labelled(rows: DataFrame, labels: DataFrame, key: str, sample: int) -> DataFrame:
     """``rows`` joined with at most ``sample`` labelled rows, those of the smallest key hash.
 
-    ``sample`` bounds what is broadcast here and what a fit gathers on the driver.
+    ``sample`` bounds what is broadcast here and what a fit gathers on the driver: of repeated keys, each label takes the row that is
+    smallest by a hash of its columns, and rows are reduced to it before they are moved.
     """
     chosen = labels.where(F.col(key).isNotNull()).orderBy(F.xxhash64(key), key).limit(sample)
-    return rows.join(F.broadcast(chosen), key)
+    chosen = chosen.withColumn("__label", F.monotonically_increasing_id())
+    both = rows.join(F.broadcast(chosen), key)
+    columns = [c for c in both.columns if c != "__label"]
+    first = F.min(F.struct(F.xxhash64(*rows.columns).alias("__hash"), *columns)).alias("__row")
+    return both.groupBy("__label").agg(first).select(*(F.col(f"__row.{c}").alias(c) for c in columns))

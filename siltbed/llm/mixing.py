@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltbed.llm.bpe import Kept, count_batch
-from siltbed.llm.common import documents, map_batches, raw, written
+from siltbed.llm.common import documents, labelled, map_batches, raw, written
 
 #: Counts of hashed words that the classifier looks at.
 WIDTH = 1024
@@ -64,13 +64,12 @@ def memberships(
 
     vocabulary_file = tokenizer or queries.tokenizer()
     marks = labels.where(F.col("domain").isin(domains) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    chosen = F.broadcast(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     schema = "doc_id long, domain string, x array<float>"
 
     def look(batch):
         return {"doc_id": batch.column("doc_id"), "domain": batch.column("domain"), "x": list(_features(raw(batch))[0])}
 
-    seen = map_batches(docs.join(chosen, "doc_id"), look, schema).toArrow().sort_by([("doc_id", "ascending")])
+    seen = map_batches(labelled(docs, marks, "doc_id", sample), look, schema).toArrow().sort_by([("doc_id", "ascending")])
     x = np.array(seen.column("x").to_pylist(), np.float32).reshape(-1, WIDTH)
     y = np.array([domains.index(d) for d in seen.column("domain").to_pylist()], int)
     share = (np.bincount(y, minlength=len(domains)) + 0.0) / max(len(y), 1) if len(y) else np.full(len(domains), 1 / len(domains))

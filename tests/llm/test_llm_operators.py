@@ -154,6 +154,16 @@ def test_forest_keeps_good_rows_and_rejects_bad_ones(spark):
     assert share[1] > 0.98 and share[0] < 0.4
 
 
+def test_a_fit_gathers_one_row_a_label(spark):
+    from siltbed.llm.common import labelled
+
+    rows = spark.createDataFrame([(i % 3, f"t{i}") for i in range(90)] + [(7, "x"), (None, "y")], "doc_id long, text string").repartition(5)
+    marks = spark.createDataFrame([(0, 1), (1, 0), (1, 1), (7, 1), (9, 1), (None, 1)], "doc_id long, quality int")
+    got = [sorted(map(tuple, labelled(rows.repartition(n), marks, "doc_id", 100).collect())) for n in (2, 5)]
+    assert [(r[0], r[2]) for r in sorted(got[0], key=lambda r: (r[0], r[2]))] == [(0, 1), (1, 0), (1, 1), (7, 1)]
+    assert got[0] == got[1]
+
+
 def test_rule_ensemble_without_rows_or_labels(spark, docs, labels):
     assert quality_scores(spark, docs.limit(0), labels).count() == 0
     scores = quality_scores(spark, docs, labels.limit(0)).collect()
