@@ -103,6 +103,24 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltbed.llm.cosine_dedup import near_vectors
+
+    return near_vectors(spark, _table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltbed.llm.whitening import whiten
+
+    return whiten(spark, _table(spark, sf_dir, "embeddings"), components=32, scale=64, offset=1_000_000)
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltbed.llm.centroids import cluster_vectors
+
+    return cluster_vectors(spark, _table(spark, sf_dir, "embeddings"), clusters=8, rounds=10, width=64, scale=1024, seed="3")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -116,11 +134,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_dedup,
         op9_packing,
         op10_suffix_dedup,
+        op11_embedding_dedup,
+        op12_whitening,
+        op13_centroids,
     )
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+def _centroid_sql(clusters: int = 8, rounds: int = 10) -> str:
+    """The rounds one after another, vectors and centroids as rows of one component."""
+
+    def assigned(k: int) -> str:
+        return f"""
+        a{k} as materialized (
+            select vec_id, cluster, distance from (
+                select *, row_number() over (partition by vec_id order by distance, cluster) as n from (
+                    select vec_id, cluster, sum((v.x - c{k}.x) * (v.x - c{k}.x))::bigint as distance
+                    from v join c{k} using (i) group by vec_id, cluster
+                )
+            ) where n = 1
+        )"""
+
+    def moved(k: int) -> str:
+        return f""",
+        c{k + 1} as materialized (
+            select cluster, i, coalesce(((s - ((s % n) + n) % n) // n)::bigint, x) as x
+            from c{k} left join (
+                select cluster, i, sum(x) as s, count(*) as n from a{k} join v using (vec_id) group by cluster, i
+            ) using (cluster, i)
+        ),"""
+
+    steps = "".join(assigned(k) + moved(k) for k in range(rounds)) + assigned(rounds)
+    return f"""
+        with whole as (
+            select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as x from embeddings
+            where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ),
+        v as materialized (select vec_id, unnest(range(64)) as i, unnest(x) as x from whole),
+        first as (select vec_id, row_number() over (order by sha256('3:' || vec_id)) - 1 as cluster from whole),
+        c0 as materialized (select cluster, i, x from first join v using (vec_id) where cluster < {clusters}),{steps},
+        told as (select cluster, sha256(string_agg(x::varchar, ',' order by i)) as centroid_sha256 from c{rounds} group by cluster)
+        select vec_id, cluster::int as cluster, distance, (sum(distance) over (partition by cluster))::bigint as cluster_inertia,
+            (sum(distance) over ())::bigint as inertia, centroid_sha256
+        from a{rounds} join told using (cluster)
+    """
+
+
 ORACLE: dict[str, str] = {
     "op3_topk": """
         with v as (
@@ -227,4 +288,22 @@ ORACLE: dict[str, str] = {
         )
         select doc_id, n_bytes, n_removed, n_spans, sha256(unhex(rest)) as kept_sha256 from kept
     """,
+    "op11_embedding_dedup": """
+        with recursive v as (
+            select vec_id, label, list_transform(embedding, lambda x: x::double) as x from embeddings
+            where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x <> 0)) > 0
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ),
+        links as (
+            select a.vec_id as a, b.vec_id as b from v as a join v as b on a.label = b.label and a.vec_id <> b.vec_id
+            where list_cosine_similarity(a.x, b.x) >= 0.98
+        ),
+        reach(vec_id, other) as (
+            select vec_id, vec_id from embeddings union select reach.vec_id, links.b from reach join links on links.a = reach.other
+        ),
+        found as (select vec_id, min(other) as component_id from reach group by vec_id),
+        counted as (select a as vec_id, count(*) as n from links group by a)
+        select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept from found left join counted using (vec_id)
+    """,
+    "op13_centroids": _centroid_sql(),
 }
