@@ -68,7 +68,11 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete the application's scratch. Results that were not written elsewhere cannot be read after it."""
-    files, folder = _folder(spark, scratch_home(spark))
-    files.delete(folder, True)
+    drop_folder(spark, scratch_home(spark))
