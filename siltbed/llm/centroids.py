@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import dropped, map_batches, written
+from siltbed.llm.common import WorkTables, map_batches, written
 from siltbed.llm.vectors import matrices, vector_table
 
 #: Centroids in a leaf of the tree, and vectors that search at a time.
@@ -187,20 +187,20 @@ def cluster_vectors(
     starting points: of equal hashes the smaller vector comes first. With fewer vectors than ``clusters`` there are as many centroids as vectors. An empty table gives no rows.
     """
     schema = "vec_id long, cluster int, distance long, cluster_inertia long, inertia long, centroid_sha256 string"
-    whole = written(spark, _wholes(vector_table(vectors, id_col, vector_col), width, scale), "whole_vectors")
     order = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")), 256)
-    starts = whole.where("vec_id is not null").orderBy(order, "x").limit(clusters).select("x").collect()
-    if not starts:
-        return spark.createDataFrame([], schema)
-    points = np.array([r.x for r in starts], np.int64)
-    for _ in range(rounds):
+    with WorkTables(spark) as work:
+        whole = work.write(_wholes(vector_table(vectors, id_col, vector_col), width, scale), "whole_vectors")
+        starts = whole.where("vec_id is not null").orderBy(order, "x").limit(clusters).select("x").collect()
+        if not starts:
+            return spark.createDataFrame([], schema)
+        points = np.array([r.x for r in starts], np.int64)
+        for _ in range(rounds):
+            tree = spark.sparkContext.broadcast(build_tree(points))
+            points = _moved(whole, tree, width)
+            tree.unpersist()
         tree = spark.sparkContext.broadcast(build_tree(points))
-        points = _moved(whole, tree, width)
+        last = written(spark, _assigned(whole, tree, width), "assigned")
         tree.unpersist()
-    tree = spark.sparkContext.broadcast(build_tree(points))
-    last = written(spark, _assigned(whole, tree, width), "assigned")
-    tree.unpersist()
-    dropped(spark, whole)
 
     found = {r.cluster: r.inertia for r in last.groupBy("cluster").agg(F.sum("distance").alias("inertia")).collect()}
     digests = [hashlib.sha256(",".join(map(str, p)).encode()).hexdigest() for p in points.tolist()]

@@ -8,8 +8,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from siltbed.session import scratch_folder
+from siltbed.session import drop_folder, scratch_folder
 
 #: Bytes of text that one Arrow batch is cut to before it is worked on, whatever its row count.
 BATCH_BYTES = 12 << 20
@@ -20,15 +21,23 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores before it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        taken.add(name)
+        out.append(name)
+    return out
+
+
 #: Setting that removes an execution's shuffle files when it ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared scratch folder: later reads depend on files, not on executors.
-
-    Shuffle files of the write are of no use after it and are removed with its end.
-    """
+def _written(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str]:
     path = scratch_folder(spark, name)
     before = spark.conf.get(_CLEANUP)
     spark.conf.set(_CLEANUP, "true")
@@ -36,14 +45,45 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared scratch folder: later reads depend on files, not on executors.
+
+    Shuffle files of the write are of no use after it and are removed with its end. The table stays; one that an operator
+    needs for itself only is made by ``WorkTables``.
+    """
+    return _written(spark, df, name)[0]
+
+
+class WorkTables:
+    """Tables of one operator in the shared folder, each deleted after its last reader; those left go when the block ends, also by an error.
+
+    What the block returns may read no table of it but those given to ``keep``.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def __enter__(self) -> WorkTables:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop(*self.paths)
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        table, path = _written(self.spark, df, name)
+        self.paths[table] = path
+        return table
 
+    def keep(self, table: DataFrame) -> DataFrame:
+        del self.paths[table]
+        return table
 
-def dropped(spark: SparkSession, table: DataFrame) -> None:
-    """Deletes a table that ``written`` made and that nothing reads any more."""
-    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            drop_folder(self.spark, self.paths.pop(table))
 
 
 def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
@@ -59,12 +99,13 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
         yield batch.slice(start)
 
 
-def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str, column: str | None = "text") -> DataFrame:
+def map_batches(
+    df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str | StructType, column: str | None = "text"
+) -> DataFrame:
     """Applies ``work`` (a batch to a dict of columns) to every Arrow batch of ``df``, cut by the bytes of ``column``."""
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
 
-    fields = to_arrow_schema(StructType.fromDDL(schema))
+    fields = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

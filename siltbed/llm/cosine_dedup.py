@@ -2,7 +2,7 @@
 
 Each of several tables gives a vector the signs of its inner products with random hyperplanes as its bucket. Two vectors at an angle
 share a sign with the chance 1 - angle / pi, and a bucket with that to the power of the bits. Bits follow the size of the largest label, so
-that a bucket holds a quarter of an unrelated vector on average; tables follow from the bits, so that a pair at the threshold is
+that a bucket holds a sixteenth of an unrelated vector on average; tables follow from the bits, so that a pair at the threshold is
 missed with the chance ``miss`` at most, and closer ones far less often. Vectors of a bucket are compared exactly.
 
 Equal vectors are one node, however many rows have them. A bucket is cut into blocks, and each two of its blocks meet in a task that
@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import dropped, map_batches, written
-from siltbed.llm.components import components
+from siltbed.llm.common import WorkTables, map_batches, written
+from siltbed.llm.components import components, smallest_reached
 from siltbed.llm.vectors import matrices, vector_table
 
 #: Nodes of a bucket in a block, and rows that a task holds at a time.
@@ -28,33 +28,53 @@ BLOCK, ROWS_HELD = 1024, 8192
 SEED = 20_240_611
 
 
-def plan_tables(nodes: int, threshold: float, miss: float) -> tuple[int, int]:
-    """Bits of a bucket and number of tables for the largest label's ``nodes``."""
-    bits = min(62, max(1, math.ceil(math.log2(max(nodes, 1))) + 2))
+def plan_tables(rows: int, threshold: float, miss: float) -> tuple[int, int]:
+    """Bits of a bucket and number of tables for the largest label's ``rows``."""
+    bits = min(62, max(1, math.ceil(math.log2(max(rows, 1))) + 4))
     shared = (1 - math.acos(threshold) / math.pi) ** bits
     return bits, 1 if shared >= 1 else max(1, math.ceil(math.log(miss) / math.log1p(-shared)))
 
 
+def _units(matrix: np.ndarray) -> np.ndarray:
+    """Rows at length one, without squares that overflow or vanish on the way."""
+    matrix = matrix / np.abs(matrix).max(axis=1)[:, None]
+    return matrix / np.sqrt((matrix * matrix).sum(axis=1))[:, None]
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """A vector's bytes, in single precision where that holds it exactly."""
+    with np.errstate(over="ignore"):
+        single = x.astype("<f4")
+    return single.tobytes() if (single == x).all() else x.astype("<f8").tobytes()
+
+
+def _unpacked(vectors: list[bytes], width: int) -> np.ndarray:
+    if {len(v) for v in vectors} == {4 * width}:
+        return np.frombuffer(b"".join(vectors), "<f4").reshape(-1, width).astype(float)
+    return np.array([np.frombuffer(v, "<f4" if len(v) == 4 * width else "<f8") for v in vectors], float)
+
+
 def _measured(vectors: DataFrame) -> DataFrame:
-    """Per row: id, label, and, of a vector that can be linked, width, digest and the unit vector."""
+    """Per row: id, label, and, of a vector that can be linked, width, digest and bytes."""
 
     def work(batch):
         n = len(batch)
-        width, high, low, unit = [None] * n, [None] * n, [None] * n, [None] * n
+        width, high, low, packed = [None] * n, [None] * n, [None] * n, [None] * n
         for rows, matrix in matrices(batch.column("x")):
             matrix = matrix + 0.0  # one zero
-            largest = np.abs(matrix).max(axis=1)
-            rows, matrix, largest = rows[largest > 0], matrix[largest > 0], largest[largest > 0]
-            scaled = matrix / largest[:, None]  # neither squares that overflow nor ones that vanish
-            scaled /= np.sqrt((scaled * scaled).sum(axis=1))[:, None]
-            for at, x, u in zip(rows.tolist(), matrix, scaled, strict=True):
-                digest = hashlib.blake2b(x.tobytes(), digest_size=16).digest()
+            some = np.abs(matrix).max(axis=1) > 0
+            for at, x in zip(rows[some].tolist(), matrix[some], strict=True):
+                packed[at] = _packed(x)
+                digest = hashlib.blake2b(packed[at], digest_size=16).digest()
                 high[at] = int.from_bytes(digest[:8], "little", signed=True)
                 low[at] = int.from_bytes(digest[8:], "little", signed=True)
-                width[at], unit[at] = len(x), u.tobytes()
-        return {"vec_id": batch.column("vec_id"), "label": batch.column("label"), "width": width, "hi": high, "lo": low, "unit": unit}
+                width[at] = len(x)
+        return {"vec_id": batch.column("vec_id"), "label": batch.column("label"), "width": width, "hi": high, "lo": low, "vector": packed}
 
-    return map_batches(vectors, work, "vec_id long, label string, width int, hi long, lo long, unit binary", None)
+    return map_batches(vectors, work, "vec_id long, label string, width int, hi long, lo long, vector binary", None)
+
+
+_CLASS = "node long, label string, width int, hi long, lo long, first_id long, size long"
 
 
 def _signed(classes: DataFrame, bits: int, tables: int) -> DataFrame:
@@ -64,33 +84,16 @@ def _signed(classes: DataFrame, bits: int, tables: int) -> DataFrame:
     def work(batch):
         width = batch.column("width").to_numpy()
         keys: list = [None] * len(batch)
-        units = batch.column("unit").to_pylist()
+        vectors = batch.column("vector").to_pylist()
         for w in np.unique(width).tolist():
             rows = np.flatnonzero(width == w)
             planes = np.random.default_rng([SEED, w]).standard_normal((w, bits * tables))
-            signs = np.frombuffer(b"".join([units[i] for i in rows]), "<f8").reshape(-1, w) @ planes >= 0
+            signs = _units(_unpacked([vectors[i] for i in rows], w)) @ planes >= 0
             for at, k in zip(rows.tolist(), signs.reshape(len(rows), tables, bits) @ weights, strict=True):
                 keys[at] = k
-        return {c: batch.column(c) for c in ("node", "label", "size", "width", "unit")} | {"buckets": keys}
-
-    schema = "node long, label string, size long, width int, unit binary, buckets array<long>"
-    return map_batches(classes.select("node", "label", "size", "width", "unit"), work, schema, None)
+        return {c: batch.column(c) for c in batch.schema.names} | {"buckets": keys}
 
-
-def smallest_reached(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest number that each of ``n`` numbers reaches over the links (i, j)."""
-    low = np.arange(n)
-    while True:
-        m = np.minimum(low[i], low[j])
-        new = low.copy()
-        np.minimum.at(new, i, m)
-        np.minimum.at(new, j, m)
-        np.minimum.at(new, low[i], m)
-        np.minimum.at(new, low[j], m)
-        new = new[new]
-        if (new == low).all():
-            return low
-        low = new
+    return map_batches(classes, work, f"{_CLASS}, vector binary, buckets array<{'int' if bits < 32 else 'long'}>", None)
 
 
 def _compared(threshold: float):
@@ -114,7 +117,7 @@ def _compared(threshold: float):
         own, node, size = (rows.column(c).to_numpy() for c in ("own", "node", "size"))
         label = rows.column("label").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
         buckets = rows.column("buckets").combine_chunks().flatten().to_numpy().reshape(len(rows), -1)
-        units = rows.column("unit").to_pylist()
+        vectors, width = rows.column("vector").to_pylist(), marks[1]
         new = np.ones(len(rows), bool)
         new[1:] = np.any([m[1:] != m[:-1] for m in marks], axis=0)
         starts = np.flatnonzero(new).tolist()
@@ -122,7 +125,7 @@ def _compared(threshold: float):
         for a, b in zip(starts, [*starts[1:], len(rows)], strict=True):
             if b - a == 1:
                 continue
-            x = np.frombuffer(b"".join(units[a:b]), "<f8").reshape(b - a, -1)
+            x = _units(_unpacked(vectors[a:b], int(width[a])))
             links, low = unit_links(x, marks[2][a], marks[3][a], marks[4][a], own[a:b], label[a:b], buckets[a:b], size[a:b])
             at = np.flatnonzero(links)
             for held, found in zip(out, (node[a:b][at], links[at], node[a:b][low[at]]), strict=True):
@@ -166,43 +169,38 @@ def near_vectors(
     Every row counts: copies are linked with each other, also where they share an id. Rows without an id
     take part; their component is the smallest id there, null if there is none, and they are kept only then. An empty table gives no rows.
     """
-    labelled = vector_table(vectors, id_col, vector_col, F.col(label_col).cast("string").alias("label"))
-    rows = written(spark, _measured(labelled), "vectors")
-    key = ["label", "width", "hi", "lo"]
-    classes = rows.where("label is not null and width is not null").groupBy(*key)
-    classes = classes.agg(F.min("vec_id").alias("first_id"), F.count("*").alias("size"), F.first("unit").alias("unit"))
-    classes = written(spark, classes.withColumn("node", F.monotonically_increasing_id()), "vector_classes")
-
-    largest = classes.groupBy("label", "width").count().agg(F.max("count")).first()[0] or 0
-    bits, tables = plan_tables(largest, threshold, miss)
-    signed = written(spark, _signed(classes, bits, tables), "signed")
-
-    # buckets with one node have no pair; they go before any vector is moved
-    place = ["label", "width", "table", "bucket"]
-    postings = signed.select("node", "label", "width", F.posexplode("buckets").alias("table", "bucket"))
-    shared = postings.groupBy(*place).agg(F.count("*").alias("nodes")).where("nodes > 1")
-    shared = written(spark, shared.select(*place, F.ceil(F.col("nodes") / BLOCK).alias("blocks")), "buckets")
-    placed = postings.join(shared, place).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    placed = placed.withColumns({"p": F.least("own", "other"), "q": F.greatest("own", "other")})
-    placed = placed.select("node", "table", "own", "p", "q", F.xxhash64(*place, "p", "q").alias("unit_id"))
-    met = placed.join(signed, "node").repartition("unit_id").sortWithinPartitions("unit_id", "width", "table", "p", "q")
-    found = written(spark, met.mapInArrow(_compared(threshold), "node long, links long, root long"), "vector_links")
-
-    counts = found.groupBy("node").agg(F.sum("links").alias("links"))
-    reached = components(spark, found.select(F.col("node").alias("u"), F.col("root").alias("v")))
-    reached = written(spark, reached.join(classes.select("node", "first_id"), "node"), "reached")
-    names = written(spark, reached.groupBy("component").agg(F.min("first_id").alias("name")), "names")
-    named = reached.join(names, "component").select("node", "name")
-    judged = classes.select("node", *key, "first_id", "size").join(counts, "node", "left").join(named, "node", "left")
-    judged = judged.select(
-        *key, (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("name", "first_id").alias("name")
-    )
-    judged = written(spark, judged, "judged")
-    for table in (classes, signed, shared, found, reached, names):
-        dropped(spark, table)
-
-    out = rows.select("vec_id", *key).join(judged, key, "left")
+    x = vector_table(vectors, id_col, vector_col, F.col(label_col).cast("string").alias("label"))
+    key, place = ["label", "width", "hi", "lo"], ["label", "width", "table", "bucket"]
+    most = x.where("label is not null").groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    bits, tables = plan_tables(most, threshold, miss)
+    with WorkTables(spark) as work:
+        classes = _measured(x).where("label is not null and width is not null").groupBy(*key)
+        classes = classes.agg(F.min("vec_id").alias("first_id"), F.count("*").alias("size"), F.first("vector").alias("vector"))
+        classes = classes.select(F.monotonically_increasing_id().alias("node"), *key, "first_id", "size", "vector")
+        signed = work.write(_signed(classes, bits, tables), "signed")
+
+        # buckets with one node have no pair; they go before any vector is moved
+        postings = signed.select("node", "label", "width", F.posexplode("buckets").alias("table", "bucket"))
+        shared = postings.groupBy(*place).agg(F.count("*").alias("nodes")).where("nodes > 1")
+        shared = work.write(shared.select(*place, F.ceil(F.col("nodes") / BLOCK).alias("blocks")), "buckets")
+        placed = postings.join(shared, place).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+        placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        placed = placed.withColumns({"p": F.least("own", "other"), "q": F.greatest("own", "other")})
+        placed = placed.select("node", "table", "own", "p", "q", F.xxhash64(*place, "p", "q").alias("unit_id"))
+        vectors_of = signed.select("node", "label", "width", "size", "vector", "buckets")
+        met = placed.join(vectors_of, "node").repartition("unit_id").sortWithinPartitions("unit_id", "width", "table", "p", "q")
+        found = work.write(met.mapInArrow(_compared(threshold), "node long, links long, root long"), "vector_links")
+        work.drop(shared)
+
+        counts = found.groupBy("node").agg(F.sum("links").alias("links"))
+        reached = components(spark, found.select(F.col("node").alias("u"), F.col("root").alias("v")), work)
+        names = reached.join(signed.select("node", "first_id"), "node").groupBy("component").agg(F.min("first_id").alias("name"))
+        named = reached.join(work.write(names, "names"), "component").select("node", "name")
+        judged = signed.select("node", *key, "first_id", "size").join(counts, "node", "left").join(named, "node", "left")
+        links = F.col("size") - 1 + F.coalesce("links", F.lit(0))
+        judged = written(spark, judged.select(*key, links.alias("links"), F.coalesce("name", "first_id").alias("name")), "judged")
+
+    out = _measured(x).select("vec_id", *key).join(judged, key, "left")
     component = F.when(F.col("links").isNotNull(), F.col("name")).otherwise(F.col("vec_id"))
     return out.select(
         "vec_id",

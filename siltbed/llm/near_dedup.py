@@ -21,12 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltbed.llm.bpe import Kept
-from siltbed.llm.common import documents, map_batches, raw, written
+from siltbed.llm.common import WorkTables, documents, free_names, map_batches, raw, written
 from siltbed.llm.components import components
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-#: Members up to which a list is compared pair by pair, and shingles in a block of a group of longer lists.
-SHORT_LIST, BLOCK_VALUES = 16, 400_000
+#: Shingles in a block of a group.
+BLOCK_VALUES = 400_000
 #: How far below the threshold a sketch's estimate may lie: over six standard deviations of 64 values at 0.8.
 ESTIMATE_SLACK = 0.35
 
@@ -100,7 +100,7 @@ def postings(nodes: DataFrame, threshold: float) -> DataFrame:
     return nodes.select(F.explode(F.array_distinct(keys)).alias("key"), "node")
 
 
-def _full_sets(spark: SparkSession, docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+def _full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """``node``, ``values``: the full sets of ``nodes``, whose digests tell which text is meant."""
     texts = docs.join(nodes, docs.doc_id == nodes.node).select("node", "hi", "lo", "text")
 
@@ -110,10 +110,10 @@ def _full_sets(spark: SparkSession, docs: DataFrame, nodes: DataFrame, width: in
         own = [_digest(s) == d for s, d in zip(sets, digests, strict=True)]
         return {"node": batch.column("node"), "values": [s.tobytes() if ok else None for s, ok in zip(sets, own, strict=True)]}
 
-    return written(spark, map_batches(texts, work, "node long, values binary").where("values is not null"), "sets")
+    return map_batches(texts, work, "node long, values binary").where("values is not null")
 
 
-def _similar(spark: SparkSession, nodes: DataFrame, sets: DataFrame, pairs: DataFrame, k: int, threshold: float) -> DataFrame:
+def _similar(nodes: DataFrame, sets: DataFrame, pairs: DataFrame, k: int, threshold: float) -> DataFrame:
     """The pairs (a, b) that are links: estimated from the union of two sketches, confirmed on full sets."""
     part, whole = _fraction(threshold)
 
@@ -136,50 +136,64 @@ def _similar(spark: SparkSession, nodes: DataFrame, sets: DataFrame, pairs: Data
             kept.append(whole * shared >= part * (len(x) + len(y) - shared))
         return {"a": batch.column("a"), "b": batch.column("b"), "linked": kept}
 
-    return written(spark, map_batches(both, confirm, "a long, b long, linked boolean", "v_b").where("linked").select("a", "b"), "links")
+    return map_batches(both, confirm, "a long, b long, linked boolean", "v_b").where("linked").select("a", "b")
 
 
-def _links_in_groups(spark: SparkSession, members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Links between nodes of one ``group`` that lie in different components.
+def _links_in_groups(members: DataFrame, sets: DataFrame, k: int, threshold: float) -> DataFrame:
+    """Links (a, b) between the components of nodes of one ``group``: a and b are components.
 
-    A group is cut by set size and into blocks, and each two of its blocks meet in one task, which counts the common
-    values of all their nodes from a local inverted index. Only links leave the task.
+    A group is cut by set size and into blocks of about as many shingles, and each two of its blocks meet in one task. Nodes whose sketches
+    estimate the similarity too low are left out there first; of the others the task counts the common values from a local
+    inverted index. Only links between components leave the task, each once.
     """
     part, whole = _fraction(threshold)
     # sizes of linked sets differ by the threshold at most: a document meets those of its size class and the two beside it
     size = F.floor(F.log("n_shingles") / math.log(1 / threshold)).cast("long")
     classed = members.select("node", "component", "n_shingles", "group", F.explode(F.array(size, size - 1)).alias("size"))
-    blocks = classed.groupBy("group", "size").agg(F.ceil(F.sum("n_shingles") / BLOCK_VALUES).alias("blocks"))
+    blocks = classed.groupBy("group", "size", F.xxhash64("group", "size").alias("hash")).agg(
+        F.ceil(F.sum("n_shingles") / BLOCK_VALUES).alias("blocks"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    blocks = blocks.where("low < high").select("group", "size", "blocks")
     placed = classed.join(blocks, ["group", "size"]).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
     placed = placed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     placed = placed.select("group", "size", "node", "component", "own", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
 
-    none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-
     def meet(table: pa.Table) -> pa.Table:
-        node, component, own, p, q = (table.column(c).to_numpy() for c in ("node", "component", "own", "p", "q"))
+        component, own, p, q = (table.column(c).to_numpy() for c in ("component", "own", "p", "q"))
         values = [np.frombuffer(v, np.int64) for v in table.column("values").to_pylist()]
         left, right = np.flatnonzero(own == p), np.flatnonzero(own == q)
-        if not len(left) or not len(right):  # documents go to blocks by hash, so a block can be without any
-            return none
-        size = np.array([len(v) for v in values])
-        flat, owner = np.concatenate([values[i] for i in right]), np.repeat(np.arange(len(right)), size[right])
-        order = np.argsort(flat, kind="stable")
-        flat, owner = flat[order], owner[order]
-        found: list[tuple[int, int]] = []
-        for i in left:
-            first, last = np.searchsorted(flat, values[i], "left"), np.searchsorted(flat, values[i], "right")
-            n = last - first
-            at = np.repeat(last - np.cumsum(n), n) + np.arange(n.sum())
-            shared = np.bincount(owner[at], minlength=len(right))
-            linked = whole * shared >= part * (size[i] + size[right] - shared)
-            linked &= component[right] != component[i]
-            found += [(min(node[i], node[j]), max(node[i], node[j])) for j in right[linked]]
+        found: set[tuple[int, int]] = set()
+        if len(left) and len(right):  # documents go to blocks by hash, so a block can be without any
+            size = np.array([len(v) for v in values])
+            flat, owner = np.concatenate([values[i] for i in right]), np.repeat(np.arange(len(right)), size[right])
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], owner[order]
+            for i in left:
+                apart = component[right] != component[i]
+                if not apart.any():
+                    continue
+                # what the other set has of the retained values estimates at least the similarity
+                few = values[i][:k]
+                close = apart & (whole * np.minimum(size[i], size[right]) >= part * np.maximum(size[i], size[right]))
+                shared = _shared(few, flat, owner, len(right))
+                close &= shared >= (threshold - ESTIMATE_SLACK) * len(few)
+                if not close.any():
+                    continue
+                shared = _shared(values[i], flat, owner, len(right))
+                linked = close & (whole * shared >= part * (size[i] + size[right] - shared))
+                found |= {(min(component[i], c), max(component[i], c)) for c in component[right[linked]].tolist()}
         a, b = zip(*found, strict=True) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    whole_rows = placed.join(sets, "node")
-    return written(spark, whole_rows.groupBy("group", "size", "p", "q").applyInArrow(meet, "a long, b long").distinct(), "links")
+    return placed.join(sets, "node").groupBy("group", "size", "p", "q").applyInArrow(meet, "a long, b long").distinct()
+
+
+def _shared(values: np.ndarray, flat: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """How many of ``values`` each of ``n`` owners has in the sorted ``flat``."""
+    first, last = np.searchsorted(flat, values, "left"), np.searchsorted(flat, values, "right")
+    count = last - first
+    at = np.repeat(last - np.cumsum(count), count) + np.arange(count.sum())
+    return np.bincount(owner[at], minlength=n)
 
 
 def _fraction(threshold: float) -> tuple[int, int]:
@@ -202,57 +216,69 @@ def near_duplicates(
     """Per row: ``n_shingles``, ``component_id`` (the smallest id linked to it, over any number of links) and ``kept``.
 
     Documents are linked where the Jaccard similarity of their sets of ``width``-word shingles is at least ``threshold``.
-    Equal sets count as one node, so copies cost nothing beyond their own row. Lists are first resolved against their smallest
-    member; documents of lists that then still hold several components are compared in blocks, out of which only links come, so
-    that no link is lost and large groups do not multiply.
+    Equal sets count as one node, so copies cost nothing beyond their own row. The members of a list are first compared with its smallest one.
+    The lists that then still hold several components are compared in blocks, those with one smallest member as one group, out
+    of which only links between components come: no link is lost, and large groups do not multiply.
 
     Null, empty and wordless texts have no shingles and are linked with nothing. Rows with one id count as one document,
     linked by any of its texts. Rows without an id take part through their text: their component is the smallest id there, null if there is none,
     and they are kept only then. An empty table gives no rows.
     """
     docs = documents(docs, id_col, text_col)
-    rows = written(spark, sketches(docs, width, k), "sketches")
-    sets = rows.where("n_shingles > 0 and doc_id is not null").groupBy("hi", "lo")
-    classes = written(spark, sets.agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "classes")
-
-    lists = postings(classes, threshold)
-    heads = lists.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last").select("key", "head")
-    lists = written(spark, lists.join(heads, "key"), "lists")
-
-    sets = _full_sets(spark, docs, lists.select("node").distinct().join(classes.select("node", "hi", "lo"), "node"), width)
-    pairs = lists.where("node <> head").groupBy(F.col("head").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("times"))
-    pairs = written(spark, pairs, "pairs")
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a")).select("a", "b")
-    links = _similar(spark, classes, sets, best, k, threshold)
-    found = components(spark, links.toDF("u", "v"))
-
-    ends = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
-    for end in ("a", "b"):
-        of = found.select(F.col("node").alias(end), F.col("component").alias(f"c_{end}"))
-        ends = ends.join(of, end, "left").withColumn(f"c_{end}", F.coalesce(f"c_{end}", end))
-    links = links.union(_similar(spark, classes, sets, ends.where("c_a <> c_b").select("a", "b"), k, threshold))
-    found = components(spark, links.toDF("u", "v"))
-
-    # lists that still hold several components: short ones pair by pair; long ones, joined where they share members, in blocks
-    placed = lists.join(found, "node", "left").select("key", "head", "node", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members"))
-    placed = written(spark, placed.join(mixed.where("x < y").select("key", "members"), "key"), "placed")
-    short = placed.where(F.col("members") <= SHORT_LIST).select("key", "node", "component")
-    ends = short.toDF("key", "a", "c_a").join(short.toDF("key", "b", "c_b"), "key").where("a < b and c_a <> c_b")
-    ends = ends.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    links = links.union(_similar(spark, classes, sets, ends, k, threshold))
-    long = placed.where(F.col("members") > SHORT_LIST).select("head", "node", "component").distinct()
-    groups = components(spark, long.select(F.col("head").alias("u"), F.col("node").alias("v")))
-    members = long.select("node", "component").distinct().join(groups.withColumnRenamed("component", "group"), "node")
-    members = members.join(classes.select("node", "n_shingles"), "node")
-    links = links.union(_links_in_groups(spark, members, sets, threshold))
-    found = components(spark, links.toDF("u", "v"))
-
-    named = classes.select("hi", "lo", "node").join(found, "node", "left")
-    named = named.select("hi", "lo", F.coalesce("component", "node").alias("component"))
-    own = F.when(F.col("n_shingles") > 0, F.col("component"))
-    out = rows.select("doc_id", "n_shingles", "hi", "lo").join(named, ["hi", "lo"], "left")
-    component = F.coalesce(own, "doc_id")
-    return out.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept")
-    )
+    with WorkTables(spark) as work:
+        rows = work.write(sketches(docs, width, k), "sketches")
+        sets = rows.where("n_shingles > 0 and doc_id is not null").groupBy("hi", "lo")
+        classes = sets.agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+        classes = work.write(classes, "classes")
+
+        # the hash beside the key groups nothing further; it lets the join split a long list, as it deals out both inputs anew
+        lists = postings(classes, threshold)
+        heads = lists.groupBy("key", F.xxhash64("key").alias("hash")).agg(F.min("node").alias("head"), F.max("node").alias("last"))
+        lists = work.write(lists.join(heads.where("head < last").select("key", "head"), "key"), "lists")
+        chosen = lists.select("node").distinct().join(classes.select("node", "hi", "lo"), "node")
+        sets = work.write(_full_sets(docs, chosen, width), "sets")
+
+        pairs = lists.where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+        links = work.write(_similar(classes, sets, pairs, k, threshold), "links")
+        first = components(spark, links.toDF("u", "v"), work)
+
+        placed = lists.join(first, "node", "left").select("key", "head", "node", F.coalesce("component", "node").alias("component"))
+        mixed = placed.groupBy("key", F.xxhash64("key").alias("hash")).agg(F.min("component").alias("x"), F.max("component").alias("y"))
+        members = placed.join(mixed.where("x < y").select("key"), "key")
+        members = members.select(F.col("head").alias("group"), "node", "component").distinct().join(classes.select("node", "n_shingles"), "node")
+        links = work.write(_links_in_groups(members, sets, k, threshold), "links")
+        second = components(spark, links.toDF("u", "v"), work).toDF("component", "joined")
+
+        named = classes.select("hi", "lo", "node").join(first, "node", "left")
+        named = named.select("hi", "lo", F.coalesce("component", "node").alias("component")).join(second, "component", "left")
+        named = named.select("hi", "lo", F.coalesce("joined", "component").alias("component"))
+        own = F.when(F.col("n_shingles") > 0, F.col("component"))
+        out = rows.select("doc_id", "n_shingles", "hi", "lo").join(named, ["hi", "lo"], "left")
+        component = F.coalesce(own, "doc_id")
+        out = out.select(
+            "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept")
+        )
+        return written(spark, out, "near_duplicates")
+
+
+def drop_near_duplicates(
+    spark: SparkSession, docs: DataFrame, threshold: float = 0.8, width: int = 5, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with all its columns, one row of each group of near duplicates: of the smallest id.
+
+    Rows without an id take part under a key made of their text, beyond other ids, so one of them stays only where no row of the group
+    has an id. Of rows that share an id each different text is judged with the others of the id, and of equal ones one row stays.
+    Null, empty and wordless texts are linked with nothing; of those that share an id, and of those without one, one of each text stays.
+    """
+    key, text_hash, row = free_names(docs, "row_key", "text_hash", "row")
+    own = F.coalesce(F.col(id_col).cast("long"), F.lit(1 << 62) + F.xxhash64(text_col).bitwiseAND(F.lit((1 << 61) - 1)))
+    keyed = docs.withColumns({key: own, text_hash: F.xxhash64(text_col)})
+    found = near_duplicates(spark, keyed, threshold, width, id_col=key, text_col=text_col)
+    # tables of their own size, so that Spark's threshold decides whether documents are moved for them
+    gone = written(spark, found.where("not kept").select(F.col("doc_id").alias(key)).distinct(), "near_duplicates_gone")
+    again = keyed.groupBy(key, text_hash).count().where("count > 1").select(key, text_hash)
+    again = written(spark, again.join(gone, key, "left_anti"), "repeated_rows")
+    left = keyed.join(gone, key, "left_anti")
+    alone = left.join(again, [key, text_hash], "left_anti").select(*docs.columns)
+    first = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias(row)
+    return alone.union(left.join(again, [key, text_hash], "left_semi").groupBy(key, text_hash).agg(first).select(f"{row}.*"))

@@ -74,7 +74,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siltbed.llm.mixing import mix
 
     docs = _table(spark, sf_dir, "documents")
-    return mix(spark, docs, domain_labels(docs, _table(spark, sf_dir, "labels")), TARGETS)
+    return mix(spark, docs, domain_labels(docs, _table(spark, sf_dir, "labels")), TARGETS, tokenizer())
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

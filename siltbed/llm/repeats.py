@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import documents, dropped, map_batches, raw, written
+from siltbed.llm.common import WorkTables, documents, free_names, map_batches, raw, written
 from siltbed.llm.suffixes import sort_suffixes
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -23,8 +23,6 @@ _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 WINDOWS_A_SORT = 20_000
 #: Windows dealt to a task, on average.
 WINDOWS_A_TASK = 40_000
-#: Frequent anchors, 8 bytes each, up to which they are broadcast.
-ANCHORS_TO_BROADCAST = 1_000_000
 
 
 def _gram_hashes(data: bytes, size: int) -> np.ndarray:
@@ -210,56 +208,6 @@ def _runs(ids: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ids[at], starts[at], last)], names=["doc_id", "first", "last"])
 
 
-def repeated_runs(spark: SparkSession, docs: DataFrame, length: int = 50, size: int = 20) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(narrow, texts, runs).
-
-    ``narrow``: each row's id, bytes, digest, whether it is its id's ``own`` text (that with the smallest digest), and the
-    smallest id with the same text (``twin``). ``texts``: own texts whose strings may repeat in a smaller document, but for copies of
-    a smaller document, of which all is known. ``runs``: repeated starting places.
-    """
-
-    def measure(batch):
-        data = [x or b"" for x in raw(batch)]
-        return {"doc_id": batch.column("doc_id"), "n_bytes": list(map(len, data)), "digest": [hashlib.sha256(x).digest() for x in data]}
-
-    narrow = written(spark, map_batches(docs, measure, "doc_id long, n_bytes long, digest binary"), "narrow")
-    named = narrow.where("doc_id is not null").groupBy("doc_id").agg(F.min("digest").alias("digest"))
-    twins = named.groupBy("digest").agg(F.min("doc_id").alias("twin"))
-    named = written(spark, named.join(twins, "digest"), "named")
-    narrow = narrow.join(named.select("doc_id", F.col("digest").alias("own"), "twin"), "doc_id", "left")
-    narrow = narrow.withColumn("own", F.coalesce(F.col("own") == F.col("digest"), F.lit(False)))
-
-    rows = _anchor_rows(docs.where("doc_id is not null"), length, size)
-    lows = "min(doc_id) over (partition by h, salt) < max(doc_id) over (partition by h, salt)"
-    shared = rows.selectExpr("h", "doc_id", f"known or ({lows}) as shared").where("shared").select("h", "doc_id")
-    # as many as the document has anchors
-    by_doc = written(spark, shared.groupBy("doc_id").agg(F.collect_list("h").alias("shared")), "shared")
-    alone = by_doc.join(named.where("doc_id = twin").select("doc_id", "digest"), "doc_id")
-    texts = docs.join(alone, "doc_id").where(F.unhex(F.sha2(F.col("text").cast("binary"), 256)) == F.col("digest"))
-    texts = written(spark, texts.select("doc_id", "text", "shared"), "texts")
-
-    windows = written(spark, _windows(texts, length, size), "windows")
-    total = windows.where("h is not null").count()
-    frequent = windows.where("h is not null").groupBy("h").count().where(F.col("count") > WINDOWS_A_SORT).select("h")
-    frequent = written(spark, frequent, "frequent")
-    if frequent.count() <= ANCHORS_TO_BROADCAST:
-        frequent = F.broadcast(frequent)
-    parts = max(spark.sparkContext.defaultParallelism, total // WINDOWS_A_TASK + 1)
-    dealt = windows.where("h is not null").join(frequent, "h", "left_anti").repartition(parts, "h").sortWithinPartitions("h")
-    schema = "doc_id long, first long, last long"
-    found = dealt.select("h", "doc_id", "first", "ahead", "near").mapInArrow(_sorted_repeats(length, size), schema)
-
-    # strings around a frequent anchor, one row for each: equal ones are aggregated before they meet
-    many = windows.join(frequent, "h", "left_semi").selectExpr("doc_id", "first", "near", f"explode(sequence(0, length(near) - {length})) as i")
-    many = many.selectExpr("doc_id", "first + i as first", f"substring(near, i + 1, {length}) as string")
-    lowest = many.groupBy("string").agg(F.min("doc_id").alias("lowest"))
-    single = many.join(lowest, "string").where("lowest < doc_id").selectExpr("doc_id", "first", "first as last")
-    known = windows.where("h is null").select("doc_id", "first", "last")
-    runs = written(spark, found.union(known).union(single), "runs")
-    dropped(spark, windows)
-    return narrow, texts, runs
-
-
 def _merged(first: np.ndarray, last: np.ndarray, length: int) -> list[tuple[int, int]]:
     """Spans of bytes that the strings starting in these runs cover."""
     out: list[list[int]] = []
@@ -271,6 +219,73 @@ def _merged(first: np.ndarray, last: np.ndarray, length: int) -> list[tuple[int,
     return [(a, b) for a, b in out]
 
 
+def repeat_spans(spark: SparkSession, docs: DataFrame, length: int = 50, size: int = 20) -> DataFrame:
+    """``cut_id``, ``digest``, ``spans``: of each document that loses bytes its id, the sha256 of the text that is judged, and the runs of bytes.
+
+    Of the texts of an id the one with the smallest digest is judged. What a copy of a smaller document loses is known without looking into it.
+    """
+
+    def measure(batch):
+        data = [x or b"" for x in raw(batch)]
+        return {"doc_id": batch.column("doc_id"), "n_bytes": list(map(len, data)), "digest": [hashlib.sha256(x).digest() for x in data]}
+
+    with WorkTables(spark) as work:
+        narrow = map_batches(docs.where("doc_id is not null"), measure, "doc_id long, n_bytes long, digest binary")
+        named = work.write(narrow.groupBy("doc_id").agg(F.min(F.struct("digest", "n_bytes")).alias("own")).select("doc_id", "own.*"), "named")
+        twins = named.groupBy("digest", F.xxhash64("digest").alias("hash")).agg(F.min("doc_id").alias("twin")).drop("hash")
+        named = work.write(named.join(twins, "digest"), "twins")
+
+        rows = _anchor_rows(docs.where("doc_id is not null"), length, size)
+        lows = "min(doc_id) over (partition by h, salt) < max(doc_id) over (partition by h, salt)"
+        shared = rows.selectExpr("h", "doc_id", f"known or ({lows}) as shared").where("shared").select("h", "doc_id")
+        # as many as the document has anchors
+        by_doc = work.write(shared.groupBy("doc_id").agg(F.collect_list("h").alias("shared")), "shared")
+        alone = by_doc.join(named.where("doc_id = twin").select("doc_id", "digest"), "doc_id")
+        texts = docs.join(alone, "doc_id").where(F.unhex(F.sha2(F.col("text").cast("binary"), 256)) == F.col("digest"))
+        windows = work.write(_windows(texts.select("doc_id", "text", "shared"), length, size), "windows")
+        work.drop(by_doc)
+
+        total = windows.where("h is not null").count()
+        frequent = windows.where("h is not null").groupBy("h").count().where(F.col("count") > WINDOWS_A_SORT).select("h")
+        frequent = work.write(frequent, "frequent")
+        parts = max(spark.sparkContext.defaultParallelism, total // WINDOWS_A_TASK + 1)
+        dealt = windows.where("h is not null").join(frequent, "h", "left_anti").repartition(parts, "h").sortWithinPartitions("h")
+        schema = "doc_id long, first long, last long"
+        found = dealt.select("h", "doc_id", "first", "ahead", "near").mapInArrow(_sorted_repeats(length, size), schema)
+
+        # strings around a frequent anchor, one row for each: equal ones are aggregated before they meet
+        many = windows.join(frequent, "h", "left_semi").selectExpr("doc_id", "first", "near", f"explode(sequence(0, length(near) - {length})) as i")
+        many = many.selectExpr("doc_id", "first + i as first", f"substring(near, i + 1, {length}) as string")
+        lowest = many.groupBy("string", F.xxhash64("string").alias("hash")).agg(F.min("doc_id").alias("lowest")).drop("hash")
+        single = many.join(lowest, "string").where("lowest < doc_id").selectExpr("doc_id", "first", "first as last")
+        known = windows.where("h is null").select("doc_id", "first", "last")
+        runs = work.write(found.union(known).union(single), "runs")
+        work.drop(windows)
+
+        def merge(batch):
+            own = [[(s["start"], s["end"]) for s in r] for r in batch.column("runs").to_pylist()]
+            spans = [[{"start": a, "end": b} for a, b in _merged(*zip(*r, strict=True), length)] for r in own]
+            return {"cut_id": batch.column("doc_id"), "spans": spans}
+
+        kind = "array<struct<start: bigint, end: bigint>>"
+        runs = runs.groupBy("doc_id").agg(F.collect_list(F.struct(F.col("first").alias("start"), F.col("last").alias("end"))).alias("runs"))
+        spans = map_batches(runs, merge, f"cut_id long, spans {kind}", None)
+        spans = spans.join(named.select(F.col("doc_id").alias("cut_id"), "digest"), "cut_id").select("cut_id", "digest", "spans")
+        copies = named.where(f"twin < doc_id and n_bytes >= {length}").selectExpr(
+            "doc_id as cut_id", "digest", f"cast(array(named_struct('start', 0L, 'end', n_bytes)) as {kind}) as spans"
+        )
+        return written(spark, spans.unionByName(copies), "spans")
+
+
+def _cut(data: bytes, digest: bytes | None, spans: list[dict] | None) -> tuple[bytes, list[dict], bytes | None]:
+    """(sha256, spans, rest) of a text; the rest is null where nothing goes."""
+    own = hashlib.sha256(data).digest()
+    if digest != own:
+        return own, [], None
+    ends = [0, *(x for s in spans for x in (s["start"], s["end"])), len(data)]
+    return own, spans, b"".join(data[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
+
+
 def remove_repeats(
     spark: SparkSession, docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -280,39 +295,50 @@ def remove_repeats(
     compared as UTF-8 and never across documents. ``kept`` is null where nothing goes, and may hold broken characters, which ``kept_text``
     leaves out.
     A null text counts as empty. Rows without an id neither lose bytes nor make others lose any. Of rows that share an id, those with the
-    text of the smallest sha256 are judged, each alike; the others keep all.
+    text of the smallest sha256 are judged, each alike; the others keep all. An empty table gives no rows.
     """
     docs = documents(docs, id_col, text_col)
-    narrow, texts, runs = repeated_runs(spark, docs, length)
-    runs = runs.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-
-    def cut(batch):
-        spans, kept, texts, digests = [], [], [], []
-        for data, own in zip(raw(batch), batch.column("runs").to_pylist(), strict=True):
-            merged = _merged([r["first"] for r in own], [r["last"] for r in own], length)
-            ends = [0, *(x for s in merged for x in s), len(data)]
-            rest = b"".join(data[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
-            spans.append([{"start": a, "end": b} for a, b in merged])
-            kept.append(rest)
-            texts.append(rest.decode(errors="ignore"))
-            digests.append(hashlib.sha256(rest).hexdigest())
-        return {"doc_id": batch.column("doc_id"), "spans": spans, "kept": kept, "kept_text": texts, "kept_sha256": digests}
-
-    schema = "doc_id long, spans array<struct<start: long, end: long>>, kept binary, kept_text string, kept_sha256 string"
-    cuts = map_batches(texts.select("doc_id", "text").join(runs, "doc_id"), cut, schema)
-    cuts = cuts.withColumnRenamed("doc_id", "cut_id").dropDuplicates(["cut_id"])
-    whole = F.coalesce(F.col("own") & (F.col("twin") < F.col("doc_id")) & (F.col("n_bytes") >= length), F.lit(False))
-    no_spans = F.array().cast("array<struct<start: bigint, end: bigint>>")
-    all_of_it = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
-    joined = narrow.join(cuts, (F.col("cut_id") == F.col("doc_id")) & F.col("own"), "left")
-    return joined.select(
-        "doc_id",
-        "n_bytes",
-        "digest",
-        F.when(whole, all_of_it).otherwise(F.coalesce("spans", no_spans)).alias("spans"),
-        F.when(whole, F.lit(b"")).otherwise(F.col("kept")).alias("kept"),
-        F.when(whole, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text"),
-        F.when(whole, F.lit(hashlib.sha256(b"").hexdigest()))
-        .otherwise(F.coalesce("kept_sha256", F.lower(F.hex("digest"))))
-        .alias("kept_sha256"),
-    )
+    spans = repeat_spans(spark, docs, length)
+
+    def work(batch):
+        told = zip(raw(batch), batch.column("digest").to_pylist(), batch.column("spans").to_pylist(), strict=True)
+        cut = [(x or b"", *_cut(x or b"", digest, own)) for x, digest, own in told]
+        return {
+            "doc_id": batch.column("doc_id"),
+            "n_bytes": [len(x) for x, _, _, _ in cut],
+            "digest": [d for _, d, _, _ in cut],
+            "spans": [s for _, _, s, _ in cut],
+            "kept": [r for _, _, _, r in cut],
+            "kept_text": [None if r is None else r.decode(errors="ignore") for _, _, _, r in cut],
+            "kept_sha256": [(d if r is None else hashlib.sha256(r).digest()).hex() for _, d, _, r in cut],
+        }
+
+    schema = "doc_id long, n_bytes long, digest binary, spans array<struct<start: long, end: long>>, kept binary, kept_text string, kept_sha256 string"
+    return map_batches(docs.join(spans, F.col("doc_id") == F.col("cut_id"), "left"), work, schema)
+
+
+def without_repeats(
+    spark: SparkSession, docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = None
+) -> DataFrame:
+    """``docs`` with all its columns, the texts as ``remove_repeats`` leaves them and ``chars_col`` counting their code points anew.
+
+    Texts that lose nothing and their counts stay as they are, null ones too.
+    """
+    spans = repeat_spans(spark, documents(docs, id_col, text_col), length)
+    cut_id, digest, own = free_names(docs, "cut_id", "digest", "spans")
+    spans = spans.toDF(cut_id, digest, own)
+    joined = docs.join(spans, F.col(id_col).cast("long") == F.col(cut_id), "left")
+
+    def work(batch):
+        out = {c: batch.column(c) for c in docs_columns}
+        texts, counts = out[text_col].to_pylist(), out[chars_col].to_pylist() if chars_col else []
+        told = zip(batch.column(digest).to_pylist(), batch.column(own).to_pylist(), strict=True)
+        for i, (d, s) in enumerate(told):
+            if d is not None and (rest := _cut((texts[i] or "").encode(), d, s)[2]) is not None:
+                texts[i] = rest.decode(errors="ignore")
+                if chars_col:
+                    counts[i] = len(texts[i])
+        return out | {text_col: texts} | ({chars_col: counts} if chars_col else {})
+
+    docs_columns = docs.columns
+    return map_batches(joined, work, docs.schema, text_col)

@@ -10,7 +10,8 @@ from hypothesis import strategies as st
 
 from siltbed.llm import cosine_dedup
 from siltbed.llm.centroids import build_tree, cluster_vectors, nearest, squared
-from siltbed.llm.cosine_dedup import near_vectors, plan_tables, smallest_reached
+from siltbed.llm.components import smallest_reached
+from siltbed.llm.cosine_dedup import near_vectors, plan_tables
 from siltbed.llm.eigen import leading_pairs
 from siltbed.llm.whitening import whiten
 

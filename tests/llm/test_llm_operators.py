@@ -11,11 +11,11 @@ import corpus_pipeline
 from siltbed.llm import bpe, queries
 from siltbed.llm.chat import format_chats
 from siltbed.llm.components import components
-from siltbed.llm.mixing import mix
-from siltbed.llm.near_dedup import near_duplicates
+from siltbed.llm.mixing import mix, mixed_documents
+from siltbed.llm.near_dedup import drop_near_duplicates, near_duplicates
 from siltbed.llm.packing import pack
 from siltbed.llm.quality_rules import quality_rules
-from siltbed.llm.repeats import owned_starts, remove_repeats
+from siltbed.llm.repeats import owned_starts, remove_repeats, without_repeats
 from siltbed.llm.rule_ensemble import quality_scores
 from siltbed.llm.suffixes import sort_suffixes
 from siltbed.llm.token_counts import prefix_table, token_counts
@@ -228,12 +228,12 @@ def test_mixing_meets_its_targets(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, domain string, rate double")
     labels = df.where("doc_id % 3 = 0").select("doc_id", "domain")
     for floor in (0.0, 1.0):
-        got = mix(spark, df, labels, {"en": 0.6, "de": 0.4}, floor=floor, rounds=200).toPandas()
+        got = mix(spark, df, labels, {"en": 0.6, "de": 0.4}, queries.tokenizer(), floor=floor).toPandas()
         tokens = (got.n_tokens * got.rate).sum()
         assert abs((got.n_tokens * got.rate * got.p_en).sum() / tokens - 0.6) < 0.01
         assert got.rate.min() >= floor and got.copies.min() >= floor and len(got) == len(rows)
-    assert mix(spark, df.limit(0), labels, {"en": 0.6, "de": 0.4}).count() == 0
-    assert mix(spark, df, labels.limit(0), {"en": 0.6, "de": 0.4}).count() == len(rows)
+    assert mix(spark, df.limit(0), labels, {"en": 0.6, "de": 0.4}, queries.tokenizer()).count() == 0
+    assert mix(spark, df, labels.limit(0), {"en": 0.6, "de": 0.4}, queries.tokenizer()).count() == len(rows)
 
 
 def test_mixing_weighs_by_tokens(spark, library):
@@ -241,13 +241,43 @@ def test_mixing_weighs_by_tokens(spark, library):
     texts = [f"{words[d]} {i} " * (1 + i % 7) for i, d in enumerate(["en"] * 200 + ["de"] * 60)] + ["日本語 x", " \n ", "a<|endoftext|> b", None]
     df = spark.createDataFrame([(i, t, "en" if i < 200 else "de") for i, t in enumerate(texts)], "doc_id long, text string, domain string")
     labels = df.where("doc_id % 3 = 0 and doc_id < 260").select("doc_id", "domain")
-    got = mix(spark, df, labels, {"en": 0.6, "de": 0.4}).toPandas().sort_values("doc_id")
+    got = mix(spark, df, labels, {"en": 0.6, "de": 0.4}, queries.tokenizer()).toPandas().sort_values("doc_id")
     tokens = np.array([len(ids(library, t)) for t in texts])
     assert list(got.n_tokens) == list(tokens)
     given = tokens * got.rate.to_numpy()
     assert abs((given * got.p_en.to_numpy()).sum() / given.sum() - 0.6) < 0.001
 
 
+@pytest.mark.parametrize("floor", [0.0, 1.0])
+def test_mixing_reaches_what_least_squares_can(spark, floor):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    targets = {"en": 0.3, "de": 0.3, "es": 0.2, "fr": 0.2}
+    got = mix(spark, docs, queries.domain_labels(docs, labels), targets, queries.tokenizer(), floor=floor).toPandas()
+    p, n, rate = got[[f"p_{d}" for d in sorted(targets)]].to_numpy(), got.n_tokens.to_numpy(float), got.rate.to_numpy()
+    shares = (n * rate) @ p / (n * rate).sum()
+    off = np.abs(shares - [targets[d] for d in sorted(targets)]).max()
+    assert abs(off - got.target_error[0]) < 1e-9 and off < 1e-3 and rate.min() >= floor
+    # without a floor in the way the rates are the least change that meets the targets: along the memberships
+    if not floor and rate.min() > 0:
+        m = (p * n[:, None]).T @ p
+        least = 1 - p @ np.linalg.solve(m, n @ p - n.sum() * np.array([targets[d] for d in sorted(targets)]))
+        assert np.allclose(rate, least, atol=1e-3)
+
+
+def test_documents_are_taken_as_often_as_rated(spark):
+    words = {"en": "the of and to in", "de": "der die das und ist"}
+    rows = [(i, f"{words[d]} {i}", d, 7) for i, d in enumerate(["en"] * 60 + ["de"] * 20)] + [(None, None, None, 1), (3, "the of and to in 3", "en", 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, domain string, chance long")
+    labels = df.where("doc_id % 3 = 0").select("doc_id", "domain")
+    how = dict(targets={"en": 0.5, "de": 0.5}, tokenizer=queries.tokenizer(), floor=1.0)
+    taken = mixed_documents(spark, df, labels, **how)
+    assert taken.schema == df.schema
+    want = {(r.doc_id, r.n_tokens): r.copies for r in mix(spark, df, labels, **how).collect()}
+    got = taken.groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in got} == {i: c * (2 if i == 3 else 1) for (i, _), c in want.items()}
+
+
 def shingles(text, width):
     words = (text or "").encode().lower().split()
     return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
@@ -297,7 +327,7 @@ def test_near_duplicates_with_empty_blocks(spark, monkeypatch):
     sets = [near_dedup.shingle_set(" ".join(t).encode(), 2) for t in texts]
     members = spark.createDataFrame([(i, i, len(s), 0) for i, s in enumerate(sets)], "node long, component long, n_shingles long, group long")
     full = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "node long, values binary")
-    got = {(r.a, r.b) for r in near_dedup._links_in_groups(spark, members, full, 0.8).collect()}
+    got = {(r.a, r.b) for r in near_dedup._links_in_groups(members, full, 64, 0.8).collect()}
     want = {(i, j) for j in range(4) for i in range(j) if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))}
     assert want and got == want
 
@@ -310,6 +340,49 @@ def test_near_duplicates_edges(spark, docs):
     assert near_duplicates(spark, docs.limit(0)).count() == 0
 
 
+#: Rows without an id, repeated rows, empty texts, and names that the stages use inside.
+ODD = "doc_id long, text string, digest string, kept_text int, cut_id int, times_taken int, spans int, row_key int, text_hash int, row int, n_chars long"
+
+
+def odd(spark, extra=()):
+    texts = [(1, LONG), (1, LONG), (2, LONG + " more"), (None, LONG), (None, LONG), (None, "x y z a b c"), (None, "x y z a b c"), (None, ""), (5, ""), (6, None), (7, "one two")]
+    return spark.createDataFrame([(i, t, "d", 1, 2, 3, 4, 5, 6, 7, None if t is None else len(t)) for i, t in [*texts, *extra]], ODD)
+
+
+def test_one_row_of_each_group_stays(spark):
+    docs = odd(spark)
+    got = drop_near_duplicates(spark, docs)
+    assert got.schema == docs.schema
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(
+        [(1, LONG), (None, "x y z a b c"), (None, ""), (5, ""), (6, None), (7, "one two")], key=str
+    )
+    assert drop_near_duplicates(spark, docs.limit(0)).count() == 0
+
+
+def test_texts_without_repeats(spark):
+    docs = odd(spark, [(8, "ü" + LONG[:60] + "end"), (9, "b" * 80), (10, "b" * 80)])
+    got = without_repeats(spark, docs, chars_col="n_chars")
+    assert got.schema == docs.schema
+    rows = sorted(((r.doc_id, r.text, r.n_chars) for r in got.collect() if r.doc_id not in (2,)), key=str)
+    want = [(1, LONG), (1, LONG), (None, LONG), (None, LONG), (None, "x y z a b c"), (None, "x y z a b c"), (None, ""), (5, ""), (6, None), (7, "one two")]
+    want += [(8, "üend"), (9, "b" * 80), (10, "")]
+    assert rows == sorted(((i, t, None if t is None else len(t)) for i, t in want), key=str)
+
+
+def test_work_tables_go(spark, docs):
+    from siltbed.session import folder_exists, scratch_home
+
+    def tables():
+        root = spark._jvm.org.apache.hadoop.fs.Path(scratch_home(spark))
+        files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        return {f.getPath().getName() for f in files.listStatus(root)} if folder_exists(spark, scratch_home(spark)) else set()
+
+    for work, left in ((near_duplicates, "near_duplicates"), (remove_repeats, "spans")):
+        before = tables()
+        work(spark, docs).collect()
+        assert [t.rsplit("-", 1)[0] for t in tables() - before] == [left]
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 99), (99, 100), (7, 7)], "u long, v long")
     got = {r.node: r.component for r in components(spark, edges).collect()}
