@@ -5,15 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from siltbed.llm.common import written
-from siltbed.llm.mixing import mix
-from siltbed.llm.near_dedup import near_duplicates
+from siltbed.llm.mixing import mixed_documents
+from siltbed.llm.near_dedup import drop_near_duplicates
 from siltbed.llm.packing import pack
 from siltbed.llm.quality_rules import drop_anomalous
 from siltbed.llm.queries import TARGETS, domain_labels, tokenizer
-from siltbed.llm.repeats import remove_repeats
+from siltbed.llm.repeats import without_repeats
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,27 +22,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, similarity 0.8 or more)."""
-    copies = near_duplicates(spark, docs, threshold=0.8, width=5).where("not kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    return drop_near_duplicates(spark, docs, threshold=0.8, width=5)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 50 bytes or more that a document with a smaller id has too."""
-    cuts = remove_repeats(spark, docs, length=50).where("kept is not null").dropDuplicates(["doc_id", "digest"])
-    cuts = cuts.select(F.col("doc_id").alias("cut_id"), "digest", "kept_text")
-    own = (F.col("doc_id") == F.col("cut_id")) & (F.unhex(F.sha2(F.col("text").cast("binary"), 256)) == F.col("digest"))
-    same = F.col("cut_id").isNull()
-    text = F.when(same, F.col("text")).otherwise(F.col("kept_text"))
-    n_chars = F.when(same, F.col("n_chars")).otherwise(F.length("kept_text").cast("long"))
-    return docs.join(cuts, own, "left").withColumns({"text": text, "n_chars": n_chars}).select(*docs.columns)
+    return without_repeats(spark, docs, length=50, chars_col="n_chars")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of languages asks for, each at least once."""
     labels = domain_labels(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rates = mix(spark, docs, labels, TARGETS, floor=1.0).groupBy("doc_id").agg(F.max("copies").alias("times_taken"))
-    taken = docs.join(rates, "doc_id", "left").withColumn("times_taken", F.coalesce("times_taken", F.lit(1)))
-    return taken.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("times_taken"))).alias("time_taken")).select(*docs.columns)
+    return mixed_documents(spark, docs, labels, TARGETS, tokenizer(), floor=1.0)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
