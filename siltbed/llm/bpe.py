@@ -23,7 +23,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: anew, as the texts may have changed. Longer segments are not kept.
 KEPT_SEGMENTS, KEPT_LENGTH, KEPT_TIMES = 400_000, 64, 8
 
-_BOUNDARY = re.compile(r" (?=\S)")
+BOUNDARY = re.compile(r" (?=\S)")
 _PLAIN = re.compile("[\\n -~À-ÖØ-öø-ÿ]*")
 
 
@@ -79,13 +79,6 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def segments(text: str) -> list[str]:
-    """The text's segments; every one but the first stands without its leading space, but with its leading line break."""
-    if len(text.split()) <= text.count(" ") + text.count("\n"):  # white space of another kind, in a run or at an end
-        return _BOUNDARY.split(text)
-    return text.replace("\n", " \n").split(" ")
-
-
 def led(segment: str) -> str:
     """A segment other than the first as it stands in the text."""
     return segment if segment[:1] == "\n" else " " + segment

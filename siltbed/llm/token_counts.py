@@ -19,6 +19,8 @@ from siltbed.llm import bpe
 from siltbed.llm.common import documents, map_batches
 
 _PIECES = regex.compile(bpe.PATTERN)
+#: White space at the start, by what the pattern takes for it: Python's own notion has four controls more.
+_SPACE = regex.compile(r"\s*")
 _KEPT_PAIRS = 500_000
 
 
@@ -99,8 +101,7 @@ class PrefixCounts:
             counts = [c for i, c in enumerate(self.piece(data)) if i == len(data) or data[i] & 0xC0 != 0x80]
             if p in ("'re", "'ve", "'ll"):
                 counts[2] = 2
-            if p[0].isspace():
-                ahead = len(p) - len(p.lstrip())
+            if ahead := len(_SPACE.match(p).group()):
                 if not run:
                     run_base = base
                 for i in range(1, ahead + 1):
@@ -120,6 +121,13 @@ class PrefixCounts:
         counts = self.table(text)
         return int(np.flatnonzero(np.array(counts) <= limit)[-1])
 
+    def _fit(self, pieces: list[str], running: np.ndarray, at: int, limit: int) -> int:
+        """``fit`` of a text whose segment ``at`` ends beyond the limit, from the segments up to the one after it and the running counts."""
+        first = max(0, at - 1)
+        near = "".join(pieces[first : at + 1]) + " " * (at + 1 < len(pieces) and pieces[at + 1][0] == " ")
+        known = int(running[first - 1]) if first else 0
+        return sum(map(len, pieces[:first])) + self.fit(near, limit - known)
+
     def measure(self, texts: pa.Array, limit: int) -> tuple[np.ndarray, np.ndarray]:
         """Each text's count and ``fit``. Only the segments around the place where the limit falls are looked into."""
         split = bpe.Split(self.words, texts)
@@ -127,18 +135,25 @@ class PrefixCounts:
         firsts = np.array([self.total(x) for x in split.firsts], np.int64)
         counts = firsts + split.by_text(by_name[split.codes])
         fits = pc.utf8_length(texts.fill_null("")).to_numpy(zero_copy_only=False).astype(np.int64)
+        aside = set(split.aside.tolist())
         for i in np.flatnonzero(counts > limit):
-            codes = split.codes[split.starts[i] : split.starts[i + 1]]
-            running = firsts[i] + np.concatenate([[0], np.cumsum(by_name[codes])])
-            at = int(np.searchsorted(running, limit, side="right"))  # the first segment that ends beyond the limit
-            first = max(0, at - 1)
-            pieces = [split.firsts[i], *(bpe.led(split.names[c]) for c in codes[: at + 1])]
-            near = "".join(pieces[first : at + 1]) + " " * (at + 1 < len(pieces) and pieces[at + 1][0] == " ")
-            known = int(running[first - 1]) if first else 0
-            fits[i] = sum(map(len, pieces[:first])) + self.fit(near, limit - known)
+            if int(i) not in aside:
+                codes = split.codes[split.starts[i] : split.starts[i + 1]]
+                running = firsts[i] + np.concatenate([[0], np.cumsum(by_name[codes])])
+                at = int(np.searchsorted(running, limit, side="right"))  # the first segment that ends beyond the limit
+                fits[i] = self._fit([split.firsts[i], *(bpe.led(split.names[c]) for c in codes[: at + 1])], running, at, limit)
         for i in split.aside:
-            table = np.array(self.table(texts[i].as_py() or ""))
-            counts[i], fits[i] = table[-1], np.flatnonzero(table <= limit)[-1]
+            text = texts[i].as_py() or ""
+            if len(self.words.parts(text)) > 1:
+                table = np.array(self.table(text))
+                counts[i], fits[i] = table[-1], np.flatnonzero(table <= limit)[-1]
+                continue
+            names = bpe.BOUNDARY.split(text)  # white space in runs: the text is cut where no token crosses, its segments are kept
+            running = np.cumsum([self.total(names[0]), *map(self.totals.__getitem__, names[1:])])
+            counts[i] = running[-1]
+            if counts[i] > limit:
+                at = int(np.searchsorted(running, limit, side="right"))
+                fits[i] = self._fit([names[0], *map(bpe.led, names[1 : at + 2])], running, at, limit)
         return counts, fits
 
 

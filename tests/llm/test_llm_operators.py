@@ -71,6 +71,28 @@ def test_token_counts_equal_the_library(docs, library):
         assert all(len(ids(library, text[:n])) > 20 for n in range(r.fit_chars + 1, min(len(text), r.fit_chars + 5) + 1))
 
 
+def test_token_counts_of_odd_white_space(spark, library):
+    draw = np.random.default_rng(4)
+    odd = list("\x1c\x1d\x1e\x1f\x85\xa0\u2003\u180e\u200b\u3000 \t\n\r\x0b\x0c") + ["a", "B", "日", "é", "1", "'re", "!", "<|endoftext|>"]
+    texts = ["a \x85\x1c", "日 \x85\x1c"] + ["".join(draw.choice(odd, draw.integers(1, 12))) for _ in range(20_000)]
+    got = token_counts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), queries.tokenizer(), limit=3).toPandas()
+    got = got.sort_values("doc_id")
+    assert got.n_tokens.tolist() == [len(ids(library, t)) for t in texts]
+    for text, fit in list(zip(texts, got.fit_chars, strict=True))[:2000]:
+        assert fit == max(i for i in range(len(text) + 1) if len(ids(library, text[:i])) <= 3)
+
+
+def test_texts_with_runs_of_white_space_are_cut_too(spark, library):
+    draw = np.random.default_rng(8)
+    words = ["the", "quick", "fox.", "jumps", "日本", "don't", "\n", "\t", "  ", " ", "1234"]
+    texts = [" ".join(draw.choice(words, 60)) + " " * (i % 3) for i in range(300)]
+    for limit in (7, 40):
+        got = token_counts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), queries.tokenizer(), limit).toPandas()
+        for text, n, fit in zip(texts, got.sort_values("doc_id").n_tokens, got.sort_values("doc_id").fit_chars, strict=True):
+            assert n == len(ids(library, text))
+            assert fit == max(i for i in range(len(text) + 1) if len(ids(library, text[:i])) <= limit)
+
+
 def test_prefix_table_counts_every_prefix(spark, library):
     texts = [t[:300] for t in TEXTS if t]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
