@@ -645,6 +645,49 @@ def ingest_stream_(spark, sf_dir):
     return loads.entity_rows(spark.read.schema(schemas.STAGING).parquet(warehouse.staging("entity"))).select("id", "name")
 
 
+_LINE = """'{"id":' || c_custkey || ',"name":"' || c_name || '"}'"""
+
+
+def _set_aside(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A record per customer, ingested; those of debtors were landed cut short, by one to five characters."""
+    customers = _table(spark, sf_dir, "customer")
+    line = F.to_json(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")))
+    line = F.when(F.expr(DEBTOR), F.substring(line, F.lit(1), F.length(line) - 1 - F.col("c_custkey") % 5)).otherwise(line)
+    warehouse = Warehouse(scratch_folder(spark, "warehouse")).create(spark)
+    customers.select(line.alias("value")).write.text(records.landing_path(warehouse.landing(), "entity", "1"))
+    ingest_endpoint(spark, warehouse, "entity", malformed="QUARANTINE").awaitTermination()
+    return warehouse
+
+
+@binding(
+    f"""
+select c_custkey as id, cast(null as varchar) as text from customer where not {DEBTOR}
+union all select null, left(line, length(line)::int - 1 - (c_custkey % 5)::int)
+from (select c_custkey, {_LINE} as line from customer where {DEBTOR}) c
+"""
+)
+def quarantine_stream(spark, sf_dir):
+    """The records of one ingest, and the texts it set aside."""
+    staging = _set_aside(spark, sf_dir).staging("entity")
+    staged = loads.staged(spark, staging).select(json_path(RECORD, "$.id", "bigint").alias("id"), F.lit(None).cast("string").alias("text"))
+    return staged.union(ingest.quarantined(spark, staging).select(F.lit(None).cast("bigint"), "text"))
+
+
+@binding("select c_custkey as id, c_name as name from customer")
+def replay_stream(spark, sf_dir):
+    """What was set aside is repaired, landed again and ingested, each text once though it is given twice."""
+    warehouse = _set_aside(spark, sf_dir)
+    whole = _table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.to_json(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))).alias("text")
+    )
+    cut = ingest.quarantined(spark, warehouse.staging("entity"))
+    cut = cut.select("file", "start", "offset", F.regexp_extract("text", ":([0-9]+),", 1).cast("bigint").alias("id"))
+    for _ in range(2):
+        ingest.replay(spark, cut.join(whole, "id").drop("id"), warehouse.landing(), warehouse.replays("entity"), "entity")
+        ingest_endpoint(spark, warehouse, "entity", malformed="QUARANTINE").awaitTermination()
+    return loads.entity_rows(loads.staged(spark, warehouse.staging("entity"))).select("id", "name")
+
+
 @binding(f"select o_orderkey as id, 'customer ' || o_custkey as name, c_mktsegment as cohort from {ORDER_COHORTS}")
 def load_entities_stream(spark, sf_dir):
     warehouse = _ingested(

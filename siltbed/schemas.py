@@ -34,13 +34,25 @@ def measure_array(child: str) -> str:
     return f"array<struct<base_stat: bigint, {child}: {NAMED}>>"
 
 
-#: Column beside those of staging and storage: when the file of a record was landed, hence which of its runs is the latest.
+#: Column beside those of staging and storage: the place of a record's run among all runs, as text that sorts like it.
 LANDED = "landed"
 
 
 def with_landed(schema: T.StructType) -> T.StructType:
-    """A schema with the landing time of its records; null where files were written without it."""
-    return T.StructType([*schema.fields, T.StructField(LANDED, T.TimestampType())])
+    """A schema with the run order of its records; null where files were written without it."""
+    return T.StructType([*schema.fields, T.StructField(LANDED, T.StringType())])
+
+
+# A text that is no record is staged beside the records, in columns of its own: the file, the byte at which its split
+# starts, the byte from there at which the text starts, and the text. They are null in rows that hold a record.
+SET_ASIDE = T.StructType(
+    [
+        T.StructField("bad_file", T.StringType()),
+        T.StructField("bad_start", T.LongType()),
+        T.StructField("bad_offset", T.LongType()),
+        T.StructField("bad_text", T.StringType()),
+    ]
+)
 
 
 def _table(**columns: str) -> T.StructType:

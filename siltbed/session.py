@@ -68,6 +68,21 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none where there is no folder."""
+    files, folder = _folder(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(folder)) if files.exists(folder) else []
+
+
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder its final name, under which it appears whole."""
+    files, folder = _folder(spark, path)
+    target = _folder(spark, to)[1]
+    files.mkdirs(target.getParent())
+    if not files.rename(folder, target):
+        raise OSError(f"{path} cannot be moved to {to}")
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     files, folder = _folder(spark, path)
     files.delete(folder, True)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from siltbed.functions.paths import endpoint_from_url
-from siltbed.schemas import LISTING, RECORD_KEYS
+from siltbed.schemas import LANDED, LISTING, RECORD_KEYS
 
 RECORD = "json_data"
 
@@ -42,6 +43,77 @@ def read_json_records(
     return strip_outer_array(matching_path(raw, pattern))
 
 
+def run_order(path: Column | str) -> Column:
+    """The run a landing path belongs to, as text that sorts by run: numbers in its name sort as numbers.
+
+    NULL for a path without a ``run=`` folder. File times say nothing of runs: copying or restoring files changes them.
+    """
+    run = F.regexp_extract(path, "/run=([^/]+)/", 1)
+    padded = F.regexp_replace(run, "([0-9]+)", "00000000000000000000$1")
+    return F.nullif(F.regexp_replace(padded, "0*([0-9]{20})", "$1"), F.lit(""))
+
+
+def strict_json(text: Column | str) -> Column:
+    """A text as a variant, NULL unless it is one JSON value and nothing else.
+
+    Spark's own parser stops at the end of the first value and would lose what comes after it. As the first of two elements
+    of an array a text can only be one whole value.
+    """
+    both = F.try_parse_json(F.concat(F.lit("["), text, F.lit("\n,0]")))
+    value, second, third = (F.try_variant_get(both, f"$[{i}]", "variant") for i in range(3))
+    return F.when(second.isNotNull() & third.isNull(), value)
+
+
+def byte_offsets():
+    """A function of (file and split as a hash, bytes of a line) to the byte at which the line starts, counted from its split's first line.
+
+    It relies on the order in which a task reads lines, hence must see all of them; only these two numbers go to Python.
+    """
+
+    @F.pandas_udf("long")
+    def offsets(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        import numpy as np
+        import pandas as pd
+
+        split, at = None, 0
+        for splits, sizes in batches:
+            splits, sizes = splits.to_numpy(), sizes.to_numpy() + 1
+            out = np.empty(len(sizes), np.int64)
+            starts = np.flatnonzero(np.append(True, splits[1:] != splits[:-1])) if len(splits) else []
+            for a, b in zip(starts, [*starts[1:], len(splits)], strict=True):
+                if splits[a] != split:
+                    split, at = splits[a], 0
+                ends = at + np.cumsum(sizes[a:b])
+                out[a:b], at = ends - sizes[a:b], ends[-1]
+            yield pd.Series(out)
+
+    return offsets.asNondeterministic()  # else a filter could go before it
+
+
+def set_aside_malformed(lines: DataFrame, landed: Column, multi_line: bool = False) -> DataFrame:
+    """Records of text lines as variants, and beside them the lines that are none, each with the place it comes from. Works on streams.
+
+    One pass over the files gives both: a row holds a record, or the columns of ``schemas.SET_ASIDE``. A record too large for one variant
+    value (128 MiB) is set aside too. Blank lines are left out.
+    """
+    place = F.xxhash64("_metadata.file_path", "_metadata.file_block_start")
+    offset = F.lit(0).cast("long") if multi_line else byte_offsets()(place, F.octet_length("value"))
+    read = lines.select(
+        "value",
+        strict_json("value").alias("__record"),
+        F.col("_metadata.file_path").alias("bad_file"),
+        F.col("_metadata.file_block_start").alias("bad_start"),
+        offset.alias("bad_offset"),
+        landed.alias(LANDED),
+    )
+    whole = F.coalesce(F.try_variant_get("__record", "$", "array<variant>"), F.array("__record"))
+    read = read.select(F.explode(whole).alias(RECORD), "value", "__record", "bad_file", "bad_start", "bad_offset", LANDED)
+    bad = F.col("__record").isNull()
+    told = [F.when(bad, F.col(c)).alias(c) for c in ("bad_file", "bad_start", "bad_offset")]
+    read = read.where(F.col("__record").isNotNull() | (F.regexp_replace("value", "[ \\t\\r\\n]", "") != ""))
+    return read.select(RECORD, LANDED, *told, F.when(bad, F.col("value")).alias("bad_text"))
+
+
 def _literal_parser():
     """The parser as a closure: executors need no copy of this package."""
 

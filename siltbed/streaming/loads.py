@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from siltbed import schemas
@@ -28,18 +28,31 @@ from siltbed.streaming.warehouse import Warehouse, last_id_before, read_batches,
 Finish = Callable[[DataFrame, int], None]
 
 
+_STAGED = T.StructType([*schemas.with_landed(schemas.STAGING).fields, schemas.SET_ASIDE["bad_text"]])
+
+
+def _records(staged: DataFrame) -> DataFrame:
+    """The rows that hold a record; a table written without the columns of other texts holds nothing else."""
+    return staged.where("bad_text is null").drop("bad_text")
+
+
 def changes(spark: SparkSession, staging: str, limits: dict | None = None) -> DataFrame:
-    """Rows added to a staging table since the reading query last committed."""
-    return bounded(spark.readStream.schema(schemas.with_landed(schemas.STAGING)), **(limits or {})).parquet(staging)
+    """Records added to a staging table since the reading query last committed."""
+    return _records(bounded(spark.readStream.schema(_STAGED), **(limits or {})).parquet(staging))
+
+
+def staged(spark: SparkSession, staging: str) -> DataFrame:
+    """All records of a staging table, with their run order."""
+    return _records(spark.read.schema(_STAGED).parquet(staging))
 
 
 def _landed(staging: DataFrame) -> list:
-    """The landing time, where a table has it."""
+    """The run order, where a table has it."""
     return [F.col(schemas.LANDED)] if schemas.LANDED in staging.columns else []
 
 
 def _distinct(batch: DataFrame) -> DataFrame:
-    """Rows that are equal but for the landing time, once, as landed last."""
+    """Rows that are equal but for the run, once, as its latest run has them."""
     if schemas.LANDED not in batch.columns:
         return batch.dropDuplicates()
     rest = [c for c in batch.columns if c != schemas.LANDED]
@@ -124,8 +137,7 @@ def _latest(rows: DataFrame, staging: DataFrame, record_id: Column) -> DataFrame
 
 
 def _cohorts(spark: SparkSession, warehouse: Warehouse, language: str, latest: bool) -> tuple[DataFrame, DataFrame]:
-    staging = spark.read.schema(schemas.with_landed(schemas.STAGING)).parquet(warehouse.staging("cohort"))
-    return cohort_lookup(staging, language, latest)
+    return cohort_lookup(staged(spark, warehouse.staging("cohort")), language, latest)
 
 
 def membership_rows(staging: DataFrame, array: str, child: str, strict: bool = True) -> DataFrame:

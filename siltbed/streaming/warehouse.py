@@ -29,6 +29,9 @@ class Warehouse:
     def ledger(self, name: str) -> str:
         return f"{self.root}/ledger/{name}"
 
+    def replays(self, name: str) -> str:
+        return f"{self.root}/replays/{name}"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
@@ -44,7 +47,7 @@ class Warehouse:
         return self
 
     def read(self, spark: SparkSession, name: str, landed: bool = False) -> DataFrame:
-        """A storage table with its declared columns; ``landed`` adds the landing time of the record behind a row."""
+        """A storage table with its declared columns; ``landed`` adds the run order of the record behind a row."""
         schema = with_landed(STORAGE[name]) if landed and name != "measure" else STORAGE[name]
         return read_batches(spark, self.table(name), schema).drop("batch_id")
 
