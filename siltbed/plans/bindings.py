@@ -471,19 +471,34 @@ def land_records_(spark, sf_dir):
     )
 
 
-@binding("select doc_id, text, lang, true as seen, cast(null as varchar) as nothing from documents")
-def read_literal_records_(spark, sf_dir):
-    """Documents landed as comma-joined Python literals."""
+def _landed_literals(spark: SparkSession, sf_dir: str, nothing: Column) -> str:
     quoted = F.col("text")
     for raw, escaped in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r")):
         quoted = F.replace(quoted, F.lit(raw), F.lit(escaped))
     literal = F.concat(
         F.lit("{'doc_id': "), F.col("doc_id").cast("string"), F.lit(", 'text': '"), quoted,
-        F.lit("', 'seen': True, 'nothing': None, 'about': {'lang': '"), F.col("lang"), F.lit("'}}"),
+        F.lit("', 'seen': True, 'nothing': "), nothing, F.lit(", 'about': {'lang': '"), F.col("lang"), F.lit("'}}"),
     )
     path = scratch_folder(spark, "literals")
     _table(spark, sf_dir, "documents").select(literal.alias("value")).write.option("lineSep", ",").text(path)
-    return records.read_literal_records(spark, path).select(
+    return path
+
+
+@binding("select doc_id, lang in ('de', 'fr') as bad from documents")
+def literal_quarantine(spark, sf_dir):
+    """Literal records, those of two languages with a value that is none."""
+    nothing = F.when(F.col("lang") == "fr", "nan").when(F.col("lang") == "de", "-inf").otherwise("None")
+    rows = records.read_literal_records(spark, _landed_literals(spark, sf_dir, nothing), malformed="QUARANTINE")
+    told = F.regexp_extract("bad_text", "^[{]'doc_id': ([0-9]+),", 1).cast("bigint")
+    return rows.select(
+        F.coalesce(json_path(RECORD, "$.doc_id", "bigint"), told).alias("doc_id"), F.col("bad_text").isNotNull().alias("bad")
+    )
+
+
+@binding("select doc_id, text, lang, true as seen, cast(null as varchar) as nothing from documents")
+def read_literal_records_(spark, sf_dir):
+    """Documents landed as comma-joined Python literals."""
+    return records.read_literal_records(spark, _landed_literals(spark, sf_dir, F.lit("None"))).select(
         json_path(RECORD, "$.doc_id", "bigint").alias("doc_id"),
         json_path(RECORD, "$.text", "string").alias("text"),
         json_path(RECORD, "$.about.lang", "string").alias("lang"),

@@ -114,52 +114,176 @@ def set_aside_malformed(lines: DataFrame, landed: Column, multi_line: bool = Fal
     return read.select(RECORD, LANDED, *told, F.when(bad, F.col("value")).alias("bad_text"))
 
 
-def _literal_parser():
-    """The parser as a closure: executors need no copy of this package."""
-
-    def parse(frames: Iterator) -> Iterator:
+def _literal_scanner():
+    """What both passes over literal files share, as a closure: executors need no copy of this package."""
+    import re
+
+    inside = {q: re.compile(rf"[^{q}\\]*(?:\\.[^{q}\\]*)*", re.S) for q in "'\""}
+    quotes = re.compile("['\"]")
+
+    def scan(state, text):
+        """(the quote that is open at the end, braces left open outside of strings) for a text that starts inside the quote ``state``, if any."""
+        at, open_ = 0, 0
+        while True:
+            if state:
+                at = inside[state].match(text, at).end()
+                if text[at : at + 1] != state:  # the end, or an escape that covers the separator's first brace
+                    return state, open_
+                state, at = "", at + 1
+            found = quotes.search(text, at)
+            until = found.start() if found else len(text)
+            open_ += text.count("{", at, until) - text.count("}", at, until)
+            if not found:
+                return "", open_
+            state, at = found.group(), found.end()
+
+    return scan
+
+
+def _literal_parser(starts_in: dict | None = None, strict: bool = True):
+    """The parser of pieces, as a closure. ``starts_in`` has the open quote of each split that starts in a string."""
+    starts_in, scan = starts_in or {}, _literal_scanner()
+
+    def parse(frames: Iterator, starts: dict | None = None) -> Iterator:
         import ast
         import json
 
         import pandas as pd
 
-        def record(piece):
-            # A separator took the braces around it; a first piece kept its opening brace, a last one its closing.
-            piece = piece.strip()
-            opened = piece if piece.startswith("{") else "{" + piece
-            for text in (opened + "}", opened, opened.rstrip(", ")):
-                try:
-                    value = ast.literal_eval(text)
-                except (SyntaxError, ValueError):
-                    continue
-                if isinstance(value, dict):
-                    return json.dumps(value, ensure_ascii=False)
-            return None
-
-        def unfinished(where):
-            return ValueError(f"unreadable record in {where[0]}; read the file with whole_files=True")
-
-        where, held = None, None
+        columns = ["path", "start", "offset", "text", "part", "problem"]
+        starts = starts_in if starts is None else starts
+
+        def fault(text):
+            """Why a text is no record."""
+            try:
+                names = sorted({n.id for n in ast.walk(ast.parse(text.strip(), mode="eval")) if isinstance(n, ast.Name)})
+            except (SyntaxError, ValueError, RecursionError, MemoryError) as told:
+                return f"no literal: {getattr(told, 'msg', told)}"
+            return f"holds {', '.join(names)}, which is no value" if names else "is no record of JSON values"
+
+        def row(place, pieces, braces):
+            text = "},{".join(pieces).strip()
+            if not text:
+                return None
+            # a separator took the braces around it; a first piece kept its opening brace, a last one its closing
+            if not text.startswith("{"):
+                text, braces = "{" + text, braces + 1
+            text = text + "}" if braces == 1 else text.rstrip(", \r\n\t")
+            try:
+                value = ast.literal_eval(text)
+                if not isinstance(value, dict):
+                    raise ValueError
+                return (*place, json.dumps(value, ensure_ascii=False, allow_nan=False), None, None)
+            except (SyntaxError, ValueError, TypeError, RecursionError, MemoryError):
+                return bad(place, text, fault(text))
+
+        def bad(place, text, problem):
+            if strict:
+                raise ValueError(f"unreadable record in {place[0]}, byte {place[2]} of the split at {place[1]}: {problem}")
+            return (*place, text, "bad", problem)
+
+        where, state, at, held, braces, begun, head, ends = None, "", 0, [], 0, 0, False, True
+
+        def left():
+            """What a split ends with inside a string: the record goes on in the next split, unless the file ends here."""
+            if not held:
+                return []
+            text = "},{".join(held)
+            if ends and not head:
+                return [bad((*where, begun), text, "a string has no end")]
+            return [(*where, begun, text, "middle" if head else "tail", None)]
+
         for frame in frames:
             out = []
-            for path, start, text in zip(frame["path"], frame["start"], frame["value"]):
+            lasts = frame["last"] if "last" in frame else [True] * len(frame)
+            for path, start, last, piece in zip(frame["path"], frame["start"], lasts, frame["value"]):
                 if (path, start) != where:
-                    if held is not None:
-                        raise unfinished(where)
-                    where = (path, start)
-                # The separator may also occur inside a string: then the record goes on in the next piece.
-                piece = text if held is None else held + "},{" + text
-                parsed = record(piece)
-                held = piece if parsed is None else None
-                if parsed is not None:
-                    out.append(parsed)
-            yield pd.DataFrame({"text": pd.Series(out, dtype="object")})
-        if held is not None:
-            raise unfinished(where)
+                    out += left()
+                    where, at, held, braces, begun, ends = (path, start), 0, [], 0, 0, last
+                    state = starts.get(where, "")
+                    head = bool(state)  # the split starts with the rest of a record
+                held.append(piece)
+                state, more = scan(state, piece)
+                braces += more
+                at += len(piece.encode()) + 3
+                if not state:
+                    if head:
+                        out.append((*where, begun, "},{".join(held), "head", None))
+                    elif (made := row((*where, begun), held, braces)) is not None:
+                        out.append(made)
+                    held, braces, begun, head = [], 0, at - 1, False  # its brace is the separator's last byte
+            yield pd.DataFrame(out, columns=columns)
+        if last_rows := left():
+            yield pd.DataFrame(last_rows, columns=columns)
+
+    def join(frame):
+        """The records of one file that lie in several splits, from their parts."""
+        import pandas as pd
 
+        order = {"head": 0, "middle": 1, "tail": 2}
+        parts = sorted(frame.to_dict("records"), key=lambda r: (r["start"], order[r["part"]]))
+        out, held = [], []
+        for r in parts:
+            held.append(r)
+            if r["part"] == "head" or r is parts[-1]:
+                # as if it had been read in one piece, under the place where it starts
+                first, text = held[0], "},{".join(h["text"] for h in held)
+                whole = pd.DataFrame({"path": [first["path"]], "start": [first["start"]], "value": [text]})
+                out += [made.assign(offset=first["offset"]) for made in parse([whole], {})]
+                held = []
+        return pd.concat(out)
+
+    parse.join = join
     return parse
 
 
+def _split_states():
+    """Per split the quote open at its end, for each quote it may start in."""
+    scan = _literal_scanner()
+
+    def run(frames: Iterator) -> Iterator:
+        import pandas as pd
+
+        where, states = None, None
+
+        def row():
+            return pd.DataFrame([(*where, *states)] if where else [], columns=["path", "start", "plain", "single", "double"])
+
+        for frame in frames:
+            for path, start, piece in zip(frame["path"], frame["start"], frame["value"]):
+                if (path, start) != where:
+                    yield row()
+                    where, states = (path, start), ["", "'", '"']
+                states = [scan(s, piece)[0] for s in states]
+        yield row()
+
+    return run
+
+
+def _bytes(setting: str) -> int:
+    """A size setting (``128MB``, ``16m``, ``4194304b``) in bytes."""
+    text = setting.lower().removesuffix("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(text[-1:], 0)
+    return int(text[:-1] if unit else text) << unit
+
+
+def _splits_in_strings(pieces: DataFrame) -> dict[tuple[str, int], str]:
+    """The splits that start inside a string, with its quote. Only files of several splits are looked into, and such a split is rare."""
+    conf = pieces.sparkSession.conf
+    least = F.least(*(F.expr(f"{_bytes(conf.get(f'spark.sql.files.{c}'))}L") for c in ("maxPartitionBytes", "openCostInBytes")))
+    several = pieces.where((F.col("size") > least) & (F.col("block") < F.col("size"))).select("path", "start", "value")
+    told = several.mapInPandas(_split_states(), "path string, start long, plain string, single string, double string")
+    by_file = told.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("start", "plain", "single", "double"))).alias("splits"))
+    walked = F.expr(
+        """aggregate(splits, named_struct('now', '', 'found', cast(array() as array<struct<start: bigint, quote: string>>)),
+            (a, x) -> named_struct(
+                'now', case a.now when '' then x.plain when '"' then x.double else x.single end,
+                'found', if(a.now = '', a.found, concat(a.found, array(named_struct('start', x.start, 'quote', a.now))))))"""
+    )
+    found = by_file.select("path", F.explode(walked["found"]).alias("f")).select("path", "f.*").collect()
+    return {(r.path, r.start): r.quote for r in found}
+
+
 def _whole_file_parser():
     def parse(frames: Iterator) -> Iterator:
         import ast
@@ -175,24 +299,42 @@ def _whole_file_parser():
     return parse
 
 
-def read_literal_records(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+_PARSED = "path string, start long, offset long, text string, part string, problem string"
+
+
+def read_literal_records(spark: SparkSession, path: str, whole_files: bool = False, malformed: str = "FAILFAST") -> DataFrame:
     """Records that were landed as comma-joined Python literals, as one variant column.
 
-    Two records meet in ``},{``. Inside a record a space follows each comma, so this text is a
-    record separator unless it occurs in a string, and Spark can split a large file at it. A record cut inside a
-    string does not parse and is joined to the next piece. Where that next piece belongs to another
-    file split the read stops with an error; ``whole_files`` then reads each file in one piece.
+    Two records meet in ``},{``, and Spark can split a large file at that text. It may also occur in a string, so a scanner
+    follows quotes and escapes from piece to piece: a record ends where a piece ends outside of strings, and each character is looked at
+    once, however many records are bad. Files of several splits are scanned once before, for the quotes that are open where
+    their splits meet, and a record that lies in several splits is put together from its parts.
+
+    A text that is no record (``nan`` and ``inf`` are none) stops the read with its file and place. With ``QUARANTINE`` it is a row of its own
+    instead, with the columns of ``schemas.SET_ASIDE``. ``whole_files`` reads each file in one piece.
     """
     if whole_files:
         text = spark.read.option("wholetext", True).text(path)
         parsed = text.mapInPandas(_whole_file_parser(), "text string")
-    else:
-        text = spark.read.option("lineSep", "},{").text(path)
-        pieces = text.select(
-            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value"
-        )
-        parsed = pieces.mapInPandas(_literal_parser(), "text string")
-    return parsed.select(F.parse_json("text").alias(RECORD))
+        return parsed.select(F.parse_json("text").alias(RECORD))
+    meta = {"path": "file_path", "start": "file_block_start", "block": "file_block_length", "size": "file_size"}
+    text = spark.read.option("lineSep", "},{").text(path)
+    pieces = text.select("value", *(F.col(f"_metadata.{name}").alias(c) for c, name in meta.items()))
+    starts_in = _splits_in_strings(pieces)
+    parser = _literal_parser(starts_in, malformed != "QUARANTINE")
+    pieces = pieces.select("path", "start", (F.col("start") + F.col("block") >= F.col("size")).alias("last"), "value")
+    parsed = pieces.mapInPandas(parser, _PARSED)
+    if starts_in:
+        # files with a record in several splits are read once more for its parts
+        cut = pieces.where(F.col("path").isin(sorted({path for path, _ in starts_in}))).mapInPandas(parser, _PARSED)
+        parts = cut.where("part in ('head', 'middle', 'tail')").groupBy("path").applyInPandas(parser.join, _PARSED)
+        parsed = parsed.where("part is null or part = 'bad'").unionByName(parts)
+    bad = F.col("part").isNotNull()
+    record = F.when(~bad, F.parse_json(F.when(~bad, F.col("text")))).alias(RECORD)
+    if malformed != "QUARANTINE":
+        return parsed.select(record)
+    told = {"path": "bad_file", "start": "bad_start", "offset": "bad_offset", "text": "bad_text"}
+    return parsed.select(record, *(F.when(bad, F.col(c)).alias(name) for c, name in told.items()))
 
 
 def project_keys(record: Column | str, keys: list[str] = RECORD_KEYS) -> Column:

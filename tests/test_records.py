@@ -1,6 +1,7 @@
 import json
 import subprocess
 import sys
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -115,10 +116,54 @@ def test_literal_file_in_many_splits(spark, tmp_path, size):
             spark.conf.set(k, v)
 
 
-def test_unreadable_literal_is_an_error(spark, tmp_path):
-    (tmp_path / "a.json").write_text("{'id': 1},{'id': oops},{'id': 2}")
-    with pytest.raises(PythonException, match="whole_files"):
+@pytest.mark.parametrize(
+    "text, place, problem",
+    [
+        ("{'id': 1},{'id': oops},{'id': 2}", 10, "oops"),
+        ("{'id': 1},{'id': 2, 'x': nan, 'y': -inf}", 10, "inf, nan"),
+        ("{'id': 1e999}", 0, "no record of JSON"),
+        ("{'id': 1},{'s': 'no end},{'id': 2}", 10, "no end"),
+        ("{'id': 1},{'s': 'no end},{}", 10, "no end"),
+        ("{'id': 1},['a']", 0, "no"),
+        ("{'id': {1, 2}}", 0, "no record of JSON"),
+    ],
+)
+def test_unreadable_literal_is_named(spark, tmp_path, text, place, problem):
+    (tmp_path / "a.json").write_text(text)
+    with pytest.raises(PythonException, match=rf"a[.]json, byte {place} of the split at 0: .*{problem}"):
+        read_literal_records(spark, str(tmp_path)).collect()
+    rows = read_literal_records(spark, str(tmp_path), malformed="QUARANTINE").collect()
+    bad = [(r.bad_start, r.bad_offset) for r in rows if r.bad_text is not None]
+    assert bad == [(0, place)] and all((r.json_data is None) == (r.bad_text is not None) for r in rows)
+
+
+def test_one_bad_literal_among_many_is_found_at_once(spark, tmp_path):
+    rows = [str({"id": i, "name": "x" * 20, "about": {"s": "a},{b"}}) for i in range(100_000)]
+    rows[50_000] = "{'id': 50000, 'name': 'it's'}"
+    (tmp_path / "a.json").write_text(",".join(rows))
+    begun = time.time()
+    with pytest.raises(PythonException, match="a[.]json, byte"):
         read_literal_records(spark, str(tmp_path)).collect()
+    assert time.time() - begun < 20
+    got = read_literal_records(spark, str(tmp_path), malformed="QUARANTINE")
+    assert got.where("json_data is not null").count() + got.where("bad_text is not null").count() <= 100_000
+    assert got.where("bad_text like '%50000%'").count() == 1
+
+
+@pytest.mark.parametrize("size", [16, 50, 131, 1000])
+def test_separators_in_strings_where_splits_meet(spark, tmp_path, size):
+    tricky = ["},{", "'},{'", '"},{"', "\\},{", "it's },{ \"", "},{" * 30, "x" * 40 + "},{'", "é},{\n"]
+    rows = [{"id": i, "s": tricky[i % len(tricky)] * (1 + i % 3), "d": {"k": tricky[-i % len(tricky)]}} for i in range(120)]
+    literal_file(tmp_path / "a.json", rows)
+    literal_file(tmp_path / "b.json", rows[:3])
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        assert parsed(read_literal_records(spark, str(tmp_path))) == sorted(rows + rows[:3], key=lambda r: r["id"])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_project_keys_keeps_types(spark):
