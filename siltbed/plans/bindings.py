@@ -712,6 +712,36 @@ def load_entities_stream(spark, sf_dir):
     return warehouse.read(spark, "entity").drop("lookup_key")
 
 
+@binding(f"select o_orderkey as id, 'customer ' || o_custkey as name, c_mktsegment as cohort from {ORDER_COHORTS}")
+def load_entities_kept_stream(spark, sf_dir):
+    """Cohorts landed in two runs, the first with names for all of them; the lookup that is kept has each as the second run has it."""
+    customers = _table(spark, sf_dir, "customer")
+    old = {"cohort": _cohort_records(customers, english="true")}
+    warehouse = _ingested(spark, [old, {"cohort": _cohort_records(customers), "entity": _order_records(spark, sf_dir)}])
+    loads.load_cohorts(spark, warehouse, limits={"max_files": 1}).awaitTermination()
+    loads.load_entities(spark, warehouse, kept=True).awaitTermination()
+    return warehouse.read(spark, "entity").drop("lookup_key")
+
+
+@binding(
+    """
+select 'then' as seen, o_orderkey as id from orders where o_orderstatus = 'F' union all select 'now', o_orderkey from orders
+"""
+)
+def warehouse_state(spark, sf_dir):
+    """A table as it was after the first of two batches, and as it is."""
+    rows = _order_records(spark, sf_dir).withColumn("status", F.col("types")[0]["type"]["name"])
+    first, rest = rows.where("status = 'F'").drop("status"), rows.where("status <> 'F'").drop("status")
+    warehouse = _ingested(spark, [{"entity": first}])
+    loads.load_entities(spark, warehouse).awaitTermination()
+    state = warehouse.state(spark)
+    records.land_records(rest, warehouse.landing(), "entity", "later")
+    ingest_endpoint(spark, warehouse, "entity").awaitTermination()
+    loads.load_entities(spark, warehouse).awaitTermination()
+    then, now = warehouse.read(spark, "entity", state=state), warehouse.read(spark, "entity")
+    return then.select(F.lit("then").alias("seen"), "id").union(now.select(F.lit("now"), "id"))
+
+
 @binding("select o_orderkey as id, c_mktsegment as cohort from orders left join customer on c_custkey = o_custkey")
 def refreshed_entities_stream(spark, sf_dir):
     """Entities that were loaded before the cohorts of some of them arrived."""

@@ -20,10 +20,10 @@ from siltbed.operators.dimensions import latest_rows, new_dimension_rows
 from siltbed.operators.flatten import flatten_array, pick_localised
 from siltbed.operators.keys import number_rows
 from siltbed.operators.lookups import fact_to_dimension, lookup_chain, lookup_table, refresh_lookup
-from siltbed.session import folder_exists, scratch_home
+from siltbed.session import drop_folder, folder_exists, scratch_home
 from siltbed.sources.records import RECORD
 from siltbed.streaming.ingest import bounded, trigger
-from siltbed.streaming.warehouse import Warehouse, last_id_before, read_batches, write_batch
+from siltbed.streaming.warehouse import COHORTS, Warehouse, commit, last_commit, last_id_before, read_batches, withdraw, write_batch
 
 Finish = Callable[[DataFrame, int], None]
 
@@ -71,14 +71,24 @@ def run_load(
 ) -> StreamingQuery:
     """Start one load. ``finish`` gets the new rows and the batch id; without new files it is not called.
 
+    When it has written all tables of the batch, the batch is committed and readers see it, in all of them at once.
+
     A load belongs to its checkpoint. With a new one it starts over, which a table that is further on refuses: its
     first folder would be replaced and the others would stay.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch_id == 0 and folder_exists(spark, f"{warehouse.table(name)}/batch_id=1"):
-            raise ValueError(f"{warehouse.table(name)} was loaded with another checkpoint; empty it to start over")
+        table = warehouse.table(name)
+        if batch_id == 0 and folder_exists(spark, f"{table}/batch_id=1"):
+            raise ValueError(f"{table} was loaded with another checkpoint; empty it to start over")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        last, owner = last_commit(spark, table)
+        if last >= batch_id and owner == query:
+            return  # it was committed, and the stream was cut short before it noted that
+        if last >= batch_id:
+            withdraw(spark, table)  # a new checkpoint starts over on a table of one batch
         finish(_distinct(batch) if dedup else batch, batch_id)
+        commit(spark, table, batch_id, query)
 
     return (
         rows.writeStream.foreachBatch(on_batch)
@@ -140,6 +150,58 @@ def _cohorts(spark: SparkSession, warehouse: Warehouse, language: str, latest: b
     return cohort_lookup(staged(spark, warehouse.staging("cohort")), language, latest)
 
 
+_KEPT = T.StructType(
+    [
+        T.StructField("cohort_id", T.LongType()),
+        T.StructField("lookup_key", T.StringType()),
+        T.StructField("cohort", T.StringType()),
+        T.StructField(schemas.LANDED, T.StringType()),
+    ]
+)
+
+
+def cohort_rows(staging: DataFrame, language: str = "en") -> DataFrame:
+    """Cohort records flattened to what a lookup needs: a row for each member and name in the language, one with NULLs where there is none."""
+    cohort_id = json_path(RECORD, "$.id", "bigint").alias("cohort_id")
+    members = json_path(RECORD, f"$.{schemas.COHORT_MEMBERS}", schemas.MEMBER_NAMES)
+    names = F.filter(json_path(RECORD, f"$.{schemas.COHORT_NAMES}", schemas.LOCALISED_NAMES), lambda n: n["language"]["name"] == language)
+    flat = staging.select(cohort_id, schemas.LANDED, names.alias("names"), F.explode_outer(members).alias("m"))
+    flat = flat.select("cohort_id", schemas.LANDED, F.col("m.name").alias("lookup_key"), F.explode_outer("names").alias("n"))
+    return flat.select("cohort_id", "lookup_key", F.col("n.name").alias("cohort"), schemas.LANDED)
+
+
+def kept_cohorts(spark: SparkSession, warehouse: Warehouse, batch_id: int | None = None) -> DataFrame:
+    """The kept lookup: each cohort as its latest run has it. ``batch_id`` reads an earlier version."""
+    last = last_commit(spark, warehouse.table(COHORTS))[0] if batch_id is None else batch_id
+    return read_batches(spark, warehouse.table(COHORTS), _KEPT).where(F.col("batch_id") == last).drop("batch_id")
+
+
+def load_cohorts(spark: SparkSession, warehouse: Warehouse, language: str = "en", limits=None, **how) -> StreamingQuery:
+    """Keep the lookup of cohorts up to date: a version of it for each batch of new cohort records.
+
+    A batch reads the version before and its own records, not the staging table. Of a cohort's records the latest run counts, the later batch
+    where runs are the same; a record of an earlier run that comes late changes nothing. A batch that runs again reads the same version
+    before and writes the same one after. Two versions stay, as a reader may still use the one before the last.
+    """
+
+    def finish(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        path = _settle(session, warehouse, COHORTS, batch)
+        new, kept = session.read.schema(_KEPT).parquet(path), kept_cohorts(session, warehouse, batch_id - 1)
+        order = F.coalesce(schemas.LANDED, F.lit(""))
+        latest = new.groupBy("cohort_id").agg(F.max(order).alias("new"))
+        before = kept.groupBy("cohort_id").agg(F.max(order).alias("old"))
+        judged = latest.join(before, "cohort_id", "left").select("cohort_id", "new", F.coalesce(F.col("new") >= F.col("old"), F.lit(True)).alias("wins"))
+        stays = kept.join(judged.where("wins").select("cohort_id"), "cohort_id", "left_anti")
+        comes = new.join(judged.where("wins"), (new.cohort_id == judged.cohort_id) & (order == F.col("new")), "left_semi")
+        columns = _KEPT.names
+        write_batch(stays.select(*columns).union(comes.select(*columns).distinct()), warehouse.table(COHORTS), batch_id)
+        drop_folder(session, f"{warehouse.table(COHORTS)}/batch_id={batch_id - 2}")
+
+    rows = cohort_rows(changes(spark, warehouse.staging("cohort"), limits), language)
+    return run_load(spark, warehouse, COHORTS, rows, finish, **how)
+
+
 def membership_rows(staging: DataFrame, array: str, child: str, strict: bool = True) -> DataFrame:
     """(category_id, entity_id, category_name) of each element of a membership array.
 
@@ -170,16 +232,21 @@ def measure_rows(staging: DataFrame, array: str, child: str) -> DataFrame:
 
 
 def load_entities(
-    spark: SparkSession, warehouse: Warehouse, language: str = "en", limits=None, latest: bool = False, **how
+    spark: SparkSession, warehouse: Warehouse, language: str = "en", limits=None, latest: bool = False, kept: bool = False, **how
 ) -> StreamingQuery:
     """New entities with the name of their cohort; an entity without one is kept with NULL.
 
     Cohort staging has no cursor: each batch reads all of it anew; ``latest`` takes each cohort once, as its last run has it.
+    ``kept`` reads the lookup that ``load_cohorts`` keeps instead, which is ``latest`` without the staging table.
     """
 
     def finish(batch: DataFrame, batch_id: int) -> None:
-        members, labels = _cohorts(batch.sparkSession, warehouse, language, latest)
-        found = lookup_chain(batch, "lookup_key", members, labels, "cohort_id")
+        if kept:
+            lookup = kept_cohorts(batch.sparkSession, warehouse).where("lookup_key is not null").select("lookup_key", "cohort")
+            found = batch.join(lookup, "lookup_key", "left")
+        else:
+            members, labels = _cohorts(batch.sparkSession, warehouse, language, latest)
+            found = lookup_chain(batch, "lookup_key", members, labels, "cohort_id")
         write_batch(found.select(*schemas.with_landed(schemas.STORAGE["entity"]).names), warehouse.table("entity"), batch_id)
 
     rows = entity_rows(changes(spark, warehouse.staging("entity"), limits))
@@ -244,13 +311,19 @@ def load_measures(
     return run_load(spark, warehouse, "entity_measure", rows, finish, **how)
 
 
-def run_all(spark: SparkSession, warehouse: Warehouse, mode: str = "once", latest: bool = False, **how) -> list[StreamingQuery]:
+def run_all(
+    spark: SparkSession, warehouse: Warehouse, mode: str = "once", latest: bool = False, kept: bool = False, **how
+) -> list[StreamingQuery]:
     """Start every load. The streams are independent; with ``once`` this waits until each has drained.
 
-    ``latest`` is that of ``load_entities``.
+    ``latest`` and ``kept`` are those of ``load_entities``; with ``kept`` the lookup of cohorts is loaded too, with ``once`` before the entities.
     """
-    queries = [
-        load_entities(spark, warehouse, mode=mode, latest=latest, **how),
+    first = [load_cohorts(spark, warehouse, mode=mode, **how)] if kept else []
+    if mode == "once":
+        for query in first:
+            query.awaitTermination()
+    queries = first + [
+        load_entities(spark, warehouse, mode=mode, latest=latest, kept=kept, **how),
         load_membership(spark, warehouse, "category_a", *schemas.CATEGORY_A, mode=mode, **how),
         load_membership(spark, warehouse, "category_b", *schemas.CATEGORY_B, mode=mode, **how),
         load_measures(spark, warehouse, *schemas.MEASURES, mode=mode, **how),

@@ -1,0 +1,159 @@
+"""Readers see committed batches only, of all tables of a load at once; the lookup of cohorts is kept from batch to batch."""
+
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from siltbed import schemas
+from siltbed.streaming import loads
+from siltbed.streaming.warehouse import COHORTS
+from test_streams import House, cohort, entity
+
+
+@pytest.fixture
+def house(spark, tmp_path):
+    return House(spark, tmp_path)
+
+
+def everything(house):
+    return {t: house.rows(t) for t in schemas.STORAGE}
+
+
+@pytest.mark.parametrize("lost_at", ["/storage/measure", "/storage/entity_measure", "/ledger/entity_measure", "commit"])
+def test_an_interrupted_batch_is_not_seen(house, monkeypatch, lost_at):
+    house.land("entity", [entity(1, types=[7], stats=[(1, "hp", 10)])], 1)
+    loads.run_all(house.spark, house.warehouse)
+    before, state = everything(house), house.warehouse.state(house.spark)
+    house.land("entity", [entity(2, types=[8], stats=[(1, "hp", 20), (2, "speed", 30)])], 2)
+    write, commit = loads.write_batch, loads.commit
+
+    def write_then_fail(df, path, batch_id):
+        write(df, path, batch_id)
+        if path.endswith(lost_at):
+            assert everything(house) == before  # nor is a running batch
+            raise RuntimeError("lost")
+
+    def no_commit(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(loads, "write_batch", write_then_fail)
+    if lost_at == "commit":
+        monkeypatch.setattr(loads, "commit", no_commit)
+    with pytest.raises(Exception, match="lost"):
+        house.measures()
+    assert everything(house) == before and house.warehouse.state(house.spark) == state
+    monkeypatch.setattr(loads, "write_batch", write)
+    monkeypatch.setattr(loads, "commit", commit)
+    dims, facts = house.measures()
+    assert (dims, facts) == ([(1, "hp"), (2, "speed")], [(1, 1, 10), (2, 1, 20), (2, 2, 30)])
+    # an earlier state can still be read, in tables that agree
+    old = {t: house.warehouse.read(house.spark, t, state=state).count() for t in schemas.STORAGE}
+    assert old == {t: len(rows) for t, rows in before.items()}
+
+
+def test_a_committed_batch_that_the_stream_repeats_is_left_alone(house, monkeypatch):
+    house.land("entity", [entity(1, types=[7, 8])], 1)
+    commit = loads.commit
+
+    def commit_then_fail(*args):
+        commit(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(loads, "commit", commit_then_fail)
+    with pytest.raises(Exception, match="lost"):
+        house.types()
+    seen = house.rows("category_b")
+    assert len(seen) == 2
+    monkeypatch.setattr(loads, "commit", commit)
+    monkeypatch.setattr(loads, "write_batch", lambda *_: pytest.fail("written again"))
+    assert house.types() == seen
+
+
+def test_a_new_checkpoint_replaces_a_table_of_one_batch(house):
+    house.land("entity", [entity(1, types=[7])], 1)
+    house.types()
+    house.land("entity", [entity(2, types=[8])], 2)
+    shutil.rmtree(house.warehouse.checkpoint("category_b"))
+    assert sorted(r[1:] for r in house.types()) == [(7, 1, "t7"), (8, 2, "t8")]
+
+
+def lookup(house):
+    loads.load_cohorts(house.spark, house.warehouse).awaitTermination()
+    return sorted(((r.cohort_id, r.lookup_key, r.cohort) for r in loads.kept_cohorts(house.spark, house.warehouse).collect()), key=str)
+
+
+def kept_entities(house):
+    loads.load_entities(house.spark, house.warehouse, kept=True).awaitTermination()
+    return [(i, c) for i, _, c, _ in house.rows("entity")]
+
+
+def test_the_lookup_is_kept(house):
+    assert lookup(house) == []
+    house.land("cohort", [cohort(1, [("First", "en"), ("Premier", "fr")], ["s1", "s2"]), cohort(2, [("Second", "en"), ("Two", "en")], ["s3"])], 1)
+    house.land("cohort", [cohort(3, [("Trois", "fr")], ["s4"]), cohort(4, [("Empty", "en")], [])], 2)
+    first = [(1, "s1", "First"), (1, "s2", "First"), (2, "s3", "Second"), (2, "s3", "Two"), (3, "s4", None), (4, None, "Empty")]
+    assert lookup(house) == first
+    house.land("entity", [entity(i) for i in range(1, 6)], 1)
+    assert kept_entities(house) == [(1, "First"), (2, "First"), (3, "Second"), (3, "Two"), (4, None), (5, None)]
+    # a later run of a cohort replaces it, also by nothing; others stay; a run that comes late changes nothing
+    house.land("cohort", [cohort(1, [("New", "en")], ["s2", "s5"]), cohort(2, [], [])], 10)
+    second = [(1, "s2", "New"), (1, "s5", "New"), (2, None, None), *first[4:]]
+    assert lookup(house) == second
+    house.land("cohort", [cohort(1, [("Late", "en")], ["s9"])], 9)
+    assert lookup(house) == second
+    house.land("entity", [entity(6, species="s5"), entity(7, species="s3")], 2)
+    assert kept_entities(house)[-2:] == [(6, "New"), (7, None)]
+    fresh = loads.refreshed_entities(house.spark, house.warehouse, latest=True)
+    assert {(r.id, r.cohort) for r in fresh.collect()} >= {(6, "New")}
+
+
+def test_a_batch_of_cohorts_reads_its_own_records_only(house, monkeypatch):
+    house.land("cohort", [cohort(i, [(f"n{i}", "en")], [f"s{i}"]) for i in range(30)], 1)
+    lookup(house)
+    house.land("cohort", [cohort(40, [("n40", "en")], ["s40"])], 2)
+    write, plans = loads.write_batch, []
+
+    def record(df, path, batch_id):
+        plans.append((batch_id, df.inputFiles()))
+        write(df, path, batch_id)
+
+    monkeypatch.setattr(loads, "write_batch", record)
+    assert len(lookup(house)) == 31
+    house.land("entity", [entity(40)], 1)
+    assert kept_entities(house) == [(40, "n40")]
+    assert [batch for batch, _ in plans] == [1, 0]
+    assert not any("/staging/cohort" in f for _, files in plans for f in files)
+    query = loads.load_cohorts(house.spark, house.warehouse)
+    query.awaitTermination()
+    assert query.lastProgress is None or query.lastProgress["numInputRows"] == 0
+
+
+def test_a_batch_of_cohorts_that_fails_is_repeated_from_the_version_before(house, monkeypatch):
+    house.land("cohort", [cohort(1, [("a", "en")], ["s1"])], 1)
+    lookup(house)
+    house.land("cohort", [cohort(1, [("b", "en")], ["s1"]), cohort(2, [("c", "en")], ["s2"])], 2)
+    write = loads.write_batch
+
+    def write_then_fail(df, path, batch_id):
+        write(df, path, batch_id)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(loads, "write_batch", write_then_fail)
+    with pytest.raises(Exception, match="lost"):
+        lookup(house)
+    assert [r.cohort for r in loads.kept_cohorts(house.spark, house.warehouse).collect()] == ["a"]
+    monkeypatch.setattr(loads, "write_batch", write)
+    assert lookup(house) == [(1, "s1", "b"), (2, "s2", "c")]
+    house.land("cohort", [cohort(3, [], [])], 3)
+    assert len(lookup(house)) == 3
+    table = house.spark.read.parquet(house.warehouse.table(COHORTS))
+    assert {r.batch_id for r in table.select("batch_id").distinct().collect()} == {1, 2}  # two versions stay
+
+
+def test_run_all_with_the_kept_lookup(house):
+    house.land("cohort", [cohort(1, [("First", "en")], ["s1"])], 1)
+    house.land("cohort", [cohort(1, [("Second", "en")], ["s1"])], 2)
+    house.land("entity", [entity(1)], 1)
+    loads.run_all(house.spark, house.warehouse, kept=True)
+    assert house.warehouse.read(house.spark, "entity").select(F.collect_list("cohort")).first()[0] == ["Second"]
