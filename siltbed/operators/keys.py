@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from siltbed.session import scratch_folder
 
@@ -35,6 +35,22 @@ def assign_surrogate_ids(df: DataFrame, start: int = 0, id_: str = "id") -> Data
     return number_rows(spark, path, df.columns, start, id_)
 
 
+#: Rows a task can number in its own range of ids.
+RANGE = 1 << 27
+
+
+def reserved_ids(start: int = 0, id_: str = "id") -> Column:
+    """Unique ids above ``start`` for the rows a write puts out: each task has a range of its own, so no row is looked at twice.
+
+    Ids have gaps, and are settled by the write: a task that runs again numbers its rows anew, in the same range, and only one of its
+    attempts is kept. More rows in a task than its range stop the write.
+    """
+    row = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+    full = F.raise_error(F.lit(f"a task has more than {RANGE} rows; read with smaller partitions"))
+    value = F.lit(start + 1).cast("long") + F.spark_partition_id().cast("long") * RANGE + row
+    return F.when(row < RANGE, value).otherwise(full.cast("long")).alias(id_)
+
+
 def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     """Key values that occur more than once, with their row count."""
     return df.groupBy(*keys).agg(F.count("*").alias("count")).where(F.col("count") > 1)

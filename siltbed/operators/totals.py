@@ -6,6 +6,8 @@ gives the same totals. Copies of an entity are one row at the join, so two hot s
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, DecimalType
 
@@ -41,11 +43,16 @@ def _owners(entities: DataFrame, members: DataFrame, by: list[str]) -> tuple[lis
 def _times(copies: Column, subtotal: Column, kind: DataType) -> Column:
     """``copies * subtotal``, exact for decimals: Spark would cut the scale of a product this wide.
 
-    For a decimal up to 999,999,999 copies and subtotals of 28 digits fit; more raise an error.
+    A subtotal of an entity without copies stands as it is. Others have room for 28 digits and 999,999,999 copies; more raise an error, with or
+    without ANSI mode.
     """
     if not isinstance(kind, DecimalType):
         return copies * subtotal
-    return copies.cast(DecimalType(9, 0)) * subtotal.cast(DecimalType(28, kind.scale))
+    wide = subtotal.cast(DecimalType(38, kind.scale))
+    fits = (copies < 10**9) & (F.abs(wide) < F.lit(Decimal(10) ** (28 - kind.scale)))
+    product = F.try_multiply(copies.cast(DecimalType(9, 0)), F.when(fits, wide).cast(DecimalType(28, kind.scale)))
+    told = F.raise_error(F.concat(F.lit("a sum does not fit: "), copies.cast("string"), F.lit(" times "), wide.cast("string")))
+    return F.when(subtotal.isNull(), None).when(copies == 1, wide).when(fits, product).otherwise(told.cast(DecimalType(38, kind.scale)))
 
 
 def joined_counts(
@@ -76,6 +83,16 @@ def joined_counts(
     return left.join(right, "__key").groupBy(*by).agg(total.alias(count))
 
 
+def joined_rows(
+    entities: DataFrame, entity_key: str, members: DataFrame, member_key: str, by: list[str], key: str, count: str = "n"
+) -> DataFrame:
+    """The rows that ``joined_counts`` counts, before they are grouped: ``by``, ``key``, and ``count`` for copies of the entity."""
+    of_entities, of_members = _owners(entities, members, by)
+    left = _copies(entities, entity_key, of_entities, count, dedup=False)
+    right = members.select(F.col(member_key).alias("__key"), *of_members)
+    return left.join(right, "__key").select(*by, F.col("__key").alias(key), count)
+
+
 def joined_sums(
     entities: DataFrame,
     entity_key: str,

@@ -166,8 +166,7 @@ def cohort_category_cube(spark, sf_dir):
     return marts.cohort_category_cube(customers, "c_custkey", "cohort", orders, "o_custkey", "category")
 
 
-@binding(
-    """
+DISTINCT_CUBE = """
 select case when grouping(r_name) = 1 then 'All cohorts' else r_name end as cohort,
        case when grouping(o_orderpriority) = 1 then 'All categories' else o_orderpriority end as category,
        count(c_custkey) as quantity, count(distinct c_custkey) as n_distinct
@@ -175,13 +174,22 @@ from customer join nation on n_nationkey = c_nationkey join region on r_regionke
 join orders on o_custkey = c_custkey
 group by cube (r_name, o_orderpriority)
 """
-)
+
+
+@binding(DISTINCT_CUBE)
 def cohort_category_cube_distinct(spark, sf_dir):
     customers = _customer_regions(spark, sf_dir)
     orders = _table(spark, sf_dir, "orders").withColumnRenamed("o_orderpriority", "category")
     return marts.cohort_category_cube(customers, "c_custkey", "cohort", orders, "o_custkey", "category", distinct=True)
 
 
+@binding(DISTINCT_CUBE)
+def cohort_category_cube_bitmaps(spark, sf_dir):
+    customers = _customer_regions(spark, sf_dir)
+    orders = _table(spark, sf_dir, "orders").withColumnRenamed("o_orderpriority", "category")
+    return marts.cohort_category_cube(customers, "c_custkey", "cohort", orders, "o_custkey", "category", distinct=True, bitmaps=True)
+
+
 def _part_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = _table(spark, sf_dir, "nation").selectExpr("n_nationkey as p_size", "n_name", "n_regionkey as regionkey")
     region = _table(spark, sf_dir, "region").selectExpr("r_regionkey as regionkey", "r_name")
@@ -446,15 +454,35 @@ union all select c_custkey + 1, c_mktsegment from customer where c_acctbal >= 0
 )
 def read_json_records_(spark, sf_dir):
     """Lines that are an array of two records, mixed with lines that are one record."""
+    return records.read_json_records(spark, _landed_arrays(spark, sf_dir)).select(
+        json_path(RECORD, "$.id", "bigint").alias("id"), json_path(RECORD, "$.name", "string").alias("name")
+    )
+
+
+@binding(
+    """
+select c_custkey as id, c_name as name, false as whole from customer
+union all select c_custkey + 1, c_mktsegment, false from customer where c_acctbal >= 0
+"""
+)
+def read_json_keys(spark, sf_dir):
+    """The same lines, taken apart record by record; a key that is not asked for is not there."""
+    rows = records.read_json_records(spark, _landed_arrays(spark, sf_dir), keys=["id", "name", "absent"])
+    return rows.select(
+        json_path(RECORD, "$.id", "bigint").alias("id"),
+        json_path(RECORD, "$.name", "string").alias("name"),
+        F.to_json(RECORD).like("%absent%").alias("whole"),
+    )
+
+
+def _landed_arrays(spark: SparkSession, sf_dir: str) -> str:
     customer = _table(spark, sf_dir, "customer")
     first = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     second = F.struct((F.col("c_custkey") + 1).alias("id"), F.col("c_mktsegment").alias("name"))
     line = F.when(F.col("c_acctbal") >= 0, F.to_json(F.array(first, second))).otherwise(F.to_json(first))
     path = scratch_folder(spark, "json-arrays")
     customer.select(line.alias("value")).write.text(path)
-    return records.read_json_records(spark, path).select(
-        json_path(RECORD, "$.id", "bigint").alias("id"), json_path(RECORD, "$.name", "string").alias("name")
-    )
+    return path
 
 
 @binding("select c_custkey as id, c_name as name, cast(null as varchar) as not_kept from customer")
@@ -762,13 +790,24 @@ def load_membership_stream(spark, sf_dir):
     return warehouse.read(spark, "category_b").drop("id")
 
 
-def _line_measures_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+@binding(f"select entity_id, category_id, category_name, 1::bigint as n_of_id from ({LINE_MEMBERSHIP}) m")
+def load_membership_reserved_stream(spark, sf_dir):
+    """Two batches with ids given as rows are written: each id belongs to one row."""
+    lines, returned = _line_records(spark, sf_dir), "coalesce(types[0].type.name = 'R', false)"
+    warehouse = _ingested(spark, [{"entity": lines.where(returned)}, {"entity": lines.where(f"not {returned}")}])
+    how = {"limits": {"max_files": 1}, "ids": "reserved"}
+    loads.load_membership(spark, warehouse, "category_b", *schemas.CATEGORY_B, **how).awaitTermination()
+    rows = warehouse.read(spark, "category_b")
+    return rows.join(rows.groupBy("id").agg(F.count("*").alias("n_of_id")), "id").drop("id")
+
+
+def _line_measures_warehouse(spark: SparkSession, sf_dir: str, **how) -> Warehouse:
     """Measures loaded in two runs: the second finds a dimension that is not empty and adds to it."""
     warehouse = _ingested(spark, [{"entity": _line_measures(spark, sf_dir, "A")}])
-    loads.load_measures(spark, warehouse).awaitTermination()
+    loads.load_measures(spark, warehouse, **how).awaitTermination()
     records.land_records(_line_measures(spark, sf_dir, None), warehouse.landing(), "entity", "2")
     ingest_endpoint(spark, warehouse, "entity").awaitTermination()
-    loads.load_measures(spark, warehouse).awaitTermination()
+    loads.load_measures(spark, warehouse, **how).awaitTermination()
     return warehouse
 
 
@@ -802,6 +841,11 @@ def load_measures_stream(spark, sf_dir):
     return _line_measures_warehouse(spark, sf_dir).read(spark, "entity_measure").drop("id")
 
 
+@binding(f"select entity_id, measure_id, value from ({LINE_MEASURES}) m")
+def load_measures_reserved_stream(spark, sf_dir):
+    return _line_measures_warehouse(spark, sf_dir, ids="reserved").read(spark, "entity_measure").drop("id")
+
+
 def _loaded_orders(spark: SparkSession, sf_dir: str) -> Warehouse:
     warehouse = _ingested(
         spark, [{"cohort": _cohort_records(_table(spark, sf_dir, "customer")), "entity": _order_records(spark, sf_dir)}]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from siltbed.functions.paths import endpoint_from_url
 from siltbed.schemas import LANDED, LISTING, RECORD_KEYS
@@ -35,10 +35,32 @@ def json_options(multi_line: bool, malformed: str) -> dict:
     return {"singleVariantColumn": RECORD, "multiLine": multi_line, "mode": malformed}
 
 
+def keyed_schema(keys: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(key, T.VariantType()) for key in keys])
+
+
+def keyed_record(keys: list[str]) -> Column:
+    """Columns of variants as one record. A JSON null stays one; a key the record lacks (SQL NULL) is left out."""
+    entries = F.create_map(*(x for key in keys for x in (F.lit(key), F.col(key))))
+    return F.to_variant_object(F.map_filter(entries, lambda _, value: value.isNotNull())).alias(RECORD)
+
+
 def read_json_records(
-    spark: SparkSession, path: str, pattern: str | None = None, multi_line: bool = False, malformed: str = "FAILFAST"
+    spark: SparkSession,
+    path: str,
+    pattern: str | None = None,
+    multi_line: bool = False,
+    malformed: str = "FAILFAST",
+    keys: list[str] | None = None,
 ) -> DataFrame:
-    """JSON records as one variant column: lines, arrays of records, or both mixed."""
+    """JSON records as one variant column: lines, arrays of records, or both mixed.
+
+    An array is one value first, of at most 128 MiB. With ``keys``, the top-level keys to keep, the reader itself takes arrays apart record by
+    record, so that only a record has to fit, and other keys are not read.
+    """
+    if keys is not None:
+        raw = spark.read.schema(keyed_schema(keys)).options(multiLine=multi_line, mode=malformed).json(path)
+        return matching_path(raw, pattern).select(keyed_record(keys))
     raw = spark.read.options(**json_options(multi_line, malformed)).json(path)
     return strip_outer_array(matching_path(raw, pattern))
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
 from siltbed import schemas
 from siltbed.session import drop_folder, folder_exists, folder_names, move_folder
-from siltbed.sources.records import RECORD, json_options, matching_path, run_order, set_aside_malformed, strict_json, strip_outer_array
+from siltbed.sources.records import RECORD, json_options, keyed_record, keyed_schema, matching_path, run_order, set_aside_malformed, strict_json, strip_outer_array
 
 
 def trigger(mode: str, interval: str) -> dict:
@@ -59,6 +59,7 @@ def ingest_stream(
     multi_line: bool = False,
     malformed: str = "FAILFAST",
     limits: dict | None = None,
+    keys: list[str] | None = None,
 ) -> StreamingQuery:
     """Copy new JSON files below ``landing`` whose path matches ``pattern`` into a one-column staging table.
 
@@ -68,14 +69,21 @@ def ingest_stream(
     ``malformed`` is a mode of Spark's JSON reader, or ``QUARANTINE``: then a text that is no record neither stops the stream nor is lost. The same
     pass stages it in columns of its own, with its file and place, where ``quarantined`` finds it and no load does; ``replay`` stages it once it is repaired.
 
+    ``keys`` are those of ``read_json_records``: arrays beyond 128 MiB can then be read, by a mode of Spark's reader.
+
     A fresh checkpoint takes the files that are already there first; see ``bounded`` for ``limits``.
     """
+    if keys is not None and malformed == "QUARANTINE":
+        raise ValueError("QUARANTINE looks at whole texts, keys at records")
     source = bounded(spark.readStream, **(limits or {})).option("recursiveFileLookup", True)
     written = F.date_format(F.col("_metadata.file_modification_time"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
     landed = F.coalesce(run_order("_metadata.file_path"), written)
     if malformed == "QUARANTINE":
         texts = source.text(landing, wholetext=multi_line, lineSep=None if multi_line else "\n")
         records = set_aside_malformed(matching_path(texts, pattern), landed, multi_line)
+    elif keys is not None:
+        source = source.schema(keyed_schema(keys)).options(multiLine=multi_line, mode=malformed)
+        records = matching_path(source.json(landing), pattern).select(keyed_record(keys), landed.alias(schemas.LANDED))
     else:
         source = source.options(**json_options(multi_line, malformed))
         records = strip_outer_array(matching_path(source.json(landing), pattern), RECORD, landed.alias(schemas.LANDED))

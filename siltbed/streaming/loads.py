@@ -18,7 +18,7 @@ from siltbed import schemas
 from siltbed.functions.paths import id_from_url, json_path
 from siltbed.operators.dimensions import latest_rows, new_dimension_rows
 from siltbed.operators.flatten import flatten_array, pick_localised
-from siltbed.operators.keys import number_rows
+from siltbed.operators.keys import number_rows, reserved_ids
 from siltbed.operators.lookups import fact_to_dimension, lookup_chain, lookup_table, refresh_lookup
 from siltbed.session import drop_folder, folder_exists, scratch_home
 from siltbed.sources.records import RECORD
@@ -115,6 +115,22 @@ def _write_numbered(spark: SparkSession, warehouse: Warehouse, name: str, path:
     write_batch(given, warehouse.ledger(name), batch_id)
 
 
+def _write_reserved(spark: SparkSession, warehouse: Warehouse, name: str, rows: DataFrame, batch_id: int) -> None:
+    """Append rows with ids from ranges of their tasks, in one write; the ledger notes the last id given."""
+    columns = [f.name for f in schemas.with_landed(schemas.STORAGE[name]).fields if f.name != "id"]
+    start = last_id_before(spark, warehouse.ledger(name), batch_id)
+    write_batch(rows.select(reserved_ids(start), *columns), warehouse.table(name), batch_id)
+    own = spark.read.schema(schemas.STORAGE[name]).parquet(f"{warehouse.table(name)}/batch_id={batch_id}")
+    given = own.agg(F.greatest(F.max("id"), F.lit(start).cast("long")).alias("last_id"))
+    write_batch(given, warehouse.ledger(name), batch_id)
+
+
+def _checked(ids: str) -> str:
+    if ids not in ("dense", "reserved"):
+        raise ValueError("ids is 'dense' or 'reserved'")
+    return ids
+
+
 def entity_rows(staging: DataFrame) -> DataFrame:
     return staging.select(
         json_path(RECORD, "$.id", "bigint").alias("id"),
@@ -267,11 +283,19 @@ def refreshed_entities(
 
 
 def load_membership(
-    spark: SparkSession, warehouse: Warehouse, table: str, array: str, child: str, strict=True, limits=None, **how
+    spark: SparkSession, warehouse: Warehouse, table: str, array: str, child: str, strict=True, limits=None, ids: str = "dense", **how
 ) -> StreamingQuery:
-    """New (entity, category) rows of one membership array."""
+    """New (entity, category) rows of one membership array.
+
+    ``ids="reserved"`` numbers rows with gaps as they are written, once; ``dense`` ids need a work table first. A table can go over from
+    one to the other.
+    """
+    reserved = _checked(ids) == "reserved"
 
     def finish(batch: DataFrame, batch_id: int) -> None:
+        if reserved:
+            _write_reserved(spark, warehouse, table, batch, batch_id)
+            return
         _write_numbered(spark, warehouse, table, _settle(spark, warehouse, table, batch), batch_id)
 
     rows = membership_rows(changes(spark, warehouse.staging("entity"), limits), array, child, strict)
@@ -290,12 +314,14 @@ def load_measure_dim(spark: SparkSession, warehouse: Warehouse, rows: DataFrame,
 
 
 def load_measures(
-    spark: SparkSession, warehouse: Warehouse, array: str = "stats", child: str = "stat", limits=None, **how
+    spark: SparkSession, warehouse: Warehouse, array: str = "stats", child: str = "stat", limits=None, ids: str = "dense", **how
 ) -> StreamingQuery:
     """Insert new measures, then the facts of the same batch.
 
-    Both in one stream: a fact that arrives with its measure would otherwise be dropped by the join.
+    Both in one stream: a fact that arrives with its measure would otherwise be dropped by the join. ``ids`` is that of ``load_membership``:
+    reserved ones save the facts a work table.
     """
+    reserved = _checked(ids) == "reserved"
 
     def finish(batch: DataFrame, batch_id: int) -> None:
         rows = spark.read.parquet(_settle(spark, warehouse, "entity_measure", batch))
@@ -304,6 +330,9 @@ def load_measures(
         known = known.where(F.col("batch_id") <= batch_id).select(F.col("id").alias("measure_id"), "measure_name")
         facts = fact_to_dimension(rows.drop("measure_id"), known, "measure_name")
         facts = facts.select("entity_id", "measure_id", "value", schemas.LANDED)
+        if reserved:
+            _write_reserved(spark, warehouse, "entity_measure", facts, batch_id)
+            return
         joined = _settle(spark, warehouse, "entity_measure_joined", facts)
         _write_numbered(spark, warehouse, "entity_measure", joined, batch_id)
 
@@ -312,11 +341,11 @@ def load_measures(
 
 
 def run_all(
-    spark: SparkSession, warehouse: Warehouse, mode: str = "once", latest: bool = False, kept: bool = False, **how
+    spark: SparkSession, warehouse: Warehouse, mode: str = "once", latest: bool = False, kept: bool = False, ids: str = "dense", **how
 ) -> list[StreamingQuery]:
     """Start every load. The streams are independent; with ``once`` this waits until each has drained.
 
-    ``latest`` and ``kept`` are those of ``load_entities``; with ``kept`` the lookup of cohorts is loaded too, with ``once`` before the entities.
+    ``latest`` and ``kept`` are those of ``load_entities``, ``ids`` those of ``load_membership``; with ``kept`` the lookup of cohorts is loaded too, with ``once`` before the entities.
     """
     first = [load_cohorts(spark, warehouse, mode=mode, **how)] if kept else []
     if mode == "once":
@@ -324,9 +353,9 @@ def run_all(
             query.awaitTermination()
     queries = first + [
         load_entities(spark, warehouse, mode=mode, latest=latest, kept=kept, **how),
-        load_membership(spark, warehouse, "category_a", *schemas.CATEGORY_A, mode=mode, **how),
-        load_membership(spark, warehouse, "category_b", *schemas.CATEGORY_B, mode=mode, **how),
-        load_measures(spark, warehouse, *schemas.MEASURES, mode=mode, **how),
+        load_membership(spark, warehouse, "category_a", *schemas.CATEGORY_A, mode=mode, ids=ids, **how),
+        load_membership(spark, warehouse, "category_b", *schemas.CATEGORY_B, mode=mode, ids=ids, **how),
+        load_measures(spark, warehouse, *schemas.MEASURES, mode=mode, ids=ids, **how),
     ]
     if mode == "once":
         for query in queries:

@@ -112,3 +112,15 @@ def test_cube_fanout(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 1), (None, 3)], "key string, id long")
     found = {r.key: (r.quantity, r.n_distinct) for r in marts.cube_fanout(df, "key", "id").collect()}
     assert found == {"a": (3, 2), "b": (1, 1), None: (1, 1), "All": (5, 3)}
+
+
+def test_bitmaps_count_distinct_ids_of_any_size(spark):
+    from siltbed.plans.marts import cohort_category_cube
+
+    ids = [1, 2, 32768, 32769, 65536, 65537, 2**40, 2**40 + 1, 0, -1, -32768, -40000]
+    entities = spark.createDataFrame([(i, f"c{i % 2}" if i % 3 else None) for i in ids] + [(1, "c1"), (None, "c1")], "id long, cohort string")
+    members = spark.createDataFrame([(i, f"k{j}") for i in ids for j in range(abs(i) % 4)] + [(1, "k0"), (7, "k0"), (None, "k0")], "key long, category string")
+    how = (entities, "id", "cohort", members, "key", "category")
+    want = cohort_category_cube(*how, distinct=True)
+    got = cohort_category_cube(*how, distinct=True, bitmaps=True)
+    assert got.schema.names == want.schema.names and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

@@ -19,6 +19,8 @@ from siltbed.sources.records import (
     resource_catalog,
 )
 
+from siltbed.streaming.ingest import ingest_stream
+
 
 def texts(df):
     return sorted(r[0] for r in df.select(F.to_json("json_data")).collect())
@@ -41,6 +43,28 @@ def test_empty_outer_array_has_no_records(spark, tmp_path):
     assert texts(read_json_records(spark, str(tmp_path))) == ['{"id":1}']
 
 
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_keys_keep_null_and_missing_apart(spark, tmp_path, multi_line):
+    (tmp_path / "a.json").write_text('[{"id":1,"name":null,"x":{"a":[1,null]},"more":0},{"id":2.5}]')
+    (tmp_path / "b.json").write_text('{"id":3}')
+    rows = texts(read_json_records(spark, str(tmp_path), multi_line=multi_line, keys=["id", "name", "x"]))
+    assert rows == ['{"id":1,"name":null,"x":{"a":[1,null]}}', '{"id":2.5}', '{"id":3}']
+
+
+def test_array_beyond_one_value(spark, tmp_path):
+    """150 MB in one line: too large for a variant, read record by record in batch and stream."""
+    record = '{"id":%d,"name":null,"more":"' + "x" * 990 + '"}'
+    landing = tmp_path / "landing"
+    (landing / "run=1").mkdir(parents=True)
+    with open(landing / "run=1" / "a.json", "w") as f:
+        f.write("[" + ",".join(record % i for i in range(150_000)) + "]")
+    got = read_json_records(spark, str(landing), keys=["id", "name", "absent"])
+    told = got.select(F.to_json("json_data").alias("t")).agg(F.count("*"), F.countDistinct("t"), F.min("t")).first()
+    assert tuple(told) == (150_000, 150_000, '{"id":0,"name":null}')
+    ingest_stream(spark, str(landing), str(tmp_path / "staging"), str(tmp_path / "checkpoint"), keys=["id", "name"]).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "staging")).count() == 150_000
+
+
 def test_malformed_record_is_an_error(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"id":1}\n{"id":2,\n{"id":3}')
     with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):

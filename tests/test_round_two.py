@@ -59,11 +59,23 @@ def test_sums_are_those_of_the_plain_join(spark, kind):
     assert sorted(got.collect()) == sorted(plain.collect()) and got.schema["total"].dataType == plain.schema["total"].dataType
 
 
-def test_sums_beyond_their_type_raise(spark):
-    entities = spark.createDataFrame([(1, "a")], "id long, name string")
-    facts = spark.createDataFrame([(1, Decimal(10) ** 30)], "key long, value decimal(38,5)")
-    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
-        joined_sums(entities, "id", facts, "key", "value", ["name"]).collect()
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_wide_sums_are_exact_or_raise(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        once = spark.createDataFrame([(1, "a"), (2, "a")], "id long, name string")
+        twice = spark.createDataFrame([(1, "a"), (1, "a")], "id long, name string")
+        wide = Decimal("12345678901234567890123456789.5")
+        facts = spark.createDataFrame([(1, wide), (1, Decimal(1)), (2, None)], "key long, value decimal(38,5)")
+        assert joined_sums(once, "id", facts, "key", "value", ["name"]).first().total == Decimal("12345678901234567890123456790.5")
+        with pytest.raises(Exception, match="a sum does not fit: 2 times"):
+            joined_sums(twice, "id", facts, "key", "value", ["name"]).collect()
+        narrow = spark.createDataFrame([(1, Decimal("12345678901234567890123.45678"))], "key long, value decimal(38,5)")
+        assert joined_sums(twice, "id", narrow, "key", "value", ["name"]).first().total == Decimal("24691357802469135780246.91356")
+        none = spark.createDataFrame([(1, None)], "key long, value decimal(38,5)")
+        assert joined_sums(twice, "id", none, "key", "value", ["name"]).first().total is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
 def test_group_columns_follow_the_sessions_rules(spark):

@@ -157,3 +157,53 @@ def test_run_all_with_the_kept_lookup(house):
     house.land("entity", [entity(1)], 1)
     loads.run_all(house.spark, house.warehouse, kept=True)
     assert house.warehouse.read(house.spark, "entity").select(F.collect_list("cohort")).first()[0] == ["Second"]
+
+
+@pytest.mark.parametrize("lost", [False, True])
+def test_reserved_ids_are_unique_over_batches_and_retries(house, monkeypatch, lost):
+    def types(**how):
+        loads.load_membership(house.spark, house.warehouse, "category_b", *schemas.CATEGORY_B, **how).awaitTermination()
+        return house.rows("category_b")
+
+    house.land("entity", [entity(i, types=[7, 8]) for i in range(40)], 1)
+    assert sorted(r[0] for r in types()) == list(range(1, 81))
+    house.land("entity", [entity(i, types=[9]) for i in range(40, 60)], 2)
+    write, paths = loads.write_batch, []
+
+    def record(df, path, batch_id):
+        write(df, path, batch_id)
+        paths.append(path)
+        if lost and "/ledger/" in path:
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(loads, "write_batch", record)
+    monkeypatch.setattr(loads, "_settle", lambda *_: pytest.fail("a work table"))
+    if lost:
+        with pytest.raises(Exception, match="lost"):
+            types(ids="reserved")
+        assert len(house.rows("category_b")) == 80
+        monkeypatch.setattr(loads, "write_batch", write)
+    rows = types(ids="reserved")
+    assert len({r[0] for r in rows}) == len(rows) == 100 and min(r[0] for r in rows if r[1] == 9) == 81
+    assert sum(p.endswith("/storage/category_b") for p in paths) == 1
+    house.land("entity", [entity(90, types=[1])], 3)
+    assert max(types(ids="reserved"))[2] == 90
+    with pytest.raises(ValueError, match="reserved"):
+        types(ids="random")
+
+
+def test_measures_with_reserved_ids(house):
+    for run, stats in enumerate([[(1, "hp", 10), (2, "speed", 20)], [(1, "hp", 30), (3, "luck", 40)]]):
+        house.land("entity", [entity(run, stats=stats)], run)
+        loads.load_measures(house.spark, house.warehouse, ids="reserved").awaitTermination()
+    rows = house.rows("entity_measure")
+    assert sorted(r[1:] for r in rows) == [(0, 1, 10), (0, 2, 20), (1, 1, 30), (1, 3, 40)] and len({r[0] for r in rows}) == 4
+
+
+def test_a_task_with_too_many_rows_stops(spark, monkeypatch):
+    from siltbed.operators import keys
+
+    monkeypatch.setattr(keys, "RANGE", 10)
+    assert sorted(r.id for r in spark.range(0, 20, 1, 4).select(keys.reserved_ids(5).alias("id")).collect())[:6] == [6, 7, 8, 9, 10, 16]
+    with pytest.raises(Exception, match="more than 10 rows"):
+        spark.range(0, 50, 1, 4).select(keys.reserved_ids()).collect()
