@@ -793,7 +793,7 @@ def load_membership_stream(spark, sf_dir):
 @binding(f"select entity_id, category_id, category_name, 1::bigint as n_of_id from ({LINE_MEMBERSHIP}) m")
 def load_membership_reserved_stream(spark, sf_dir):
     """Two batches with ids given as rows are written: each id belongs to one row."""
-    lines, returned = _line_records(spark, sf_dir), "coalesce(types[0].type.name = 'R', false)"
+    lines, returned = _line_records(spark, sf_dir), "coalesce(get(types, 0).type.name = 'R', false)"
     warehouse = _ingested(spark, [{"entity": lines.where(returned)}, {"entity": lines.where(f"not {returned}")}])
     how = {"limits": {"max_files": 1}, "ids": "reserved"}
     loads.load_membership(spark, warehouse, "category_b", *schemas.CATEGORY_B, **how).awaitTermination()
