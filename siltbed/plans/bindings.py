@@ -21,7 +21,7 @@ from siltbed.plans import audit, marts
 from siltbed.session import scratch_folder
 from siltbed.sources import records
 from siltbed.sources.records import RECORD
-from siltbed.streaming import ingest, loads
+from siltbed.streaming import ingest, kept, loads
 from siltbed.streaming.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -896,6 +896,27 @@ def warehouse_marts(spark, sf_dir):
     return _mart_rows(spark)
 
 
+@binding(
+    ORDER_STATS
+    + """
+select cohort, category_name, count(id) as n from entity join category_b on entity_id = id group by 1, 2
+"""
+)
+def kept_counts_stream(spark, sf_dir):
+    """Counts kept over three batches of entities and members, each brought up to date before the next one comes."""
+    orders, warehouse = _order_records(spark, sf_dir), _ingested(spark, [{"cohort": _cohort_records(_table(spark, sf_dir, "customer"))}])
+    status = F.col("types")[0]["type"]["name"]
+    for run, part in enumerate(("F", "O", "P")):
+        records.land_records(orders.where(status == part), warehouse.landing(), "entity", f"part-{run}")
+        ingest_endpoint(spark, warehouse, "entity").awaitTermination()
+        # members come before their entities in the second run
+        steps = [lambda: loads.load_entities(spark, warehouse), lambda: loads.load_membership(spark, warehouse, "category_b", *schemas.CATEGORY_B)]
+        for step in steps[:: -1 if run == 1 else 1]:
+            step().awaitTermination()
+            kept.update_counts(spark, warehouse)
+    return kept.kept_counts(spark, warehouse)
+
+
 @binding(MART_ROWS)
 def warehouse_marts_two_runs(spark, sf_dir):
     """Every record landed in two runs, the first with other categories, measures and cohorts: the marts are those of the second alone."""

@@ -40,6 +40,9 @@ class Warehouse:
     def replays(self, name: str) -> str:
         return f"{self.root}/replays/{name}"
 
+    def kept(self, name: str, by: list[str]) -> str:
+        return f"{self.root}/kept/{name}-{'-'.join(by)}"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
