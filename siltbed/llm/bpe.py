@@ -21,7 +21,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 
 #: Segments a worker keeps; those met first are the frequent ones. After as many times more that were not kept, it starts
 #: anew, as the texts may have changed. Longer segments are not kept.
-KEPT_SEGMENTS, KEPT_LENGTH, KEPT_TIMES = 400_000, 64, 8
+KEPT_SEGMENTS, KEPT_LENGTH, KEPT_TIMES = 150_000, 64, 8
 
 BOUNDARY = re.compile(r" (?=\S)")
 _PLAIN = re.compile("[\\n -~À-ÖØ-öø-ÿ]*")

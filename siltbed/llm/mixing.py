@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from siltbed.llm.bpe import Kept, count_batch
 from siltbed.llm.common import WorkTables, documents, free_names, labelled, map_batches, raw
 
-#: Counts of hashed words that the classifier looks at.
-WIDTH = 1024
+#: Counts of hashed words that the classifier looks at, and texts it looks at together.
+WIDTH, CHUNK = 1024, 512
 _bucket = Kept(lambda word: zlib.crc32(word) % WIDTH)
 
 
@@ -60,10 +60,11 @@ class Domains:
     weights: np.ndarray | None
 
     def classify(self, texts: list[bytes | None]) -> np.ndarray:
-        rows, n = _features(texts)
-        p = np.tile(self.share, (len(rows), 1))
+        p = np.tile(self.share, (len(texts), 1))
         if self.weights is not None:
-            p = np.where((n > 0)[:, None], _softmax(rows @ self.weights[:-1] + self.weights[-1]), p)
+            for at in range(0, len(texts), CHUNK):
+                rows, n = _features(texts[at : at + CHUNK])
+                p[at : at + CHUNK][n > 0] = _softmax(rows[n > 0] @ self.weights[:-1] + self.weights[-1])
         return p
 
 
