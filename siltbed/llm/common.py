@@ -112,6 +112,9 @@ def map_batches(
             for part in slices(batch, column) if column else [batch]:
                 made = work(part)
                 yield pa.RecordBatch.from_arrays([made[f.name] if isinstance(made[f.name], pa.Array) else pa.array(made[f.name], f.type) for f in fields], schema=fields)
+                del part, made
+            del batch
+            pa.default_memory_pool().release_unused()  # workers are used again: what a wide batch took is not theirs to keep
 
     return df.mapInArrow(run, schema)
 
