@@ -11,6 +11,7 @@ import functools
 import json
 import re
 import struct
+import weakref
 
 import numpy as np
 import pyarrow as pa
@@ -75,10 +76,30 @@ class Vocabulary:
 
 
 @functools.lru_cache(maxsize=4)
-def vocabulary(path: str) -> Vocabulary:
+def _vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+#: What the task that runs has used of what a worker keeps.
+_used: set[int | str] = set()
+
+
+def vocabulary(path: str) -> Vocabulary:
+    _used.add("vocabulary")
+    return _vocabulary(path)
+
+
+def forget_unused() -> None:
+    """At the end of a task: drops what it had no use for, as another operator's tasks may have left it in the worker."""
+    if "vocabulary" not in _used:
+        for kept in (_vocabulary, _kept_ids, _kept_counts):
+            kept.cache_clear()
+    for kept in Kept.all:
+        if id(kept) not in _used:
+            kept.clear()
+    _used.clear()
+
+
 def led(segment: str) -> str:
     """A segment other than the first as it stands in the text."""
     return segment if segment[:1] == "\n" else " " + segment
@@ -95,11 +116,17 @@ class Kept(dict):
     A segment that ends in a letter and one of ``marks`` is not kept: its value is that of the rest plus that of the mark.
     """
 
+    all: weakref.WeakSet = weakref.WeakSet()
+
     def __init__(self, make, marks: dict | None = None):
         super().__init__()
         self.make, self.left_out, self.marks = make, 0, marks or {}
+        Kept.all.add(self)
+
+    __hash__ = object.__hash__
 
     def __missing__(self, segment):
+        _used.add(id(self))
         if segment[-1:] in self.marks and segment[-2:-1].isalpha():
             return self[segment[:-1]] + self.marks[segment[-1:]]
         value = self.make(segment)

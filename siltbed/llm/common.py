@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from siltbed.llm.bpe import forget_unused
 from siltbed.session import drop_folder, scratch_folder
 
 #: Bytes of text that one Arrow batch is cut to before it is worked on, whatever its row count.
@@ -115,6 +116,7 @@ def map_batches(
                 del part, made
             del batch
             pa.default_memory_pool().release_unused()  # workers are used again: what a wide batch took is not theirs to keep
+        forget_unused()
 
     return df.mapInArrow(run, schema)
 
