@@ -13,7 +13,7 @@ from siltbed.llm.chat import format_chats
 from siltbed.llm.components import components
 from siltbed.llm.mixing import mix, mixed_documents
 from siltbed.llm.near_dedup import drop_near_duplicates, near_duplicates
-from siltbed.llm.packing import pack
+from siltbed.llm.packing import Bins, pack
 from siltbed.llm.quality_rules import quality_rules
 from siltbed.llm.repeats import owned_starts, remove_repeats, without_repeats
 from siltbed.llm.rule_ensemble import quality_scores
@@ -131,6 +131,68 @@ def test_packing_holds_each_id_once(docs, library):
         assert filled <= 64 and filled & (filled - 1) == 0  # no padding at all
 
 
+def test_packing_of_null_ids_and_repeated_rows(spark, docs, library):
+    pieces = [r.asDict() for r in pack(docs.coalesce(1), queries.tokenizer(), capacity=64).collect()]
+    got, want = {}, {}
+    for p in pieces:
+        got[p["doc_id"]] = got.get(p["doc_id"], 0) + p["length"]
+    for r in docs.collect():
+        want[r.doc_id] = want.get(r.doc_id, 0) + len(ids(library, r.text)) + 1
+    assert got == want  # the null id and both rows of one id are packed too
+    assert pack(docs.limit(0), queries.tokenizer()).count() == 0
+    clash = docs.limit(3).selectExpr("doc_id", "text", "1 as length", "'x' as sequence_id", "2 as offset")
+    assert pack(clash, queries.tokenizer()).count() >= 3
+
+
+def packed_lengths(lengths, capacity=64, waiting=4):
+    bins = Bins(0, capacity, waiting)
+    for i, n in enumerate(lengths):
+        bins.add(i, np.arange(n, dtype="<u4"))
+    bins.end()
+    return bins.full
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_packing_holds_every_length_without_padding(seed):
+    rng = np.random.default_rng(seed)
+    lengths = [*rng.integers(1, 130, rng.integers(0, 300)), *[33] * int(rng.integers(0, 40)), *rng.permutation([64, 128, 1, 1, 1000])[: rng.integers(0, 6)]]
+    rows, at, filled = packed_lengths(lengths), {}, {}
+    for i, start, n, crc, total, sequence, offset in sorted(rows, key=lambda r: (r[0], r[1])):
+        assert n and start == at.get(i, 0) and total == lengths[i]
+        assert crc == zlib.crc32(np.arange(start, start + n, dtype="<u4").tobytes())
+        at[i] = start + n
+        filled.setdefault(sequence, []).append((offset, n))
+    assert [at[i] for i in range(len(lengths))] == [int(n) for n in lengths]
+    short = 0
+    for held in filled.values():
+        offset = 0
+        for o, n in sorted(held):
+            assert o == offset
+            offset += n
+        assert offset <= 64 and offset & (offset - 1) == 0
+        short += offset < 64
+    assert short <= 6  # the powers of two below the capacity
+
+
+def test_packing_fills_classes_with_a_fixed_count():
+    bins = Bins(0, 64)
+    for i, n in enumerate([20, 21, 20, 32, 32, 64]):  # classes 3, 3, 3, 2, 2 and 1
+        bins.add(i, np.arange(n, dtype="<u4"))
+    assert [r[0] for r in bins.full] == [3, 4, 5] and [(room, [len(p) for p in held]) for room, _, held in bins.rooms] == [(3, [20, 21, 20])]
+
+
+def test_packing_keeps_documents_that_fit_whole():
+    lengths = np.random.default_rng(3).lognormal(6, 0.8, 20000).astype(int) + 1
+    count = np.bincount([r[0] for r in packed_lengths(lengths, 1024, 256)])
+    assert (count[lengths <= 1024] == 1).mean() > 0.95
+
+
+def test_packing_of_a_very_long_text(spark):
+    text = "word " * 400_000
+    (whole,) = {r.doc_tokens for r in pack(spark.createDataFrame([(1, text)], "doc_id long, text string"), queries.tokenizer()).select("doc_tokens").distinct().collect()}
+    assert whole > 400_000
+
+
 def test_packing_rejects_odd_capacity(docs):
     with pytest.raises(ValueError):
         pack(docs, queries.tokenizer(), capacity=100)
