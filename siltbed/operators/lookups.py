@@ -30,6 +30,16 @@ def fact_to_dimension(facts: DataFrame, dimension: DataFrame, on: str) -> DataFr
     return facts.join(dimension, on).drop(on)
 
 
+def left_facts(facts: DataFrame, dimension: DataFrame, on: str, found: str) -> DataFrame:
+    """``facts`` with the columns of ``dimension``, and whether a row of it was there; facts without a name do not move.
+
+    Where the dimension has a name more than once, its facts come as often, as in ``fact_to_dimension``.
+    """
+    named = facts.where(F.col(on).isNotNull()).join(dimension.withColumn(found, F.lit(True)), on, "left")
+    named = named.withColumn(found, F.coalesce(found, F.lit(False)))
+    return named.unionByName(facts.where(F.col(on).isNull()).withColumn(found, F.lit(False)), allowMissingColumns=True)
+
+
 def refresh_lookup(df: DataFrame, key: str, label: str, lookup: DataFrame) -> DataFrame:
     """Resolve ``label`` again for rows stored before their lookup row arrived.
 

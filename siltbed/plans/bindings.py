@@ -846,6 +846,32 @@ def load_measures_reserved_stream(spark, sf_dir):
     return _line_measures_warehouse(spark, sf_dir, ids="reserved").read(spark, "entity_measure").drop("id")
 
 
+@binding(
+    f"""
+select case when measure_name = 'l_linestatus-F' then 'waiting' else 'stored' end as place, entity_id,
+       case when measure_name <> 'l_linestatus-F' then measure_id end as measure_id, value
+from ({LINE_MEASURES}) m
+"""
+)
+def late_facts_stream(spark, sf_dir):
+    """Facts land before their measures, which come in two later runs; one measure never comes."""
+    warehouse = _ingested(spark, [{"entity": _line_measures(spark, sf_dir, "A")}])
+    loads.load_measures(spark, warehouse, dimension="records").awaitTermination()
+    lineitem = _table(spark, sf_dir, "lineitem")
+    names = [lineitem.select(F.concat(F.lit(f"{c}-"), c).alias("name"), (F.ascii(c) + offset).alias("id")) for c, offset in (("l_returnflag", 0), ("l_linestatus", 1000))]
+    measures = names[0].union(names[1]).where("name <> 'l_linestatus-F'").distinct()
+    for run, part in enumerate(("id < 1000", "id > 1000")):
+        records.land_records(measures.where(part), warehouse.landing(), "measure", f"measures-{run}")
+        ingest_endpoint(spark, warehouse, "measure").awaitTermination()
+        if run:
+            records.land_records(_line_measures(spark, sf_dir, None), warehouse.landing(), "entity", "late")
+            ingest_endpoint(spark, warehouse, "entity").awaitTermination()
+        loads.load_measures(spark, warehouse, dimension="records").awaitTermination()
+    stored = warehouse.read(spark, "entity_measure").select(F.lit("stored").alias("place"), "entity_id", "measure_id", "value")
+    waiting = loads.waiting_facts(spark, warehouse).select(F.lit("waiting"), "entity_id", F.lit(None).cast("long"), "value")
+    return stored.union(waiting)
+
+
 def _loaded_orders(spark: SparkSession, sf_dir: str) -> Warehouse:
     warehouse = _ingested(
         spark, [{"cohort": _cohort_records(_table(spark, sf_dir, "customer")), "entity": _order_records(spark, sf_dir)}]

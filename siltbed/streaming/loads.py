@@ -19,11 +19,11 @@ from siltbed.functions.paths import id_from_url, json_path
 from siltbed.operators.dimensions import latest_rows, new_dimension_rows
 from siltbed.operators.flatten import flatten_array, pick_localised
 from siltbed.operators.keys import number_rows, reserved_ids
-from siltbed.operators.lookups import fact_to_dimension, lookup_chain, lookup_table, refresh_lookup
-from siltbed.session import drop_folder, folder_exists, scratch_home
+from siltbed.operators.lookups import fact_to_dimension, left_facts, lookup_chain, lookup_table, refresh_lookup
+from siltbed.session import drop_folder, folder_exists, make_folder, scratch_home
 from siltbed.sources.records import RECORD
 from siltbed.streaming.ingest import bounded, trigger
-from siltbed.streaming.warehouse import COHORTS, Warehouse, commit, last_commit, last_id_before, read_batches, withdraw, write_batch
+from siltbed.streaming.warehouse import COHORTS, WAITING, Warehouse, commit, last_commit, last_id_before, read_batches, withdraw, write_batch
 
 Finish = Callable[[DataFrame, int], None]
 
@@ -313,23 +313,77 @@ def load_measure_dim(spark: SparkSession, warehouse: Warehouse, rows: DataFrame,
     write_batch(new_dimension_rows(candidates, existing, "id"), warehouse.table("measure"), batch_id)
 
 
+def dimension_rows(staging: DataFrame) -> DataFrame:
+    """(measure_id, measure_name) of each measure record."""
+    return staging.select(
+        json_path(RECORD, "$.id", "bigint").alias("measure_id"),
+        json_path(RECORD, "$.name", "string").alias("measure_name"),
+        *_landed(staging),
+    )
+
+
+_WAITING = T.StructType(
+    [
+        T.StructField("entity_id", T.LongType()),
+        T.StructField("measure_name", T.StringType()),
+        T.StructField("value", T.LongType()),
+        T.StructField(schemas.LANDED, T.StringType()),
+    ]
+)
+
+
+def waiting_facts(spark: SparkSession, warehouse: Warehouse, batch_id: int | None = None) -> DataFrame:
+    """Facts whose measure had not come by the last committed batch of ``load_measures``. ``batch_id`` reads an earlier version."""
+    last = last_commit(spark, warehouse.table("entity_measure"))[0] if batch_id is None else batch_id
+    return read_batches(spark, warehouse.table(WAITING), _WAITING).where(F.col("batch_id") == last).drop("batch_id")
+
+
 def load_measures(
-    spark: SparkSession, warehouse: Warehouse, array: str = "stats", child: str = "stat", limits=None, ids: str = "dense", **how
+    spark: SparkSession,
+    warehouse: Warehouse,
+    array: str = "stats",
+    child: str = "stat",
+    limits=None,
+    ids: str = "dense",
+    dimension: str = "facts",
+    **how,
 ) -> StreamingQuery:
     """Insert new measures, then the facts of the same batch.
 
     Both in one stream: a fact that arrives with its measure would otherwise be dropped by the join. ``ids`` is that of ``load_membership``:
     reserved ones save the facts a work table.
+
+    ``dimension`` says where measures come from: the facts themselves, or with ``records`` the landed records of the endpoint ``measure``. Then a
+    fact may come before its measure. It waits: each batch joins its own facts and the waiting ones, stores those that find their measure,
+    and keeps the others (``waiting_facts``), those without a name among them. New measures alone start a batch too. A batch that
+    runs again reads the same waiting facts and keeps the same ones. One table keeps to one way.
     """
     reserved = _checked(ids) == "reserved"
+    if dimension not in ("facts", "records"):
+        raise ValueError("dimension is 'facts' or 'records'")
+    own = dimension == "records"
+    columns = ["entity_id", "measure_id", "value", schemas.LANDED]
+
+    def known(batch_id: int) -> DataFrame:
+        rows = read_batches(spark, warehouse.table("measure"), schemas.STORAGE["measure"])
+        return rows.where(F.col("batch_id") <= batch_id).select(F.col("id").alias("measure_id"), "measure_name")
+
+    def matched(rows: DataFrame, batch_id: int) -> DataFrame:
+        load_measure_dim(spark, warehouse, rows, batch_id)
+        return fact_to_dimension(rows.drop("measure_id"), known(batch_id), "measure_name")
+
+    def matched_or_waiting(rows: DataFrame, batch_id: int) -> DataFrame:
+        load_measure_dim(spark, warehouse, rows.where("is_measure"), batch_id)
+        facts = rows.where("not is_measure").select(*_WAITING.names).unionByName(waiting_facts(spark, warehouse, batch_id - 1))
+        found = left_facts(facts, known(batch_id), "measure_name", "found")
+        found = spark.read.parquet(_settle(spark, warehouse, "entity_measure_found", found))
+        write_batch(found.where("not found").select(*_WAITING.names), warehouse.table(WAITING), batch_id)
+        drop_folder(spark, f"{warehouse.table(WAITING)}/batch_id={batch_id - 2}")
+        return found.where("found")
 
     def finish(batch: DataFrame, batch_id: int) -> None:
         rows = spark.read.parquet(_settle(spark, warehouse, "entity_measure", batch))
-        load_measure_dim(spark, warehouse, rows, batch_id)
-        known = read_batches(spark, warehouse.table("measure"), schemas.STORAGE["measure"])
-        known = known.where(F.col("batch_id") <= batch_id).select(F.col("id").alias("measure_id"), "measure_name")
-        facts = fact_to_dimension(rows.drop("measure_id"), known, "measure_name")
-        facts = facts.select("entity_id", "measure_id", "value", schemas.LANDED)
+        facts = (matched_or_waiting if own else matched)(rows, batch_id).select(*columns)
         if reserved:
             _write_reserved(spark, warehouse, "entity_measure", facts, batch_id)
             return
@@ -337,15 +391,28 @@ def load_measures(
         _write_numbered(spark, warehouse, "entity_measure", joined, batch_id)
 
     rows = measure_rows(changes(spark, warehouse.staging("entity"), limits), array, child)
+    if own:
+        make_folder(spark, warehouse.staging("measure"))
+        make_folder(spark, warehouse.table(WAITING))
+        measures = dimension_rows(changes(spark, warehouse.staging("measure"), limits))
+        measures = measures.withColumn("is_measure", F.lit(True))
+        rows = rows.withColumn("is_measure", F.lit(False)).unionByName(measures, allowMissingColumns=True)
     return run_load(spark, warehouse, "entity_measure", rows, finish, **how)
 
 
 def run_all(
-    spark: SparkSession, warehouse: Warehouse, mode: str = "once", latest: bool = False, kept: bool = False, ids: str = "dense", **how
+    spark: SparkSession,
+    warehouse: Warehouse,
+    mode: str = "once",
+    latest: bool = False,
+    kept: bool = False,
+    ids: str = "dense",
+    dimension: str = "facts",
+    **how,
 ) -> list[StreamingQuery]:
     """Start every load. The streams are independent; with ``once`` this waits until each has drained.
 
-    ``latest`` and ``kept`` are those of ``load_entities``, ``ids`` those of ``load_membership``; with ``kept`` the lookup of cohorts is loaded too, with ``once`` before the entities.
+    ``latest`` and ``kept`` are those of ``load_entities``, ``ids`` those of ``load_membership``, ``dimension`` that of ``load_measures``; with ``kept`` the lookup of cohorts is loaded too, with ``once`` before the entities.
     """
     first = [load_cohorts(spark, warehouse, mode=mode, **how)] if kept else []
     if mode == "once":
@@ -355,7 +422,7 @@ def run_all(
         load_entities(spark, warehouse, mode=mode, latest=latest, kept=kept, **how),
         load_membership(spark, warehouse, "category_a", *schemas.CATEGORY_A, mode=mode, ids=ids, **how),
         load_membership(spark, warehouse, "category_b", *schemas.CATEGORY_B, mode=mode, ids=ids, **how),
-        load_measures(spark, warehouse, *schemas.MEASURES, mode=mode, ids=ids, **how),
+        load_measures(spark, warehouse, *schemas.MEASURES, mode=mode, ids=ids, dimension=dimension, **how),
     ]
     if mode == "once":
         for query in queries:

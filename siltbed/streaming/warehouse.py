@@ -17,6 +17,8 @@ _COMMITS = "_commits"
 COMMITTED_WITH = {"measure": "entity_measure"}
 #: The kept lookup of cohorts: each of its batches holds it whole.
 COHORTS = "cohort_lookup"
+#: Facts that wait for their measure: each batch holds all of them.
+WAITING = "entity_measure_waiting"
 
 
 @dataclass(frozen=True)
@@ -40,6 +42,9 @@ class Warehouse:
     def replays(self, name: str) -> str:
         return f"{self.root}/replays/{name}"
 
+    def key_ledger(self, name: str, keys: list[str]) -> str:
+        return f"{self.root}/keys/{name}-{'-'.join(keys)}"
+
     def kept(self, name: str, by: list[str]) -> str:
         return f"{self.root}/kept/{name}-{'-'.join(by)}"
 
