@@ -21,8 +21,8 @@ from siltbed.plans import audit, marts
 from siltbed.session import scratch_folder
 from siltbed.sources import records
 from siltbed.sources.records import RECORD
-from siltbed.streaming import ingest, kept, loads
-from siltbed.streaming.warehouse import Warehouse
+from siltbed.streaming import ingest, kept, keychecks, loads
+from siltbed.streaming.warehouse import Warehouse, commit, write_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -872,6 +872,34 @@ def late_facts_stream(spark, sf_dir):
     return stored.union(waiting)
 
 
+@binding(
+    """
+select 'entity' as of, o_custkey as key, count(*) as n from orders group by o_custkey having count(*) > 1
+union all
+select 'category_a', l_orderkey, count(*) from lineitem
+where l_orderkey not in (select o_custkey from orders) group by l_orderkey
+"""
+)
+def key_checks_stream(spark, sf_dir):
+    """Three batches of entities with repeated ids and two of children, each checked against what came before it."""
+    orders, lineitem = _table(spark, sf_dir, "orders"), _table(spark, sf_dir, "lineitem")
+    warehouse = Warehouse(scratch_folder(spark, "warehouse")).create(spark)
+    for run, status in enumerate(("F", "O", "P")):
+        rows = orders.where(F.col("o_orderstatus") == status).select(F.col("o_custkey").alias("id"), F.lit("c").alias("name"))
+        records.land_records(rows, warehouse.landing(), "entity", str(run))
+        ingest_endpoint(spark, warehouse, "entity").awaitTermination()
+        loads.load_entities(spark, warehouse).awaitTermination()
+        if run < 2:
+            part = lineitem.where(F.col("l_linestatus") == status)
+            children = part.selectExpr("l_linenumber as id", "l_partkey as category_id", "l_orderkey as entity_id", "l_linestatus as category_name")
+            write_batch(children.selectExpr(*(f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in schemas.STORAGE["category_a"])), warehouse.table("category_a"), run)
+            commit(spark, warehouse.table("category_a"), run, "children")
+        keychecks.update_reference(spark, warehouse, "category_a", "entity_id", "entity", "id", 16)
+    found = keychecks.duplicate_keys(spark, warehouse, "entity", ["id"]).selectExpr("'entity' as of", "id as key", "count as n")
+    orphans = keychecks.orphan_keys(spark, warehouse, "category_a", "entity_id", "entity", "id")
+    return found.union(orphans.selectExpr("'category_a'", "entity_id", "count"))
+
+
 def _loaded_orders(spark: SparkSession, sf_dir: str) -> Warehouse:
     warehouse = _ingested(
         spark, [{"cohort": _cohort_records(_table(spark, sf_dir, "customer")), "entity": _order_records(spark, sf_dir)}]
