@@ -1,11 +1,13 @@
 """Exact top-k inner products by a three-phase uniform threshold.
 
 The dimensions are split into m lists: a score is the sum of m partial scores, and a list ranks all vectors by one of them.
-Phase 1 gathers the heads of the local lists with their whole scores; the k-th best of a query is a safe cutoff T, as k vectors
-reach it. Phase 2 sends the cutoffs out: a score of T or more has a partial score of T / m or more in some list, so only entries
-above that are collected. Phase 3 resolves the remaining partial scores of those exactly and keeps the best.
+Phase 1 gathers the heads of the local lists and resolves those; the k-th best score of a query is a safe cutoff T, as k vectors
+reach it. Phase 2 sends the cutoffs out: a score of T or more has a partial score of T / m or more in some list, so a list hands
+over its entries above that only. Of those, an entry goes on if the norms of its other dimensions let it still reach T. Phase 3
+resolves the remaining partial scores of what is left, pair by pair, and keeps the best.
 
-Vectors are worked on in blocks of rows and queries in blocks of queries, so a task holds one block of each.
+Vectors are worked on in blocks of rows and queries in blocks of queries, so a task holds one block of each and the partial scores
+of one list at a time. A list whose norms in a block keep all of it below T / m is not looked at.
 """
 
 from __future__ import annotations
@@ -57,13 +59,104 @@ def _blocks(vectors: DataFrame, size: int, scale: int) -> DataFrame:
     return vectors.mapInArrow(run, _BLOCKS)
 
 
-def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of rows as whole numbers: in doubles where every partial sum is exact, else in Python's integers."""
-    bound = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(a.shape[1], 1)
-    if bound < 2**53:
-        return a @ b.T
-    whole = np.array([[int(x) for x in r] for r in a], object).reshape(a.shape)
-    return whole @ np.array([[int(x) for x in r] for r in b], object).reshape(b.shape).T
+#: Numbers of a gathered part that are resolved at a time.
+_RESOLVED = 1 << 21
+#: Below every score of finite doubles.
+_LEAST = -(1 << 2200)
+
+
+def _bound(a: np.ndarray, b: np.ndarray) -> float:
+    return float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(a.shape[1], 1)
+
+
+def _whole(a: np.ndarray) -> np.ndarray:
+    return np.array([[int(x) for x in r] for r in a], object).reshape(a.shape)
+
+
+class Lists:
+    """A block of queries against a block of vectors, their dimensions cut into lists.
+
+    Scores are whole numbers: in doubles where every partial sum is exact, else in Python's integers.
+    """
+
+    def __init__(self, q: np.ndarray, v: np.ndarray, q_ids: np.ndarray, ids: np.ndarray, lists: int):
+        self.exact = _bound(q, v) < 2**53
+        self.q, self.v = (q, v) if self.exact else (_whole(q), _whole(v))
+        self.q_ids, self.ids, self.resolved = q_ids, ids, 0
+        at = np.linspace(0, q.shape[1], lists + 1).astype(int)
+        self.cuts = [slice(a, b) for a, b in zip(at[:-1], at[1:], strict=True)]
+
+    def partial(self, cut: slice) -> np.ndarray:
+        return self.q[:, cut] @ self.v[:, cut].T
+
+    def resolve(self, i: np.ndarray, j: np.ndarray) -> list[np.ndarray]:
+        """The partial scores of some pairs in every list."""
+        self.resolved += len(i)
+        step = max(1, _RESOLVED // max(1, self.q.shape[1]))
+        out = [[] for _ in self.cuts]
+        for start in range(0, len(i), step):
+            a, b = self.q[i[start : start + step]], self.v[j[start : start + step]]
+            for parts, cut in zip(out, self.cuts, strict=True):
+                parts.append((a[:, cut] * b[:, cut]).sum(axis=1))
+        return [np.concatenate(parts) if parts else np.empty(0, self.q.dtype) for parts in out]
+
+    def heads(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Phase 1: each query's best k of each list, once, with their whole scores."""
+        pairs = []
+        for cut in self.cuts:
+            scores = self.partial(cut)
+            for i, query in enumerate(self.q_ids):
+                best = _best(scores[i], self.ids, k, self.ids != query)
+                pairs.append(i * len(self.ids) + best)
+        i, j = np.divmod(np.unique(np.concatenate(pairs)), len(self.ids)) if pairs else (np.empty(0, int), np.empty(0, int))
+        return i, j, sum(self.resolve(i, j))
+
+    def _may_reach(self, i: np.ndarray, j: np.ndarray, partial: np.ndarray, floors: np.ndarray, norms: tuple) -> np.ndarray:
+        """Whether the other dimensions, by their norms, can bring a partial score up to the cutoff; rounding speaks for the pair."""
+        return partial + norms[0][i] * norms[1][j] * (1 + 1e-9) + 1 >= floors[i]
+
+    def above(self, k: int, cutoffs: list[int | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Phases 2 and 3: each query's best k of the pairs that reach its cutoff."""
+        m, found = len(self.cuts), []
+        if self.exact:
+            floors = np.array([-np.inf if c is None else _not_above(c) for c in cutoffs])
+            squares = [((self.q[:, c] ** 2).sum(axis=1), (self.v[:, c] ** 2).sum(axis=1)) for c in self.cuts]
+            everything = [sum(s[side] for s in squares) for side in (0, 1)]
+        else:
+            floors = np.array([_LEAST if c is None else c for c in cutoffs], object)
+        for n, cut in enumerate(self.cuts):
+            asked = np.arange(len(self.q_ids))
+            if self.exact:
+                reach = np.sqrt(squares[n][0]) * np.sqrt(squares[n][1].max(initial=0)) * (1 + 1e-9) + 1
+                asked = np.flatnonzero(reach * m >= floors)
+                if not len(asked):
+                    continue
+            scores = self.q[asked, cut] @ self.v[:, cut].T
+            i, j = np.nonzero((scores * m >= floors[asked, None]) & (self.q_ids[asked, None] != self.ids))
+            partial, i = scores[i, j], asked[i]
+            del scores
+            if self.exact:
+                rest = tuple(np.sqrt(np.maximum(e - s, 0)) for e, s in zip(everything, squares[n], strict=True))
+                may = self._may_reach(i, j, partial, floors, rest)
+                i, j = i[may], j[may]
+            parts = self.resolve(i, j)
+            total = sum(parts)
+            new = total >= floors[i]
+            for earlier in parts[:n]:  # an entry that several lists hand over counts once
+                new &= earlier * m < floors[i]
+            found.append((i[new], j[new], total[new]))
+        i, j, total = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, int), np.empty(0, int), np.empty(0))
+        order = np.lexsort([self.ids[j], -total, i])
+        i, j, total = i[order], j[order], total[order]
+        first = np.searchsorted(i, i)  # place of the query's best
+        best = np.arange(len(i)) - first < k
+        return i[best], j[best], total[best]
+
+
+def _not_above(n: int) -> float:
+    """``n`` as a double, rounded down."""
+    x = float(n)
+    return x if int(x) <= n else float(np.nextafter(x, -np.inf))
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int, allowed: np.ndarray) -> np.ndarray:
@@ -113,44 +206,22 @@ def top_k(
             out = []
             for row in batch.to_pylist():
                 ids, q_ids = np.array(row["ids"], np.int64), np.array(row["q_ids"], np.int64)
-                v, q = (np.frombuffer(row[c], "<f8").reshape(-1, row["width"]) for c in ("matrix", "q"))
-                cuts = np.linspace(0, row["width"], lists + 1).astype(int)
-                partial = [_exact(q[:, a:b], v[:, a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                for i, query in enumerate(q_ids):
-                    other = ids != query
-                    at, total = phase([p[i] for p in partial], ids, other, row["floors"][i] if "floors" in row else None)
-                    out += [(int(query), int(ids[j]), int(s)) for j, s in zip(at, total, strict=True)]
-            columns = list(zip(*out, strict=True)) or [(), (), ()]
-            return dict(zip(("query_id", "vec_id", "score"), columns, strict=True))
+                v, q = (np.frombuffer(row[c], "<f8").reshape(len(n), row["width"]) for c, n in (("matrix", ids), ("q", q_ids)))
+                i, j, scores = phase(Lists(q, v, q_ids, ids, lists), row.get("floors"))
+                out.append((q_ids[i], ids[j], scores.astype(np.int64)))
+            columns = [np.concatenate(x) for x in zip(*out, strict=True)] or [np.empty(0, np.int64)] * 3
+            return {n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), columns, strict=True)}
 
         return work
 
-    def heads(partial, ids, other, _):
-        """Phase 1: the best of each list, with whole scores; an entry that heads several lists counts once."""
-        at = np.unique(np.concatenate([_best(p, ids, k, other) for p in partial]))
-        return at, sum(p[at] for p in partial)
-
-    def above(partial, ids, other, floor):
-        """Phases 2 and 3: entries of any list above the uniform threshold, resolved, and of those the best."""
-        if floor is None:
-            at = np.flatnonzero(other)
-        else:
-            enough = partial[0] * len(partial) >= floor
-            for p in partial[1:]:
-                enough |= p * len(partial) >= floor
-            at = np.flatnonzero(other & enough)
-        total = sum(p[at] for p in partial)
-        best = _best(total, ids[at], k, np.ones(len(at), bool) if floor is None else total >= floor)
-        return at[best], total[best]
-
     schema = "query_id long, vec_id long, score long"
     ranked = "row_number() over (partition by query_id order by score desc, vec_id)"
-    gathered = map_batches(meet(asked).select("ids", "matrix", "q_ids", "q", "width"), entries(heads), schema, None)
+    gathered = map_batches(meet(asked).select("ids", "matrix", "q_ids", "q", "width"), entries(lambda both, _: both.heads(k)), schema, None)
     floors = gathered.selectExpr("query_id", "score", f"{ranked} as place").where(F.col("place") == k).select("query_id", "score")
 
     # cutoffs go back into the blocks of queries, in their order
     placed = asked.select("width", "block", F.posexplode("q_ids").alias("i", "query_id")).join(floors, "query_id", "left")
     placed = placed.groupBy("width", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "score"))), lambda s: s["score"]).alias("floors"))
     asked = asked.join(placed, ["width", "block"])
-    collected = map_batches(meet(asked).select("ids", "matrix", "q_ids", "q", "width", "floors"), entries(above), schema, None)
+    collected = map_batches(meet(asked).select("ids", "matrix", "q_ids", "q", "width", "floors"), entries(lambda both, cutoffs: both.above(k, cutoffs)), schema, None)
     return collected.selectExpr("query_id", f"{ranked} as rank", "vec_id", "score").where(F.col("rank") <= k)

@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from siltbed.llm.repeats import owned_starts, remove_repeats, without_repeats
 from siltbed.llm.rule_ensemble import quality_scores
 from siltbed.llm.suffixes import sort_suffixes
 from siltbed.llm.token_counts import prefix_table, token_counts
-from siltbed.llm.topk import top_k
+from siltbed.llm.topk import Lists, top_k
 from siltbed.llm.url_filters import judge_urls
 
 WORDS = [f"w{i}" for i in range(400)]
@@ -276,6 +277,58 @@ def test_top_k_against_all_scores(spark):
         assert (r.vec_id, r.score) == (order[r.rank - 1], scores[r.vec_id])
 
 
+def test_top_k_of_empty_vectors_clashing_names_and_large_numbers(spark):
+    rows = [(1, [], 5), (2, [], 6), (3, [1e9, 3e5], 7), (4, [1e9, 2e5], 8), (5, [1e9, -2e5], 9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score long").selectExpr("*", "1 as rank", "2 as query_id", "'x' as ids", "0 as width")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in top_k(spark, df, df.where("vec_id in (1, 3)"), k=2, scale=1).collect())
+    assert got == [(1, 1, 2, 0), (3, 1, 4, 10**18 + 6 * 10**10), (3, 2, 5, 10**18 - 6 * 10**10)]
+
+
+def best_of(q, v, q_ids, ids, k):
+    """Each query's best pairs by all scores."""
+    scores = [[sum(int(x) * int(y) for x, y in zip(a, b, strict=True)) for b in v] for a in q]
+    return {(int(a), int(ids[j]), scores[i][j]) for i, a in enumerate(q_ids) for j in sorted((j for j in range(len(v)) if ids[j] != a), key=lambda j: (-scores[i][j], ids[j]))[:k]}
+
+
+@pytest.mark.parametrize("scale", [3, 1 << 30])
+@pytest.mark.parametrize("lists", [1, 2, 3])
+def test_lists_against_all_scores(scale, lists):
+    rng = np.random.default_rng(lists)
+    v = np.floor(rng.normal(size=(60, 7)) * scale)  # the larger scale is past what doubles hold, the smaller one has ties
+    ids, q_ids, q = np.arange(60), np.arange(0, 60, 5), v[::5]
+    want = best_of(q, v, q_ids, ids, 4)
+    floors = [min(s for a, _, s in want if a == x) for x in q_ids]
+    for cutoffs in (floors, [None] * len(q_ids), [None, *floors[1:]]):
+        i, j, scores = Lists(q, v, q_ids, ids, lists).above(4, cutoffs)
+        assert set(zip(q_ids[i].tolist(), ids[j].tolist(), map(int, scores), strict=True)) == want and len(i) == len(want)
+    i, j, scores = Lists(q, v, q_ids, ids, lists).heads(4)
+    exact = v.astype(np.int64).astype(object) @ v.astype(np.int64).astype(object).T
+    assert all(int(s) == int(exact[q_ids[a], b]) for a, b, s in zip(i, j, scores, strict=True))
+
+
+def test_the_threshold_leaves_few_pairs_to_resolve():
+    rows = pq.read_table("/root/testdata/sf0.01/embeddings.parquet", columns=["vec_id", "embedding"]).to_pylist()
+    rows = [r for r in rows if r["embedding"] is not None and None not in r["embedding"] and np.isfinite(r["embedding"]).all()]
+    v, ids = np.floor(1024 * np.array([r["embedding"] for r in rows], float)), np.array([r["vec_id"] for r in rows])
+    asked = ids % 100 == 0
+    q, q_ids = v[asked], ids[asked]
+    first = Lists(q, v, q_ids, ids, 2)
+    i, _, scores = first.heads(10)
+    floors = [int(np.sort(scores[i == n])[-10]) for n in range(len(q_ids))]
+    last = Lists(q, v, q_ids, ids, 2)
+    i, j, scores = last.above(10, floors)
+    whole = q @ v.T
+    whole[q_ids[:, None] == ids] = -np.inf
+    assert sorted(map(int, scores)) == sorted(int(x) for x in np.sort(whole, axis=1)[:, -10:].ravel())
+    assert first.resolved <= 20 * len(q) and last.resolved < 0.05 * len(q) * len(v)
+
+
+def test_a_block_out_of_reach_is_not_looked_at():
+    v, ids = np.full((50, 4), 2.0), np.arange(50)
+    both = Lists(np.full((1, 4), 3.0), v, np.array([99]), ids, 2)
+    assert len(both.above(5, [1000])[0]) == 0 and both.resolved == 0
+
+
 def test_urls(spark):
     rules = spark.createDataFrame(queries.URL_RULES + [("com/", "block"), (None, "block")], "rule string, verdict string")
     urls = ["http://WWW.example.com/en/x?q", "http://a.example.com/en/", "https://x.net/es", "x.net/es/", None, "a://net/fr/1#2", "s://example-com/en/", "http://com", "http://com/"]
