@@ -15,6 +15,8 @@ from siltbed.session import drop_folder, scratch_folder
 
 #: Bytes of text that one Arrow batch is cut to before it is worked on, whatever its row count.
 BATCH_BYTES = 12 << 20
+#: The same where a batch is cut into tokens or features, which take many times its size.
+TOKEN_BATCH_BYTES = 4 << 20
 
 
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -87,12 +89,12 @@ class WorkTables:
             drop_folder(self.spark, self.paths.pop(table))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cuts a batch so that each part holds at most ``BATCH_BYTES`` of ``column``, or one row."""
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cuts a batch so that each part holds at most ``size`` bytes of ``column``, or one row."""
     sizes = [0 if n is None else n for n in pc.binary_length(batch.column(column)).to_pylist()]
     start = held = 0
     for i, n in enumerate(sizes):
-        if held and held + n > BATCH_BYTES:
+        if held and held + n > size:
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += n
@@ -101,7 +103,11 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
 
 
 def map_batches(
-    df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str | StructType, column: str | None = "text"
+    df: DataFrame,
+    work: Callable[[pa.RecordBatch], dict],
+    schema: str | StructType,
+    column: str | None = "text",
+    size: int = BATCH_BYTES,
 ) -> DataFrame:
     """Applies ``work`` (a batch to a dict of columns) to every Arrow batch of ``df``, cut by the bytes of ``column``."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -110,7 +116,7 @@ def map_batches(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, column) if column else [batch]:
+            for part in slices(batch, column, size) if column else [batch]:
                 made = work(part)
                 yield pa.RecordBatch.from_arrays([made[f.name] if isinstance(made[f.name], pa.Array) else pa.array(made[f.name], f.type) for f in fields], schema=fields)
                 del part, made

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltbed.llm.bpe import Kept, count_batch
-from siltbed.llm.common import WorkTables, documents, free_names, labelled, map_batches, raw
+from siltbed.llm.common import TOKEN_BATCH_BYTES, WorkTables, documents, free_names, labelled, map_batches, raw
 
 #: Counts of hashed words that the classifier looks at, and texts it looks at together.
 WIDTH, CHUNK = 1024, 512
@@ -93,7 +93,7 @@ def memberships(docs: DataFrame, known: Domains, tokenizer: str) -> DataFrame:
         p = pa.array(list(known.classify(raw(batch))), pa.list_(pa.float64()))
         return {"doc_id": batch.column("doc_id"), "n_tokens": count_batch(tokenizer, batch.column("text")), "p": p}
 
-    return map_batches(docs, work, "doc_id long, n_tokens long, p array<double>")
+    return map_batches(docs, work, "doc_id long, n_tokens long, p array<double>", size=TOKEN_BATCH_BYTES)
 
 
 @dataclass(frozen=True)
@@ -254,4 +254,4 @@ def mixed_documents(
         taken = batch.take(pa.array(np.repeat(np.arange(len(batch)), copies)))
         return {c: taken.column(c) for c in columns}
 
-    return map_batches(docs.withColumn(chance, _chance(F.col(id_col).cast("long"))), take, docs.schema, text_col)
+    return map_batches(docs.withColumn(chance, _chance(F.col(id_col).cast("long"))), take, docs.schema, text_col, TOKEN_BATCH_BYTES)

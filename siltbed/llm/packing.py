@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from siltbed.llm import bpe
-from siltbed.llm.common import documents, slices
+from siltbed.llm.common import TOKEN_BATCH_BYTES, documents, slices
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
@@ -162,12 +162,16 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0,
     def run(batches):
         bins = Bins(TaskContext.get().partitionId(), capacity)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=TOKEN_BATCH_BYTES):
                 texts = bpe.encode_batch(tokenizer, part.column("text"), end)
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), texts, strict=True):
                     bins.add(doc_id, ids)
                 yield bins.take()
+                del part, texts
+            del batch
+            pa.default_memory_pool().release_unused()
         bins.end()
         yield bins.take()
+        bpe.forget_unused()
 
     return documents(docs, id_col, text_col).mapInArrow(run, SCHEMA)
