@@ -144,3 +144,32 @@ def labelled(rows: DataFrame, labels: DataFrame, key: str, sample: int) -> DataF
     columns = [c for c in both.columns if c != "__label"]
     first = F.min(F.struct(F.xxhash64(*rows.columns).alias("__hash"), *columns)).alias("__row")
     return both.groupBy("__label").agg(first).select(*(F.col(f"__row.{c}").alias(c) for c in columns))
+
+
+def all_labelled(rows: DataFrame, labels: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined with all labelled rows. Of repeated keys, each label takes the row that is smallest by a hash of its columns.
+
+    Rows are reduced to one for each key before they meet the labels, so no key is hot there. ``rows`` should be narrow, as all of them may move.
+    """
+    others = [c for c in rows.columns if c != key]
+    first = F.min(F.struct(F.xxhash64(*rows.columns).alias("__hash"), *others)).alias("__row")
+    one = rows.where(F.col(key).isNotNull()).groupBy(key).agg(first).select(key, *(F.col(f"__row.{c}").alias(c) for c in others))
+    return one.join(labels, key)
+
+
+def nth_smallest(rows: DataFrame, column: str, n: int, bins: int = 4096) -> float:
+    """The value with exactly ``n`` rows before it when all are sorted (from 0), by counts in bins that narrow down to it.
+
+    The driver sees ``bins`` counts a round. A round goes on inside one bin, from its smallest value to its largest.
+    """
+    value = F.col(column)
+    low, high = rows.agg(F.min(value), F.max(value)).first()
+    while low < high:
+        place = F.least(F.floor((value - low) / ((high - low) / bins)), F.lit(bins - 1)).alias("place")
+        told = rows.where(value.between(low, high)).groupBy(place).agg(F.count("*").alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
+        for r in sorted(told.collect()):
+            if n < r.n:
+                low, high = r.low, r.high
+                break
+            n -= r.n
+    return low

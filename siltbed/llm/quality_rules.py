@@ -1,7 +1,7 @@
 """Quality rules: fixed base rules, and an isolation forest over the rules' statistics.
 
 Each tree splits a small sample at random values of random statistics; documents that few splits set apart are
-anomalous. The forest and its threshold come from a bounded sample of labelled rows, every document is judged on its whole text.
+anomalous. Every tree draws its rows from all labelled ones, the threshold is that of all held-out ones, and every document is judged on its whole text.
 """
 
 from __future__ import annotations
@@ -10,10 +10,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import documents, labelled, map_batches, raw, slices, written
+from siltbed.llm.common import WorkTables, all_labelled, map_batches, nth_smallest, raw, slices
 from siltbed.llm.statistics import COUNTS, LEAST_WORDS, MOST_REPEATED_PERCENT, SHARES, of_text, text_statistics
 
 
@@ -27,13 +27,13 @@ def mean_path(n: float) -> float:
 
 
 class IsolationForest:
-    """Trees as flat arrays: statistic, split value, children; a leaf holds its path length."""
+    """Trees as flat arrays: statistic, split value, children; a leaf holds its path length. Each tree is grown from rows of its own."""
 
-    def __init__(self, rows: np.ndarray, trees: int, per_tree: int, seed: int):
+    def __init__(self, rows: list[np.ndarray], seed: int):
         draw = np.random.default_rng(seed)
-        self.per_tree = min(per_tree, len(rows))
+        self.per_tree = max(map(len, rows))
         self.depth = max(1, math.ceil(math.log2(max(2, self.per_tree))))
-        self.trees = [self._grow(rows[draw.choice(len(rows), self.per_tree, replace=False)], draw) for _ in range(trees)]
+        self.trees = [self._grow(own, draw) for own in rows]
 
     def _grow(self, rows: np.ndarray, draw: np.random.Generator) -> tuple[np.ndarray, ...]:
         nodes: list[list[float]] = []
@@ -66,39 +66,73 @@ class IsolationForest:
         return np.exp2(-total / len(self.trees) / max(mean_path(self.per_tree), 1e-9))
 
 
-def fit_forest(sample, trees: int = 100, per_tree: int = 256, keep_share: float = 0.99, seed: int = 7) -> tuple[IsolationForest, float] | None:
-    """Forest and threshold from a pandas frame of statistics and ``quality``; None where no row is labelled good.
+#: What is needed of a labelled row.
+_SEEN = ["doc_id", "n_words", "n_repeat_words", *RULES]
 
-    The forest is grown from every other labelled row that passes the base rules, good or not. The threshold is the score
-    that ``keep_share`` of the good ones among the other rows stay at or below.
+
+def _drawn(rows: DataFrame, count: int, trees: int, per_tree: int, seed: int) -> list[np.ndarray]:
+    """For each tree, ``per_tree`` of all ``count`` rows, those of the smallest hash of id and tree: a draw without replacement.
+
+    Only rows below a bound that leaves several times as many as are needed go through the window.
     """
-    passed = (sample.n_words >= LEAST_WORDS) & (100 * sample.n_repeat_words <= MOST_REPEATED_PERCENT * sample.n_words)
-    seen = sample[passed].sort_values(["doc_id", "quality", *SHARES])
-    rows, good = seen[RULES].to_numpy(float), seen.quality.to_numpy() == 1
-    if not good[1::2].any():
+    spread = 1 << 40
+    bound = min(spread, spread * (4 * per_tree + 400) // count)
+    draw = lambda tree: F.pmod(F.xxhash64(F.col("doc_id"), tree, F.lit(seed)), F.lit(spread))
+    tree = F.explode(F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) < bound)).alias("tree")
+    near = rows.select("doc_id", "quality", *RULES, tree)
+    order = Window.partitionBy("tree").orderBy(draw(F.col("tree")), "doc_id", "quality")
+    chosen = near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_tree).toPandas()
+    return [own[RULES].to_numpy(float) for _, own in chosen.sort_values(["tree", "place"]).groupby("tree")]
+
+
+def _scores(forest: IsolationForest, batch: pa.RecordBatch) -> np.ndarray:
+    return forest.score(np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in RULES]))
+
+
+def fit_forest(
+    work: WorkTables, measured: DataFrame, labels: DataFrame, trees: int = 100, per_tree: int = 256, keep_share: float = 0.99, seed: int = 7
+) -> tuple[IsolationForest, float] | None:
+    """Forest and threshold from all labelled rows of ``measured``; None where a half of them lacks what it is for.
+
+    A hash of the id halves the labelled rows that pass the base rules. Trees are grown from the one half, good or not, each from a draw of
+    ``per_tree`` rows. The threshold is the score that ``keep_share`` of all good ones of the other half stay at or below. What reaches the
+    driver is the draws and counts.
+    """
+    marks = labels.select("doc_id", "quality").where(F.col("quality").isNotNull())
+    passed = (F.col("n_words") >= LEAST_WORDS) & (100 * F.col("n_repeat_words") <= MOST_REPEATED_PERCENT * F.col("n_words"))
+    seen = all_labelled(measured.select(*_SEEN), marks, "doc_id").where(passed)
+    seen = work.write(seen.select("doc_id", "quality", *RULES, F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(2)).alias("half")), "labelled")
+    grows, judges = F.col("half") == 0, (F.col("half") == 1) & (F.col("quality") == 1)
+    n_grow, n_judge = seen.agg(F.count_if(grows), F.count_if(judges)).first()
+    if not n_grow or not n_judge:
+        work.drop(seen)
         return None
-    forest = IsolationForest(rows[::2], trees, per_tree, seed)
-    return forest, float(np.quantile(forest.score(rows[1::2][good[1::2]]), keep_share, method="higher"))
+    forest = IsolationForest(_drawn(seen.where(grows), n_grow, trees, per_tree, seed), seed)
+    scores = map_batches(seen.where(judges).select(*RULES), lambda batch: {"score": _scores(forest, batch)}, "score double", None)
+    scores = work.write(scores, "scores")
+    threshold = nth_smallest(scores, "score", math.ceil(keep_share * (n_judge - 1)))
+    work.drop(scores, seen)
+    return forest, threshold
 
 
 def quality_rules(
     spark: SparkSession,
     docs: DataFrame,
     labels: DataFrame,
-    sample: int = 20_000,
     keep_share: float = 0.99,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """Per document: the base statistics, ``base_failed``, the forest's ``anomaly`` score and ``kept``.
 
-    ``sample`` bounds the labelled rows the forest is fitted on (those of the smallest id hash). Null or empty texts have no
+    The forest and its threshold are those of all labelled rows. Null or empty texts have no
     word and fail the base rules. Repeated rows are judged each; rows without an id are judged but never labelled.
     Without labels the base rules decide alone and ``anomaly`` is null.
     """
-    measured = written(spark, text_statistics(docs, id_col, text_col), "statistics")
-    marks = labels.select("doc_id", "quality").where(F.col("quality").isNotNull())
-    fitted = fit_forest(labelled(measured, marks, "doc_id", sample).toPandas(), keep_share=keep_share)
+    with WorkTables(spark) as work:
+        measured = work.write(text_statistics(docs, id_col, text_col), "statistics")
+        fitted = fit_forest(work, measured, labels, keep_share=keep_share)
+        work.keep(measured)
     base_failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     if fitted is None:
         scored = measured.withColumn("anomaly", F.lit(None).cast("double"))
@@ -106,11 +140,10 @@ def quality_rules(
     else:
         forest, threshold = fitted
 
-        def work(batch):
-            rows = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in RULES])
-            return {c: batch.column(c) for c in ["doc_id", *COUNTS]} | {"anomaly": forest.score(rows)}
+        def judge(batch):
+            return {c: batch.column(c) for c in ["doc_id", *COUNTS]} | {"anomaly": _scores(forest, batch)}
 
-        scored = map_batches(measured, work, ", ".join(["doc_id long", *(f"{c} long" for c in COUNTS), "anomaly double"]), None)
+        scored = map_batches(measured, judge, ", ".join(["doc_id long", *(f"{c} long" for c in COUNTS), "anomaly double"]), None)
     return scored.select(
         "doc_id",
         *COUNTS,
@@ -124,16 +157,17 @@ def drop_anomalous(
     spark: SparkSession,
     docs: DataFrame,
     labels: DataFrame,
-    sample: int = 20_000,
     keep_share: float = 0.99,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns and without moving any."""
-    marks = labels.select("doc_id", "quality").where(F.col("quality").isNotNull())
-    seen = labelled(documents(docs, id_col, text_col), marks, "doc_id", sample)
-    measured = text_statistics(seen, extra=["quality int"])
-    fitted = fit_forest(measured.toPandas(), keep_share=keep_share)
+    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns and without moving any.
+
+    Texts are measured once for the fit, where a label may belong to any of them, and once beside the rows.
+    """
+    with WorkTables(spark) as work:
+        measured = work.write(text_statistics(docs, id_col, text_col).select(*_SEEN), "statistics")
+        fitted = fit_forest(work, measured, labels, keep_share=keep_share)
 
     def run(batches):
         for batch in batches:

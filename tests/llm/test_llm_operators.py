@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 import corpus_pipeline
 from siltbed.llm import bpe, queries
@@ -606,3 +606,25 @@ def test_stages_on_empty_tables(spark):
     none = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, sf).count() == 0
+
+
+def test_the_forest_knows_all_labelled_rows(spark):
+    # with 21,000 labelled rows, the last 1,000 by id hash are of another kind: a fit on the first 20,000 rejects all of them
+    ids = spark.range(21_000).select(F.col("id").alias("doc_id"), (F.row_number().over(Window.orderBy(F.xxhash64("id"), "id")) > 20_000).alias("other"))
+    plain = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: F.substring(F.md5((i * 7919 + F.col("doc_id")).cast("string")), 1, 6)))
+    plain = F.concat_ws(" ", F.upper(F.substring(F.md5(F.col("doc_id").cast("string")), F.lit(1), (F.col("doc_id") % 9).cast("int"))), F.repeat(F.lit("#"), (F.col("doc_id") % 7).cast("int")), plain)
+    strange = F.upper(F.replace(plain, F.lit("a"), F.lit("######")))
+    df = ids.select("doc_id", "other", F.when(F.col("other"), strange).otherwise(plain).alias("text")).cache()
+    judged = quality_rules(spark, df, df.select("doc_id", F.lit(1).alias("quality"))).join(df.select("doc_id", "other"), "doc_id")
+    kept, others = judged.where("not base_failed").agg(F.avg(F.col("kept").cast("int")), F.avg(F.when(F.col("other"), F.col("kept").cast("int")))).first()
+    df.unpersist()
+    assert kept > 0.98 and others > 0.5
+
+
+@pytest.mark.parametrize("n", [0, 1, 499, 1500, 2998, 2999])
+def test_nth_smallest(spark, n):
+    from siltbed.llm.common import nth_smallest
+
+    values = [0.25] * 1000 + [0.5 + i * 1e-15 for i in range(1000)] + [i / 1000 for i in range(1000)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    assert nth_smallest(rows, "v", n, bins=8) == sorted(values)[n]
