@@ -2,6 +2,7 @@ import json
 import subprocess
 import sys
 import time
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -268,3 +269,14 @@ def test_parsers_need_no_package_on_the_executors(tmp_path):
     )
     run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
     assert run.stdout.strip() == """[['{"id": null}'], ['{"id": null}']]""", run.stderr
+
+
+@pytest.mark.parametrize("variant", [False, True])
+def test_landed_records_take_little_room(spark, tmp_path, variant):
+    rows = spark.range(0, 20000, 1, 1).selectExpr("id", "'https://api.example.org/v2/type/7/' as url", "array('a', null) as types")
+    written = rows.select(F.to_variant_object(F.struct("*")).alias("json_data")) if variant else rows
+    path = land_records(written, str(tmp_path), "entity", "1")
+    size = sum(f.stat().st_size for f in Path(path).iterdir() if f.name.startswith("part-"))
+    assert size < 20000 * 40 / 4  # the URL alone is 34 bytes
+    got = read_json_records(spark, path).select(*(F.variant_get("json_data", f"$.{c}", t).alias(c) for c, t in rows.dtypes))
+    assert got.exceptAll(rows).count() == 0 and rows.exceptAll(got).count() == 0
