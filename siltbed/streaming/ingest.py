@@ -24,6 +24,9 @@ def trigger(mode: str, interval: str) -> dict:
 #: Age beyond which a file stream forgets a file. Spark's own default of a week silently leaves out files that keep an older date.
 MAX_FILE_AGE = "36500d"
 
+#: Bytes of a row group in staging: Spark's least split, so that a load whose batch is one file still reads it in several tasks.
+ROW_GROUP = 4 << 20
+
 
 def bounded(
     source: DataStreamReader,
@@ -87,13 +90,18 @@ def ingest_stream(
     else:
         source = source.options(**json_options(multi_line, malformed))
         records = strip_outer_array(matching_path(source.json(landing), pattern), RECORD, landed.alias(schemas.LANDED))
-    return (
-        records.writeStream.format("parquet")
-        .option("path", staging)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger(mode, interval))
-        .start()
-    )
+    writer = records.writeStream.format("parquet").option("path", staging).option("checkpointLocation", checkpoint)
+    # a file sink takes this from the session alone, of which a stream keeps its own copy from its start on
+    name = "parquet.block.size"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(ROW_GROUP))
+    try:
+        return writer.trigger(**trigger(mode, interval)).start()
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def quarantined(spark: SparkSession, staging: str) -> DataFrame:

@@ -2,10 +2,12 @@ import json
 import os
 import shutil
 
+import pyarrow.parquet as pq
 import pytest
 
 from siltbed import schemas
 from siltbed.plans.bindings import ingest_endpoint
+from siltbed.sources.records import land_records
 from siltbed.streaming import loads
 from siltbed.streaming.warehouse import Warehouse
 
@@ -277,3 +279,13 @@ def test_run_all(house):
     house.land("entity", [entity(1, types=[7], stats=[(1, "hp", 1)], moves=moves)], 1)
     loads.run_all(house.spark, house.warehouse)
     assert {t: len(house.rows(t)) for t in schemas.STORAGE} == dict.fromkeys(schemas.STORAGE, 1)
+
+
+def test_one_staged_file_is_read_by_several_tasks(spark, house):
+    rows = spark.range(0, 60000, 1, 1).selectExpr("id", "concat_ws('-', sha2(cast(id as string), 512), sha2(cast(-id as string), 512)) as name")
+    land_records(rows, house.warehouse.landing(), "entity", "1")
+    ingest_endpoint(spark, house.warehouse, "entity").awaitTermination()
+    folder = house.warehouse.staging("entity")
+    (file,) = [f for f in os.listdir(folder) if f.endswith(".parquet")]
+    assert pq.ParquetFile(f"{folder}/{file}").num_row_groups > 1
+    assert staged(house, "entity") == 60000
