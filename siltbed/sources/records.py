@@ -72,7 +72,10 @@ def run_order(path: Column | str) -> Column:
     """
     run = F.regexp_extract(path, "/run=([^/]+)/", 1)
     padded = F.regexp_replace(run, "([0-9]+)", "00000000000000000000$1")
-    return F.nullif(F.regexp_replace(padded, "0*([0-9]{20})", "$1"), F.lit(""))
+    padded = F.regexp_replace(padded, "0*([0-9]{20})", "$1")
+    # it is evaluated for each record, and the two patterns take longer than its parsing: a run that is a number alone is padded without them
+    number = (F.translate(run, "0123456789", "") == "") & F.length(run).between(1, 20)
+    return F.nullif(F.when(number, F.lpad(run, 20, "0")).otherwise(padded), F.lit(""))
 
 
 def strict_json(text: Column | str) -> Column:

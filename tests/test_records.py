@@ -18,6 +18,7 @@ from siltbed.sources.records import (
     read_json_records,
     read_literal_records,
     resource_catalog,
+    run_order,
 )
 
 from siltbed.streaming.ingest import ingest_stream
@@ -280,3 +281,14 @@ def test_landed_records_take_little_room(spark, tmp_path, variant):
     assert size < 20000 * 40 / 4  # the URL alone is 34 bytes
     got = read_json_records(spark, path).select(*(F.variant_get("json_data", f"$.{c}", t).alias(c) for c, t in rows.dtypes))
     assert got.exceptAll(rows).count() == 0 and rows.exceptAll(got).count() == 0
+
+
+def test_run_order_of_a_number_needs_no_patterns(spark, capsys):
+    runs = ["7", "0007", "0", "12345678901234567890", "123456789012345678901234", "0" * 25 + "5", "2024-05-01", "measures-1", "٣"]
+    df = spark.createDataFrame([(f"file:/a/run={r}/entity/x.json", r) for r in runs], "path string, run string")
+    padded = F.regexp_replace(F.regexp_replace("run", "([0-9]+)", "00000000000000000000$1"), "0*([0-9]{20})", "$1")
+    for row in df.select(run_order("path").alias("got"), padded.alias("want")).collect():
+        assert row.got == row.want
+    df.select(run_order("path")).explain()
+    assert "lpad(" in capsys.readouterr().out
+    assert df.select(run_order(F.lit("file:/a/b/x.json"))).first()[0] is None
