@@ -389,17 +389,21 @@ def landing_path(root: str, endpoint: str, run: str) -> str:
     return f"{root}/run={run}/{endpoint}"
 
 
+#: Records of a landed file: a gzipped one is read by one task.
+FILE_RECORDS = 100_000
+
+
 def land_records(records: DataFrame, root: str, endpoint: str, run: str, replace: bool = False) -> str:
     """Write a variant column, or any columns, as JSON lines into the run's own folder; returns the folder.
 
     Each run has a new path: a file stream does not read a path again after it was rewritten. ``replace``
-    overwrites the folder of the same run. Files are gzipped, as names and URLs repeat in every record; a file is read by one task, as
-    it was written by one.
+    overwrites the folder of the same run. Files are gzipped, as names and URLs repeat in every record; as one task reads such a
+    file, a task that writes many records writes several.
     """
     path = landing_path(root, endpoint, run)
     mode = "overwrite" if replace else "errorifexists"
     if records.columns == [RECORD]:
-        records.select(F.to_json(RECORD).alias("value")).write.mode(mode).text(path, compression="gzip")
+        records.select(F.to_json(RECORD).alias("value")).write.mode(mode).option("maxRecordsPerFile", FILE_RECORDS).text(path, compression="gzip")
     else:
-        records.write.mode(mode).json(path, compression="gzip")
+        records.write.mode(mode).option("maxRecordsPerFile", FILE_RECORDS).json(path, compression="gzip")
     return path

@@ -292,3 +292,9 @@ def test_run_order_of_a_number_needs_no_patterns(spark, capsys):
     df.select(run_order("path")).explain()
     assert "lpad(" in capsys.readouterr().out
     assert df.select(run_order(F.lit("file:/a/b/x.json"))).first()[0] is None
+
+
+def test_a_task_lands_many_records_in_several_files(spark, tmp_path):
+    path = land_records(spark.range(0, 250000, 1, 1), str(tmp_path), "entity", "1")
+    assert len([f for f in Path(path).iterdir() if f.name.startswith("part-")]) == 3
+    assert read_json_records(spark, path).count() == 250000
