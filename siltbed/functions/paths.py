@@ -32,7 +32,9 @@ def id_from_url(url: Column | str, strict: bool = True) -> Column:
     Strict: a URL of another form raises. Tolerant: it gives NULL.
     """
     if strict:
-        return F.element_at(F.split(url, "/"), -2).cast("bigint")
+        # the segment is cut out without splitting the URL; one without a slash raises as it did
+        cut = F.substring_index(F.substring_index(url, "/", -2), "/", 1)
+        return F.when(F.contains(url, F.lit("/")), cut).otherwise(F.element_at(F.split(url, "/"), -2)).cast("bigint")
     segment = endpoint_from_url(url)
     # The check keeps text that is no number away from try_cast, which catches an exception for each.
     return F.when(segment.rlike(r"^\s*[+-]?\d+\s*$"), segment.try_cast("bigint"))

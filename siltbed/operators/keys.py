@@ -12,7 +12,8 @@ def number_rows(spark: SparkSession, path: str, columns: list[str], start: int =
 
     An id is a file's offset plus the row's position in the file, so it depends on the files alone: a
     task that runs again after its executor is lost gives every row the same id. The offsets are one
-    row per file, counted from the footers, so the running sum in one partition stays small.
+    row per file, counted from the footers, so the running sum in one partition stays small. They are broadcast by hint: their
+    estimate is that of the rows, and without it all rows would be shuffled by their file.
     """
     rows = spark.read.parquet(path).select(
         *columns, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")
@@ -24,7 +25,7 @@ def number_rows(spark: SparkSession, path: str, columns: list[str], start: int =
         .select("__file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset"))
     )
     id_value = F.lit(start + 1).cast("bigint") + F.col("__offset") + F.col("__row")
-    return rows.join(offsets, "__file").select(id_value.alias(id_), *columns)
+    return rows.join(F.broadcast(offsets), "__file").select(id_value.alias(id_), *columns)
 
 
 def assign_surrogate_ids(df: DataFrame, start: int = 0, id_: str = "id") -> DataFrame:

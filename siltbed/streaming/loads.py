@@ -373,12 +373,11 @@ def load_measures(
         return fact_to_dimension(rows.drop("measure_id"), known(batch_id), "measure_name")
 
     def matched_or_waiting(rows: DataFrame, batch_id: int) -> DataFrame:
+        """The facts found, not yet worked out; those that wait are written. Each side joins for itself, which takes less than writing both once more."""
         load_measure_dim(spark, warehouse, rows.where("is_measure"), batch_id)
         facts = rows.where("not is_measure").select(*_WAITING.names).unionByName(waiting_facts(spark, warehouse, batch_id - 1))
         found = left_facts(facts, known(batch_id), "measure_name", "found")
-        found = spark.read.parquet(_settle(spark, warehouse, "entity_measure_found", found))
         write_batch(found.where("not found").select(*_WAITING.names), warehouse.table(WAITING), batch_id)
-        drop_folder(spark, f"{warehouse.table(WAITING)}/batch_id={batch_id - 2}")
         return found.where("found")
 
     def finish(batch: DataFrame, batch_id: int) -> None:
@@ -386,9 +385,11 @@ def load_measures(
         facts = (matched_or_waiting if own else matched)(rows, batch_id).select(*columns)
         if reserved:
             _write_reserved(spark, warehouse, "entity_measure", facts, batch_id)
-            return
-        joined = _settle(spark, warehouse, "entity_measure_joined", facts)
-        _write_numbered(spark, warehouse, "entity_measure", joined, batch_id)
+        else:
+            joined = _settle(spark, warehouse, "entity_measure_joined", facts)
+            _write_numbered(spark, warehouse, "entity_measure", joined, batch_id)
+        if own:
+            drop_folder(spark, f"{warehouse.table(WAITING)}/batch_id={batch_id - 2}")
 
     rows = measure_rows(changes(spark, warehouse.staging("entity"), limits), array, child)
     if own:
