@@ -8,30 +8,42 @@ compares with the targets, and moves every rate along its document's memberships
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm.bpe import Kept, count_batch
-from siltbed.llm.common import TOKEN_BATCH_BYTES, WorkTables, documents, free_names, labelled, map_batches, raw
+from siltbed.llm.bpe import count_batch
+from siltbed.llm.common import TOKEN_BATCH_BYTES, WorkTables, documents, free_names, labelled, map_batches
 
 #: Counts of hashed words that the classifier looks at, and texts it looks at together.
 WIDTH, CHUNK = 1024, 512
-_bucket = Kept(lambda word: zlib.crc32(word) % WIDTH)
 
 
-def _features(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Shares of hashed words of each whole text, and its words."""
-    rows, n = np.zeros((len(texts), WIDTH), np.float32), np.zeros(len(texts), np.int64)
-    for i, data in enumerate(texts):
-        words = (data or b"").lower().split()
-        n[i] = len(words)
-        if words:
-            rows[i] = np.bincount(np.fromiter(map(_bucket.__getitem__, words), np.int64, len(words)), minlength=WIDTH) / len(words)
-    return np.sqrt(rows), n
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of each word of the texts, in order, and where those of each text start. A word is lower-cased and hashed once for all texts."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    words, ends = parts.flatten(), parts.offsets.to_numpy().astype(np.int64)
+    held = pc.binary_length(words).to_numpy() > 0  # white space at an end of a text leaves an empty one there
+    coded = words.dictionary_encode()
+    hashed = (zlib.crc32(word) % WIDTH for word in coded.dictionary.cast(pa.binary()).to_pylist())
+    buckets = np.fromiter(hashed, np.int64, len(coded.dictionary))[coded.indices.to_numpy()]
+    return buckets[held], np.append(0, np.cumsum(held))[ends - ends[0]]
+
+
+def _features(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Shares of hashed words of each whole text, and its words, for as many texts at a time as are looked at together."""
+    buckets, starts = _words(texts)
+    for at in range(0, len(texts), CHUNK):
+        of = starts[at : at + CHUNK + 1]
+        n = np.diff(of)
+        place = np.repeat(np.arange(len(n)) * WIDTH, n) + buckets[of[0] : of[-1]]
+        shares = np.bincount(place, minlength=len(n) * WIDTH).reshape(-1, WIDTH) / np.maximum(n, 1)[:, None]
+        yield np.sqrt(shares.astype(np.float32)), n
 
 
 def fit_domains(rows: np.ndarray, domain: np.ndarray, n_domains: int, steps: int = 300, decay: float = 1e-4) -> np.ndarray:
@@ -59,12 +71,11 @@ class Domains:
     share: np.ndarray
     weights: np.ndarray | None
 
-    def classify(self, texts: list[bytes | None]) -> np.ndarray:
+    def classify(self, texts: pa.Array) -> np.ndarray:
         p = np.tile(self.share, (len(texts), 1))
         if self.weights is not None:
-            for at in range(0, len(texts), CHUNK):
-                rows, n = _features(texts[at : at + CHUNK])
-                p[at : at + CHUNK][n > 0] = _softmax(rows[n > 0] @ self.weights[:-1] + self.weights[-1])
+            for i, (rows, n) in enumerate(_features(texts)):
+                p[i * CHUNK : (i + 1) * CHUNK][n > 0] = _softmax(rows[n > 0] @ self.weights[:-1] + self.weights[-1])
         return p
 
 
@@ -77,7 +88,7 @@ def learnt_domains(docs: DataFrame, labels: DataFrame, domains: list[str], sampl
     schema = "doc_id long, domain string, x array<float>"
 
     def look(batch):
-        return {"doc_id": batch.column("doc_id"), "domain": batch.column("domain"), "x": list(_features(raw(batch))[0])}
+        return {"doc_id": batch.column("doc_id"), "domain": batch.column("domain"), "x": [x for rows, _ in _features(batch.column("text")) for x in rows]}
 
     seen = map_batches(labelled(docs, marks, "doc_id", sample), look, schema).toArrow().sort_by([("doc_id", "ascending")])
     x = np.array(seen.column("x").to_pylist(), np.float32).reshape(-1, WIDTH)
@@ -90,7 +101,7 @@ def memberships(docs: DataFrame, known: Domains, tokenizer: str) -> DataFrame:
     """Per document row: ``doc_id``, ``n_tokens`` (exact, of the whole text) and ``p``, the probability of each domain."""
 
     def work(batch):
-        p = pa.array(list(known.classify(raw(batch))), pa.list_(pa.float64()))
+        p = pa.array(list(known.classify(batch.column("text"))), pa.list_(pa.float64()))
         return {"doc_id": batch.column("doc_id"), "n_tokens": count_batch(tokenizer, batch.column("text")), "p": p}
 
     return map_batches(docs, work, "doc_id long, n_tokens long, p array<double>", size=TOKEN_BATCH_BYTES)
@@ -248,7 +259,7 @@ def mixed_documents(
     columns = docs.columns
 
     def take(batch):
-        rate = rates.of(known.classify(raw(batch, text_col)))
+        rate = rates.of(known.classify(batch.column(text_col)))
         whole = np.floor(rate)
         copies = whole.astype(np.int64) + (batch.column(chance).to_numpy() < rate - whole)
         taken = batch.take(pa.array(np.repeat(np.arange(len(batch)), copies)))
